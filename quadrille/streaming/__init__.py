@@ -1,0 +1,4 @@
+"""No streaming jobs: every job in scope is a batch rewrite of whole tables.
+
+The one source described as refreshed daily is re-read whole by the batch job.
+"""
