@@ -47,8 +47,13 @@ def fold_place_header(name: str) -> str:
 
 
 def fold_accents(col: Column) -> Column:
-    """Drop accents from Latin text, precomposed or written with combining marks."""
-    return F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"\p{Mn}+", "")
+    """Drop accents from Latin text, precomposed or written with combining marks.
+
+    Plain ASCII, as many bytes as characters, has nothing to drop and is passed through.
+    """
+    ascii_only = F.octet_length(col) == F.length(col)
+    folded = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"\p{Mn}+", "")
+    return F.when(ascii_only, col).otherwise(folded)
 
 
 @F.pandas_udf(StringType())

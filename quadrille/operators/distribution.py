@@ -35,13 +35,21 @@ def _valued(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def _bins(rows: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
-    """Per key and bin: rows before the bin, rows in it, rows in the whole group."""
-    totals = rows.groupBy(*keys, "_bin").agg(F.sum(weight).alias("_in"))
+    """Per key and bin: rows before the bin and in it, and the whole group's basic facts."""
+    totals = rows.groupBy(*keys, "_bin").agg(
+        F.sum(weight).alias("_in"),
+        F.sum(F.col("_v") * weight).alias("_s"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+    )
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     return totals.withColumns(
         {
             "_before": F.sum("_in").over(group.orderBy("_bin")) - F.col("_in"),
             "_total": F.sum("_in").over(group),
+            "_sum": F.sum("_s").over(group),
+            "_min": F.min("_lo").over(group),
+            "_max": F.max("_hi").over(group),
         }
     )
 
@@ -54,12 +62,13 @@ def _wanted(total: Column, prob: float) -> tuple[Column, Column, Column]:
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], count: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], facts: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, one column per entry of ``probs``.
 
-    Groups with a missing key and missing values are left out. ``count`` names an extra
-    column with the number of values used.
+    Groups with a missing key and missing values are left out. ``facts`` adds columns for
+    ``count``, ``mean``, ``min`` and ``max`` of the values, ``{fact: column}``, from the
+    same pass.
     """
     keys = list(keys)
     rows = _valued(df, keys, value)
@@ -68,13 +77,12 @@ def quantiles(
     for prob in probs.values():
         low, high, _ = _wanted(F.col("_total"), prob)
         holds = holds | ((F.col("_before") <= high) & (F.col("_before") + F.col("_in") > low))
-    picked = stage(bins.where(holds).select(*keys, "_bin", "_before", "_total"))
+    picked = stage(bins.where(holds).select(*keys, "_bin", "_before", "_total", "_sum", "_min", "_max"))
 
-    counts = rows.join(picked, [*keys, "_bin"]).groupBy(*keys, "_bin", "_before", "_total", "_v")
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    spans = counts.agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_to", F.col("_before") + F.sum("_n").over(inside)
-    )
+    counts = rows.join(picked.select(*keys, "_bin"), [*keys, "_bin"]).groupBy(*keys, "_bin", "_v")
+    spans = counts.agg(F.count(F.lit(1)).alias("_n")).join(picked, [*keys, "_bin"])
+    spans = spans.withColumn("_to", F.col("_before") + F.sum("_n").over(inside))
     spans = spans.withColumn("_from", F.col("_to") - F.col("_n"))
 
     measures = []
@@ -83,8 +91,13 @@ def quantiles(
         at_low = F.max(F.when((F.col("_from") <= low) & (low < F.col("_to")), F.col("_v")))
         at_high = F.max(F.when((F.col("_from") <= high) & (high < F.col("_to")), F.col("_v")))
         measures.append((at_low + (at_high - at_low) * F.max(share)).alias(name))
-    if count:
-        measures.append(F.max("_total").alias(count))
+    known = {
+        "count": F.max("_total"),
+        "mean": F.max("_sum") / F.max("_total"),
+        "min": F.max("_min"),
+        "max": F.max("_max"),
+    }
+    measures += [known[fact].alias(name) for fact, name in (facts or {}).items()]
     return spans.groupBy(*keys).agg(*measures) if keys else spans.agg(*measures)
 
 
@@ -103,20 +116,10 @@ def medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> Da
     return flat.groupBy(*keys).agg(*picks) if keys else flat.agg(*picks)
 
 
-def summarize(
-    df: DataFrame, keys: Sequence[str], value: str, median: str, mean: str, rows: str
-) -> DataFrame:
-    """Median, mean and row count of one measure per group.
-
-    The count covers every row of the group, the other two the present values.
-    """
-    keys = list(keys)
-    kept = df
-    for key in keys:
-        kept = kept.where(F.col(key).isNotNull())
-    basics = kept.groupBy(*keys).agg(F.avg(value).alias(mean), F.count(F.lit(1)).alias(rows))
-    middle = quantiles(kept, keys, value, {median: 0.5})
-    return basics.join(middle, keys, "left").select(*keys, median, mean, rows)
+def summarize(df: DataFrame, keys: Sequence[str], value: str, median: str, mean: str, rows: str) -> DataFrame:
+    """Median, mean and count of one measure per group, from the same two passes."""
+    out = quantiles(df, keys, value, {median: 0.5}, {"mean": mean, "count": rows})
+    return out.select(*keys, median, mean, rows)
 
 
 def modes(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
@@ -146,7 +149,7 @@ def percentile_ranks(df: DataFrame, value: str, out: str) -> DataFrame:
     rows = df.select(F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", bin_of(F.col("_v")))
     counts = stage(counts)
-    bins = stage(_bins(counts, [], F.col("_n")))
+    bins = stage(_bins(counts, [], F.col("_n")).select("_bin", "_before", "_total"))
     upto = F.sum("_n").over(Window.partitionBy("_bin").orderBy("_v"))
     ranked = counts.join(bins, "_bin").select(
         "_v", ((F.col("_before") + upto - F.col("_n") + (F.col("_n") + 1) / 2) / F.col("_total")).alias(out)

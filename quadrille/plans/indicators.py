@@ -25,6 +25,7 @@ from ..operators.scoring import (
     indicator_risk, minmax, rank_score, weighted,
 )
 from ..operators.spatial import count_within, nearest, squared_degrees
+from ..session import stage
 
 YEAR, ZONE, CODE = "annee", "arrondissement", "code_insee_quartier"
 AREA, PART = "surface_quartier_m2", "part_surface"
@@ -194,14 +195,14 @@ def rents_by_quarter_year(rents: DataFrame) -> DataFrame:
 def rent_levels(rents: DataFrame, keys: list[str]) -> DataFrame:
     """Rent summary by any keys: median, mean, smallest, largest, with two decimals."""
     rows = present(rents, *keys, "loyer_reference")
-    basics = rows.groupBy(*keys).agg(
-        half_even(F.avg("loyer_reference"), 2).alias("loyer_reference_moyen"),
-        F.min("loyer_reference").alias("loyer_reference_min"),
-        F.max("loyer_reference").alias("loyer_reference_max"),
-        F.count(F.lit(1)).alias("nb_observations"),
-    )
-    middle = quantiles(rows, keys, "loyer_reference", {"_m": 0.5})
-    return basics.join(middle, keys).withColumn("loyer_reference_median", half_even(F.col("_m"), 2)).drop("_m")
+    facts = {"min": "loyer_reference_min", "max": "loyer_reference_max", "count": "nb_observations", "mean": "_mean"}
+    out = quantiles(rows, keys, "loyer_reference", {"_m": 0.5}, facts)
+    return out.withColumns(
+        {
+            "loyer_reference_median": half_even(F.col("_m"), 2),
+            "loyer_reference_moyen": half_even(F.col("_mean"), 2),
+        }
+    ).drop("_m", "_mean")
 
 
 def tension(sales: DataFrame, rents: DataFrame) -> DataFrame:
@@ -529,11 +530,15 @@ def five_axis_index(quarters: DataFrame, axes: Mapping[str, DataFrame], exponent
     wide = quarters
     for name, scores in axes.items():
         wide = wide.join(scores.select(CODE, name), CODE, "left")
-    filled = impute_median(wide, list(axes))
+    filled = impute_median(stage(wide), list(axes))
     return filled.withColumn("kpi_confort_urbain", geometric_index(exponents))
 
 
-def urban_comfort_five_axes(reports, works, rents, stations, quarters) -> DataFrame:
+def urban_comfort_five_axes(
+    reports: DataFrame, works: DataFrame, rents: DataFrame, stations: DataFrame, quarters: DataFrame
+) -> DataFrame:
+    """The five axes over one fine-zone dimension, written once because each axis reads it."""
+    quarters = stage(quarters)
     return five_axis_index(
         quarters,
         {

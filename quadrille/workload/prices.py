@@ -13,6 +13,7 @@ from ..plans import clean
 from ..plans import indicators as kpi
 from ..functions.numbers import half_even
 from ..functions.text import contains_folded
+from ..session import stage
 from .registry import Tables, query
 from .standins import QUARTERS, RAW_SALES, RENTS, SALES, VALID_SALES, code_of, q, quarters, raw_sales, rents, with_sql, z, zone_of
 
@@ -20,8 +21,12 @@ R6 = 6
 
 
 def sales(t: Tables) -> DataFrame:
-    """Sales after the validity filters and the price trim per source."""
-    return trim_quantiles(clean.filter_valid_sales(raw_sales(t)), "prix_m2", by=["source"])
+    """Sales after the validity filters and the price trim per source.
+
+    The valid sales are written once, as a cleaned layer would be: the trim and the
+    indicators read them several times.
+    """
+    return trim_quantiles(stage(clean.filter_valid_sales(raw_sales(t))), "prix_m2", by=["source"])
 
 
 def rounded(df: DataFrame, digits: int = R6) -> DataFrame:
@@ -358,9 +363,9 @@ def sparse_rents(t: Tables) -> DataFrame:
 
 
 @query("impute_group_median", with_sql(SPARSE_RENTS, select="""
-select arrondissement, code_insee_quartier, round_even(loyer, 4) as loyer from imputed"""))
+select arrondissement, code_insee_quartier, round_even(loyer, 6) as loyer from imputed"""))
 def impute_by_group(t: Tables) -> DataFrame:
-    return rounded(impute_group_median(sparse_rents(t), "arrondissement", "loyer"), 4)
+    return rounded(impute_group_median(sparse_rents(t), "arrondissement", "loyer"))
 
 
 @query("distance_to_median_score", with_sql(SPARSE_RENTS, select="""
