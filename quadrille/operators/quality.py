@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import half_even
 
 from ..functions.zones import zone2_published
+from .distribution import medians
 
 # Other names a required column may go by.
 ALIASES = {"code_iris": ["CODE_IRIS"], "kpi_confort_urbain": ["KPI_confort_urbain"]}
@@ -39,10 +40,17 @@ _CHECK = "check string, severity string, detail string, violations bigint"
 
 
 def missing_required(df: DataFrame, names: Sequence[str], aliases: Mapping[str, Sequence[str]] = ALIASES) -> DataFrame:
-    """One row per required column that neither it nor an alias provides."""
+    """Required columns that neither they nor an alias provide, with the rows that lack them."""
     absent = [n for n in names if n not in df.columns and not set(aliases.get(n, ())) & set(df.columns)]
-    rows = [("required_column", BLOCKING, n, 1) for n in absent]
-    return df.sparkSession.createDataFrame(rows, _CHECK)
+    return _flagged(df, [("required_column", BLOCKING, n) for n in absent])
+
+
+def _flagged(df: DataFrame, findings: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Findings about whole columns: each concerns every row of the table."""
+    if not findings:
+        return df.sparkSession.createDataFrame([], _CHECK)
+    lines = [_violation(*f, F.lit(True)) for f in findings]
+    return df.agg(F.array(*lines).alias("t")).select(F.explode("t").alias("t")).select("t.*")
 
 
 def _violation(check: str, severity: str, detail: str, bad: Column) -> Column:
@@ -75,12 +83,9 @@ def value_checks(df: DataFrame, zone: str = "arrondissement", year: str = "annee
 
 def report(df: DataFrame, required: Sequence[str], legacy: Mapping[str, str] = LEGACY_NAMES) -> DataFrame:
     """Every finding on a table, blocking or warning; an empty report is a clean table."""
-    spark = df.sparkSession
-    old = [("legacy_name", WARNING, n, 1) for n in legacy if n in df.columns]
+    old = [("legacy_name", WARNING, n) for n in legacy if n in df.columns]
     names = missing_required(df, required)
-    if old:
-        names = names.unionByName(spark.createDataFrame(old, _CHECK))
-    return value_checks(df).where("violations > 0").unionByName(names)
+    return value_checks(df).where("violations > 0").unionByName(names).unionByName(_flagged(df, old))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -115,8 +120,6 @@ def snapshot(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> Dat
 
 def regression_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Metric by metric, the two versions of a table and their difference."""
-    from .distribution import medians
-
     def facts(df: DataFrame, name: str) -> DataFrame:
         middle = medians(df, [], {f"{m}_median": m for m in measures})
         long = middle.select(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clip, half_even
-from .distribution import medians, quantiles
 
 # Exponents of the two generations of the geometric index.
 FIVE_AXES = {"s1": 0.30, "s2": 0.25, "s3": 0.15, "s4": 0.15, "s5": 0.15}
@@ -110,18 +109,20 @@ def rank_score(df: DataFrame, value: str, out: str) -> DataFrame:
     return ranked.withColumn(out, clip(F.col("_r") * 10, 0.01, 10.0)).drop("_r")
 
 
+# The next three work on a zone table, one row per fine zone, whose medians are small
+# aggregates. Fact rows go through ``distribution.quantiles``.
+
+
 def impute_group_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Missing value: the group's median, else the median of the table so far filled."""
-    middles = quantiles(df, [group], value, {"_m": 0.5})
+    middles = df.groupBy(group).agg(F.median(value).alias("_m"))
     filled = df.join(middles, group, "left").withColumn(value, F.coalesce(F.col(value), F.col("_m"))).drop("_m")
-    overall = quantiles(filled, [], value, {"_m": 0.5}).scalar()
-    return filled.withColumn(value, F.coalesce(F.col(value), overall))
+    return impute_median(filled, [value])
 
 
 def distance_to_median_score(df: DataFrame, value: str, out: str) -> DataFrame:
     """10 at the median, falling with the relative distance to it, clipped to 0.01..10."""
-    middle = quantiles(df, [], value, {"_m": 0.5}).scalar()
-    away = df.withColumn("_m", middle).withColumn(
+    away = df.withColumn("_m", df.agg(F.median(value)).scalar()).withColumn(
         "_away", F.try_divide(F.abs(F.col(value) - F.col("_m")), F.col("_m"))
     )
     farthest = away.agg(F.max("_away")).scalar()
@@ -131,9 +132,9 @@ def distance_to_median_score(df: DataFrame, value: str, out: str) -> DataFrame:
 
 def impute_median(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Fill each column's gaps with its table-wide median."""
-    middles = medians(df, [], {f"_{n}": n for n in names})
-    wide = df.withColumn("_mid", middles.select(F.struct(*middles.columns)).scalar())
-    return wide.withColumns({n: F.coalesce(F.col(n), F.col(f"_mid._{n}")) for n in names}).drop("_mid")
+    middles = df.agg(F.struct(*[F.median(n).alias(n) for n in names])).scalar()
+    wide = df.withColumn("_mid", middles)
+    return wide.withColumns({n: F.coalesce(F.col(n), F.col(f"_mid.{n}")) for n in names}).drop("_mid")
 
 
 def geometric_index(axes: Mapping[str, float], digits: int = 3) -> Column:

@@ -38,8 +38,7 @@ DAMAGED = f"""base as (
 
 
 @query("dq_required_columns", with_sql(DAMAGED, select="""
-select 'required_column' as check, 'blocking' as severity, 'prix_m2_median' as detail, 1::bigint as violations
-where (select count(*) from damaged) > 0"""))
+select 'required_column' as check, 'blocking' as severity, 'prix_m2_median' as detail, count(*) as violations from damaged"""))
 def dq_required_columns(t: Tables) -> DataFrame:
     return quality.missing_required(damaged(t), quality.REQUIRED["kpi_prix_m2_arrondissement"])
 
@@ -61,8 +60,8 @@ def dq_year_numeric(t: Tables) -> DataFrame:
 @query("dq_report", with_sql(DAMAGED, select="""
 select 'zone_format' as check, 'blocking' as severity, 'arrondissement' as detail, count(*) as violations from damaged where k % 7 < 2
 union all select 'year_numeric', 'blocking', 'annee', count(*) from damaged where k % 11 = 0
-union all select 'required_column', 'blocking', 'prix_m2_median', 1
-union all select 'legacy_name', 'warning', 'nb_ventes', 1"""))
+union all select 'required_column', 'blocking', 'prix_m2_median', count(*) from damaged
+union all select 'legacy_name', 'warning', 'nb_ventes', count(*) from damaged"""))
 def dq_report(t: Tables) -> DataFrame:
     return quality.report(damaged(t), quality.REQUIRED["kpi_prix_m2_arrondissement"])
 
