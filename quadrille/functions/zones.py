@@ -28,7 +28,8 @@ def pad_left(col: Column, width: int) -> Column:
 
 def digits_padded(col: Column, width: int) -> Column:
     """First run of digits, zero-padded; null when there is none."""
-    return pad_left(F.regexp_substr(col.cast("string"), F.lit(r"\d+")), width)
+    runs = F.regexp_extract_all(col.cast("string"), F.lit(r"\d+"), F.lit(0))
+    return pad_left(F.try_element_at(runs, F.lit(1)), width)
 
 
 def last_two(col: Column) -> Column:

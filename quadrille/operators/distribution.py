@@ -1,4 +1,7 @@
-"""Exact quantiles, ranks and modes that never hold one whole group in a task.
+"""Exact quantiles, ranks and modes that never hold one whole large group in a task.
+
+A table proven small by its size estimate goes through Spark's own exact aggregates, whose
+buffers it then fits. Anything larger takes the way below, with the same result.
 
 A group's values are first counted in logarithmic bins. The bin of a value is a fixed
 function of the value, so the number of bins per group is bounded whatever the row count
@@ -14,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import is_small, stage
 
 BINS_PER_E_FOLD = 2048
 
@@ -42,14 +45,16 @@ def _bins(rows: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
     )
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    # One partitioning and order for all, so one sort; a group has one row per bin.
+    group = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_bin")
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return totals.withColumns(
         {
-            "_before": F.sum("_in").over(group.orderBy("_bin")) - F.col("_in"),
-            "_total": F.sum("_in").over(group),
-            "_sum": F.sum("_s").over(group),
-            "_min": F.min("_lo").over(group),
-            "_max": F.max("_hi").over(group),
+            "_before": F.sum("_in").over(group) - F.col("_in"),
+            "_total": F.sum("_in").over(whole),
+            "_sum": F.sum("_s").over(whole),
+            "_min": F.min("_lo").over(whole),
+            "_max": F.max("_hi").over(whole),
         }
     )
 
@@ -61,17 +66,29 @@ def _wanted(total: Column, prob: float) -> tuple[Column, Column, Column]:
     return below, F.ceil(spot), spot - below
 
 
+_FACTS = {"count": F.count, "mean": F.avg, "min": F.min, "max": F.max}
+
+
 def quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], facts: Mapping[str, str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    probs: Mapping[str, float],
+    facts: Mapping[str, str] | None = None,
+    small_bytes: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, one column per entry of ``probs``.
 
     Groups with a missing key and missing values are left out. ``facts`` adds columns for
     ``count``, ``mean``, ``min`` and ``max`` of the values, ``{fact: column}``, from the
-    same pass.
+    same pass. ``small_bytes`` overrides the size up to which one aggregate does it all.
     """
-    keys = list(keys)
+    keys, facts = list(keys), dict(facts or {})
     rows = _valued(df, keys, value)
+    if is_small(df, small_bytes):
+        cuts = [F.percentile("_v", F.lit(float(p))).alias(n) for n, p in probs.items()]
+        extra = [_FACTS[fact]("_v").alias(n) for fact, n in facts.items()]
+        return rows.groupBy(*keys).agg(*cuts, *extra)
     bins = _bins(rows, keys, F.lit(1))
     holds = F.lit(False)
     for prob in probs.values():
@@ -97,23 +114,46 @@ def quantiles(
         "min": F.max("_min"),
         "max": F.max("_max"),
     }
-    measures += [known[fact].alias(name) for fact, name in (facts or {}).items()]
+    measures += [known[fact].alias(name) for fact, name in facts.items()]
     return spans.groupBy(*keys).agg(*measures) if keys else spans.agg(*measures)
 
 
-def medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
-    """Exact median of several columns, ``{output: column}``, in two passes together.
+def _long(df: DataFrame, keys: Sequence[str], values: Mapping[str, str], dtype: str) -> DataFrame:
+    """Columns as (output name, value) rows, so that all of them share each scan."""
+    pairs = [F.struct(F.lit(o).alias("k"), F.col(c).cast(dtype).alias("v")) for o, c in values.items()]
+    return df.select(*keys, F.explode(F.array(*pairs)).alias("_p")).select(
+        *keys, F.col("_p.k").alias("_k"), F.col("_p.v").alias("_x")
+    )
+
+
+def medians(
+    df: DataFrame,
+    keys: Sequence[str],
+    values: Mapping[str, str],
+    facts: Mapping[str, Mapping[str, str]] | None = None,
+    small_bytes: int | None = None,
+) -> DataFrame:
+    """Exact medians of several columns, ``{output: column}``.
 
-    The columns are read as (column name, value) rows so that all of them share the scans.
+    ``facts`` adds facts of single columns, ``{output: {fact: name}}``.
     """
-    keys = list(keys)
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(o).alias("k"), F.col(c).cast("double").alias("v")) for o, c in values.items()])
-    )
-    long = df.select(*keys, pairs.alias("_p")).select(*keys, F.col("_p.k").alias("_k"), F.col("_p.v").alias("_x"))
-    flat = quantiles(long, [*keys, "_k"], "_x", {"_m": 0.5})
-    picks = [F.max(F.when(F.col("_k") == o, F.col("_m"))).alias(o) for o in values]
-    return flat.groupBy(*keys).agg(*picks) if keys else flat.agg(*picks)
+    keys, facts = list(keys), dict(facts or {})
+    if is_small(df, small_bytes):
+        rows = df
+        for key in keys:
+            rows = rows.where(F.col(key).isNotNull())
+        measures = [F.median(c).alias(o) for o, c in values.items()]
+        extra = [_FACTS[f](values[o]).alias(n) for o, wanted in facts.items() for f, n in wanted.items()]
+        return rows.groupBy(*keys).agg(*measures, *extra)
+    used = {f: f"_{f}" for wanted in facts.values() for f in wanted}
+    flat = quantiles(_long(df, keys, values, "double"), [*keys, "_k"], "_x", {"_m": 0.5}, used, small_bytes)
+
+    def pick(output: str, column: str) -> Column:
+        return F.max(F.when(F.col("_k") == output, F.col(column)))
+
+    measures = [pick(o, "_m").alias(o) for o in values]
+    extra = [pick(o, f"_{f}").alias(n) for o, wanted in facts.items() for f, n in wanted.items()]
+    return flat.groupBy(*keys).agg(*measures, *extra)
 
 
 def summarize(df: DataFrame, keys: Sequence[str], value: str, median: str, mean: str, rows: str) -> DataFrame:
@@ -122,22 +162,21 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, median: str, mean:
     return out.select(*keys, median, mean, rows)
 
 
-def modes(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+def modes(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, str], small_bytes: int | None = None
+) -> DataFrame:
     """Most frequent value of several columns per group, smallest value among ties.
 
     Values are counted before they are compared, so a frequent value is reduced on the
     map side and a group is never gathered.
     """
     keys = list(keys)
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(o).alias("k"), F.col(c).cast("string").alias("v")) for o, c in values.items()])
-    )
-    long = df.select(*keys, pairs.alias("_p")).select(*keys, "_p.k", "_p.v")
-    counted = long.where("v is not null").groupBy(*keys, "k", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))
-    return counted.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("k") == o, best)).getField("v").alias(o) for o in values]
-    )
+    if is_small(df, small_bytes):
+        return df.groupBy(*keys).agg(*[F.mode(F.col(c).cast("string"), True).alias(o) for o, c in values.items()])
+    long = _long(df, keys, values, "string").where("_x is not null")
+    counted = long.groupBy(*keys, "_k", "_x").agg(F.count(F.lit(1)).alias("n"))
+    best = F.struct((-F.col("n")).alias("n"), F.col("_x").alias("v"))
+    return counted.groupBy(*keys).agg(*[F.min(F.when(F.col("_k") == o, best)).getField("v").alias(o) for o in values])
 
 
 def value_counts(df: DataFrame, *names: str, count: str = "n") -> DataFrame:

@@ -25,7 +25,7 @@ from ..operators.scoring import (
     indicator_risk, minmax, rank_score, weighted,
 )
 from ..operators.spatial import count_within, nearest, squared_degrees
-from ..session import stage
+from ..session import stage, stage_if_large
 
 YEAR, ZONE, CODE = "annee", "arrondissement", "code_insee_quartier"
 AREA, PART = "surface_quartier_m2", "part_surface"
@@ -71,6 +71,10 @@ def mean_price_by_zone(sales: DataFrame) -> DataFrame:
     return present(sales, ZONE).groupBy(ZONE).agg(F.avg("prix_m2").alias("prix_m2_moyen"))
 
 
+def _year_in(df: DataFrame, name: str) -> Column:
+    return F.col(name) if df.schema[name].dataType.simpleString() == "int" else whole(number_in(df, name))
+
+
 def _rent_rows(rents: DataFrame, repair_zone: bool = True) -> DataFrame:
     """Typed rents; the zone is repaired from the fine-zone code where there is one."""
     year = pick_column(rents, ["annee", "ann"])
@@ -79,10 +83,11 @@ def _rent_rows(rents: DataFrame, repair_zone: bool = True) -> DataFrame:
     if not (year and zone and rent):
         raise ValueError("rents need a year, a zone and a reference rent")
     zone_of = zone2(F.col(zone), postal=False)
-    code = pick_column(rents, ["numero insee du quartier", "code insee quartier"])
-    columns = {YEAR: whole(number_in(rents, year)), "loyer_reference": number_in(rents, rent)}
+    columns = {YEAR: _year_in(rents, year), "loyer_reference": number_in(rents, rent)}
+    code = pick_column(rents, ["code insee quartier", "numero insee du quartier"])
     if code:
-        insee = digits_padded(F.col(code), 7)
+        # A clean table already holds seven-digit text under the clean name.
+        insee = F.col(CODE) if code == CODE else digits_padded(F.col(code), 7)
         columns[CODE] = insee
         columns[ZONE] = harmonized_zone(insee, zone_of) if repair_zone else zone_of
     else:
@@ -165,10 +170,7 @@ def price_to_rent_evolution(by_quarter: DataFrame, before: int, after: int) -> D
 def rents_by_quarter_year(rents: DataFrame) -> DataFrame:
     """Rent levels per fine zone and year: medians and modes of the columns present."""
     keys = [YEAR, ZONE, CODE]
-    rows = present(_rent_rows(rents), *keys, "loyer_reference")
-    basics = rows.groupBy(*keys).agg(
-        F.avg("loyer_reference").alias("loyer_reference_moyen"), F.count(F.lit(1)).alias("nb_observations")
-    )
+    rows = stage_if_large(present(_rent_rows(rents), *keys, "loyer_reference"))
     middle = {
         "loyer_reference_median": "loyer_reference",
         "loyer_reference_majore_median": "loyer_reference_majore",
@@ -182,7 +184,8 @@ def rents_by_quarter_year(rents: DataFrame) -> DataFrame:
     }
     middle = {o: c for o, c in middle.items() if c in rows.columns}
     common = {o: c for o, c in common.items() if c in rows.columns}
-    out = basics.join(medians(rows, keys, middle), keys, "left")
+    facts = {"loyer_reference_median": {"mean": "loyer_reference_moyen", "count": "nb_observations"}}
+    out = medians(rows, keys, middle, facts)
     if common:
         out = out.join(modes(rows, keys, common), keys, "left")
     order = [

@@ -58,3 +58,22 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{staging_root(spark)}/staged/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# Tables below this size fit one aggregate's buffers whatever the skew of their keys: a
+# distinct value needs some bytes on disk, so 32 MB hold a few million of them at most.
+SMALL_BYTES = 32 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate, from file sizes; joins are over-, never underestimated."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    return estimated_bytes(df) <= (SMALL_BYTES if limit is None else limit)
+
+
+def stage_if_large(df: DataFrame) -> DataFrame:
+    """Stage a table that will be read several times, unless reading it again is cheap."""
+    return df if is_small(df) else stage(df)

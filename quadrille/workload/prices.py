@@ -13,7 +13,7 @@ from ..plans import clean
 from ..plans import indicators as kpi
 from ..functions.numbers import half_even
 from ..functions.text import contains_folded
-from ..session import stage
+from ..session import stage_if_large
 from .registry import Tables, query
 from .standins import QUARTERS, RAW_SALES, RENTS, SALES, VALID_SALES, code_of, q, quarters, raw_sales, rents, with_sql, z, zone_of
 
@@ -23,10 +23,10 @@ R6 = 6
 def sales(t: Tables) -> DataFrame:
     """Sales after the validity filters and the price trim per source.
 
-    The valid sales are written once, as a cleaned layer would be: the trim and the
-    indicators read them several times.
+    At scale the valid sales are written once, as a cleaned layer would be: the trim and
+    the indicators read them several times.
     """
-    return trim_quantiles(stage(clean.filter_valid_sales(raw_sales(t))), "prix_m2", by=["source"])
+    return trim_quantiles(stage_if_large(clean.filter_valid_sales(raw_sales(t))), "prix_m2", "source")
 
 
 def rounded(df: DataFrame, digits: int = R6) -> DataFrame:

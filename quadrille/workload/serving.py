@@ -11,7 +11,7 @@ from ..functions.numbers import half_even, years_of_rent
 from ..operators import serving
 from ..operators.distribution import quantiles
 from ..plans import indicators as kpi
-from ..session import stage
+from ..session import stage_if_large
 from ..sources.geojson import point_json
 from .prices import housing, rounded
 from .registry import Tables, query
@@ -49,9 +49,9 @@ def published(t: Tables, *names: str) -> dict[str, DataFrame]:
     out: dict[str, DataFrame] = {}
     wanted = names or tuple(CATEGORIES)
     if {"prix_m2", "comparaison"} & set(wanted):
-        out["prix_m2"] = stage(prices(t))
+        out["prix_m2"] = stage_if_large(prices(t))
     if {"loyers", "comparaison"} & set(wanted):
-        out["loyers"] = stage(rent_table(t))
+        out["loyers"] = stage_if_large(rent_table(t))
     if "comparaison" in wanted:
         ratio = years_of_rent(F.col("prix_m2_median"), F.col("loyer_reference_median"))
         both = out["prix_m2"].join(out["loyers"], [YEAR, CODE])
