@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import text_key
@@ -52,20 +52,32 @@ CLEANLINESS_TYPES = ["Propreté", "Voirie et espace public"]
 INCIVILITY_TYPES = ["Objets abandonnés", "Graffitis, tags, affiches et autocollants", "Mobiliers urbains"]
 
 
-def categorize(
-    cols: list[Column], rules: Iterable[tuple[str, list[str]]], default: str, word: bool = False
-) -> Column:
-    """Label of the first rule with a keyword in the joined text key.
+def categorize(key: Column, rules: Iterable[tuple[str, list[str]]], default: str, word: bool = False) -> Column:
+    """Label of the first rule with a keyword in a text key; see :func:`with_category`.
 
     Keywords match anywhere in the text; ``word=True`` asks for whole words.
     """
-    key = text_key(F.concat_ws(" ", *cols))
-    edge = ("(^|_)", "(_|$)") if word else ("", "")
-    chain = None
+    text, edge = (F.concat(F.lit("_"), key, F.lit("_")), "_") if word else (key, "")
+    labels = []
     for label, keywords in rules:
-        hit = key.rlike(f"{edge[0]}({'|'.join(keywords)}){edge[1]}")
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    return F.lit(default) if chain is None else chain.otherwise(default)
+        hit = F.lit(False)
+        for keyword in keywords:
+            hit = hit | F.contains(text, F.lit(f"{edge}{keyword}{edge}"))
+        labels.append(F.when(hit, F.lit(label)))
+    return F.coalesce(*labels, F.lit(default))
+
+
+def with_category(
+    df: DataFrame, cols: list[Column], out: Mapping[str, bool], rules=REPORT_RULES, default: str = REPORT_DEFAULT
+) -> DataFrame:
+    """Add category columns ``{name: whole words only}`` from the joined texts of a row.
+
+    The key is a column of its own, so a row's text is folded once for all its rules.
+    """
+    keyed = df.withColumn("_key", text_key(F.concat_ws(" ", *cols)))
+    return keyed.withColumns(
+        {name: categorize(F.col("_key"), rules, default, word) for name, word in out.items()}
+    ).drop("_key")
 
 
 def encode_first(key: Column, rules: Iterable[tuple[int, list[str]]]) -> Column:

@@ -312,7 +312,8 @@ def safety_by_iris(
     """
     near = nearest(
         points, stations, id_columns=["CODE_IRIS"], code="station", out_code="_station", out_distance="dist_commissariat_km"
-    ).drop("_station")
+    )
+    near = stage(near.drop("_station"))  # read for its range and for its rows
     scaled = minmax(near, {"dist_commissariat_km": "_s"})
     scaled = scaled.withColumn("commissariat_risk_100", F.col("_s") * 100).drop("_s")
     wide = scaled.join(crime_scores, ZONE, "left").join(camera_scores, ZONE, "left")
@@ -360,6 +361,7 @@ def safety_by_quarter(iris_scores: DataFrame, quarters: DataFrame) -> DataFrame:
 
     ``iris_scores`` comes from :func:`safety_by_iris`.
     """
+    iris_scores = stage(iris_scores)  # read for the places and for the scores
     static = iris_scores.select("CODE_IRIS", ZONE, "lat", "lon").dropDuplicates(["CODE_IRIS"])
     placed = attach_quarters(static, quarters).select("CODE_IRIS", CODE)
     rows = present(iris_scores.join(placed, "CODE_IRIS"), YEAR, ZONE, CODE)

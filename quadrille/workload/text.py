@@ -144,11 +144,8 @@ select doc_id, {_case_rules('cle', False)} as categorie, {_case_rules('cle', Tru
 def categorize_text(t: Tables) -> DataFrame:
     """Category of every whole text, by keyword anywhere and by whole word."""
     cols = [F.col("text"), F.col("lang")]
-    return t.documents.select(
-        "doc_id",
-        rules.categorize(cols, rules.REPORT_RULES, rules.REPORT_DEFAULT).alias("categorie"),
-        rules.categorize(cols, rules.REPORT_RULES, rules.REPORT_DEFAULT, word=True).alias("categorie_mot"),
-    )
+    out = rules.with_category(t.documents.select("doc_id", "text", "lang"), cols, {"categorie": False, "categorie_mot": True})
+    return out.select("doc_id", "categorie", "categorie_mot")
 
 
 MODES = {
