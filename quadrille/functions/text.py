@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-NBSP = " "
+NBSP = "\u00a0"
 
 
 def _latin_folding() -> tuple[str, str]:

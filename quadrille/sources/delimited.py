@@ -46,7 +46,7 @@ def read_delimited(
     ``multiline`` is asked for, files stay splittable.
     """
     if encoding == "auto":
-        undecodable = spark.read.text(path).where(F.contains("value", F.lit("�"))).limit(1).count()
+        undecodable = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
         encoding = "ISO-8859-1" if undecodable else "UTF-8"
     reader = _reader(spark, sep, encoding, null_value, multiline)
     df = reader.csv(path)
@@ -55,7 +55,7 @@ def read_delimited(
         names = [*[f"c{i}" for i in range(len(header))], _EXTRA]
         wide = reader.option("enforceSchema", "true").schema(", ".join(f"`{n}` string" for n in names)).csv(path)
         df = wide.where(F.col(_EXTRA).isNull()).drop(_EXTRA)
-    df = df.toDF(*[name.lstrip("﻿") for name in header])
+    df = df.toDF(*[name.lstrip("\ufeff") for name in header])
     return df if columns is None else df.select(*[F.col(f"`{c}`") for c in columns if c in df.columns])
 
 
