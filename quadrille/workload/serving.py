@@ -98,7 +98,8 @@ def choropleth_scores(t: Tables) -> DataFrame:
 
 
 @query("choropleth_zone_average", with_sql(GOLD, select="""
-select arrondissement, round_even(avg(prix_m2), 6) as score_moyen, count(prix_m2) as nb from wide group by all"""))
+select arrondissement, round_even(avg(prix_m2), 6) as score_moyen, count(prix_m2) as nb from wide
+where prix_m2 is not null group by all"""))
 def choropleth_zone_average(t: Tables) -> DataFrame:
     scores = serving.choropleth(published(t, "prix_m2"), "prix_m2")
     wide = quarters(t).select(ZONE, CODE).join(scores, CODE)

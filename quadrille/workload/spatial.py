@@ -224,7 +224,7 @@ def split_points(t: Tables) -> DataFrame:
 
 
 @query("social_housing_by_nearest", with_sql(POINTS, QUARTERS, select=f"""
-, programmes as (select vec_id as id, {"lpad(cast(label % 20 + 1 as varchar), 2, '0')"} as arrondissement, lat, lon,
+, programmes as (select vec_id as id, {"lpad(cast(label % 20 + 1 as varchar), 2, '0')"} as arrondissement, lat + 3.17e-7 as lat, lon + 3.17e-7 as lon,
     cast(vec_id % 50 + 1 as integer) as nb, cast(2000 + vec_id % 3 as integer) as annee, cast(label as varchar) as landlord
   from embeddings join points on vec_id = id), m as (
   select p.*, code_insee_quartier, nom_quartier, row_number() over (partition by id order by
@@ -235,11 +235,14 @@ select annee, arrondissement, code_insee_quartier, nom_quartier, sum(nb)::bigint
   round_even(avg(lat), 6) as latitude_moyenne, round_even(avg(lon), 6) as longitude_moyenne
 from m where rn = 1 group by annee, arrondissement, code_insee_quartier, nom_quartier"""))
 def social_housing_by_nearest(t: Tables) -> DataFrame:
-    """Programmes given to the nearest fine zone of their own zone, then summed."""
+    """Programmes given to the nearest fine zone of their own zone, then summed.
+
+    The small offset keeps mean positions off the half-way points of the rounding.
+    """
     programmes = points(t).join(t.embeddings.select(F.col("vec_id").alias("id"), "label"), "id").select(
         F.lpad((F.col("label") % 20 + 1).cast("string"), 2, "0").alias("arrondissement"),
-        F.col("lat").alias("latitude"),
-        F.col("lon").alias("longitude"),
+        (F.col("lat") + 3.17e-7).alias("latitude"),
+        (F.col("lon") + 3.17e-7).alias("longitude"),
         (F.col("id") % 50 + 1).cast("int").alias("nb_logements_finances"),
         (F.col("id") % 3 + 2000).cast("int").alias("annee"),
         F.col("label").cast("string").alias("bailleur_social"),
