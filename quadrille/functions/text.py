@@ -51,9 +51,8 @@ def fold_accents(col: Column) -> Column:
 
     Plain ASCII, as many bytes as characters, has nothing to drop and is passed through.
     """
-    ascii_only = F.octet_length(col) == F.length(col)
     folded = F.regexp_replace(F.translate(col, _ACCENTED, _PLAIN), r"\p{Mn}+", "")
-    return F.when(ascii_only, col).otherwise(folded)
+    return F.when(F.octet_length(col) == F.length(col), col).otherwise(folded)
 
 
 @F.pandas_udf(StringType())

@@ -86,9 +86,10 @@ def quantiles(
     keys, facts = list(keys), dict(facts or {})
     rows = _valued(df, keys, value)
     if is_small(df, small_bytes):
-        cuts = [F.percentile("_v", F.lit(float(p))).alias(n) for n, p in probs.items()]
+        cuts = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()])).alias("_cuts")
         extra = [_FACTS[fact]("_v").alias(n) for fact, n in facts.items()]
-        return rows.groupBy(*keys).agg(*cuts, *extra)
+        named = [F.col("_cuts")[i].alias(n) for i, n in enumerate(probs)]
+        return rows.groupBy(*keys).agg(cuts, *extra).select(*keys, *named, *facts.values())
     bins = _bins(rows, keys, F.lit(1))
     holds = F.lit(False)
     for prob in probs.values():

@@ -250,10 +250,9 @@ def containing_areas(
     box answer considers single polygons only.
     """
     ids = list(id_columns)
-    shaped = areas.where(F.col(polygons).isNotNull()).select(
-        F.col(code).alias("_code"), F.col(polygons).alias("_p"), outer_box(F.col(polygons)).alias("_b")
-    )
-    shaped = stage(shaped.where("_b.x0 is not null"))
+    # Parsed once; the boxes are then taken from stored rings.
+    parsed = stage(areas.select(F.col(code).alias("_code"), F.col(polygons).alias("_p")))
+    shaped = parsed.withColumn("_b", outer_box(F.col("_p"))).where("_p is not null")
     size = shaped.agg(
         F.greatest(F.avg(F.expr("_b.x1 - _b.x0")), F.avg(F.expr("_b.y1 - _b.y0")), F.lit(1e-9))
     ).scalar()

@@ -13,20 +13,24 @@ from ..plans import clean
 from ..plans import indicators as kpi
 from ..functions.numbers import half_even
 from ..functions.text import contains_folded
-from ..session import stage_if_large
+from ..session import stage
 from .registry import Tables, query
 from .standins import QUARTERS, RAW_SALES, RENTS, SALES, VALID_SALES, code_of, q, quarters, raw_sales, rents, with_sql, z, zone_of
 
 R6 = 6
 
 
-def sales(t: Tables) -> DataFrame:
+SALE_COLUMNS = ("source", "annee", "arrondissement", "prix_m2")
+
+
+def sales(t: Tables, *columns: str) -> DataFrame:
     """Sales after the validity filters and the price trim per source.
 
-    At scale the valid sales are written once, as a cleaned layer would be: the trim and
-    the indicators read them several times.
+    The valid sales are written once, as a cleaned layer would be, with the columns asked
+    for: the trim and the indicators read them several times and filter text no more.
     """
-    return trim_quantiles(stage_if_large(clean.filter_valid_sales(raw_sales(t))), "prix_m2", "source")
+    valid = clean.filter_valid_sales(raw_sales(t)).select(*(columns or SALE_COLUMNS))
+    return trim_quantiles(stage(valid), "prix_m2", "source")
 
 
 def rounded(df: DataFrame, digits: int = R6) -> DataFrame:
@@ -71,7 +75,8 @@ select distinct source, date_mutation::date::varchar as jour, valeur_fonciere, s
   arrondissement, annee, round_even(prix_m2, 6) as prix_m2 from sales"""))
 def clean_sales(t: Tables) -> DataFrame:
     """Filters, trim per source and exact dedupe over the whole table."""
-    kept = sales(t).select(
+    wanted = ["date_mutation", "valeur_fonciere", "surface_reelle_bati", "type_local", *SALE_COLUMNS]
+    kept = sales(t, *wanted).select(
         "source",
         F.date_format("date_mutation", "yyyy-MM-dd").alias("jour"),
         "valeur_fonciere",

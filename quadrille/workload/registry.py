@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import stage
+
 Query = Callable[["Tables"], DataFrame]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +28,12 @@ class Tables:
             self._read[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._read[name]
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small derived table, written on first use and read by the rest of the query."""
+        if name not in self._read:
+            self._read[name] = stage(build())
+        return self._read[name]
+
 
 def query(name: str, sql: str | None = None):
     """Register a query function under a name, with its SQL when SQL can express it."""

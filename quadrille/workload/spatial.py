@@ -127,14 +127,15 @@ def diamond(lat, lon):
 
 
 def areas(t: Tables) -> DataFrame:
-    shape = diamond(F.col("lat_q"), F.col("lon_q"))
-    return quarters(t).select(
+    """The fine zones as diamonds: GeoJSON text, parsed rings and centre."""
+    shaped = quarters(t).select(
         F.col("code_insee_quartier").alias("code"),
-        shape.alias("shape"),
-        polygons_of(shape).alias("polygons"),
+        diamond(F.col("lat_q"), F.col("lon_q")).alias("shape"),
         F.col("lat_q").alias("lat_c"),
         F.col("lon_q").alias("lon_c"),
     )
+    shaped = t.once("areas", lambda: shaped)
+    return shaped.withColumn("polygons", polygons_of(F.col("shape")))
 
 
 def located(t: Tables) -> DataFrame:

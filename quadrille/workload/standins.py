@@ -118,6 +118,10 @@ RENTS = f"""rents as (
 
 def quarters(t: Tables) -> DataFrame:
     """80 fine zones on a grid, with an area summed from their customers."""
+    return t.once("quarters dimension", lambda: _quarters(t))
+
+
+def _quarters(t: Tables) -> DataFrame:
     key = F.col("c_custkey")
     index = (key % 20) * 4 + quarter_no(key) - 1
     base = t.customer.groupBy(
