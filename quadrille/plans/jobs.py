@@ -47,6 +47,13 @@ _CLEANERS: dict[str, Callable[[Sequence[DataFrame]], DataFrame]] = {
     "works": lambda f: clean.clean_works(f[0]),
 }
 
+# The order of the written tables.
+_ORDER = {
+    "sales": ["annee", "arrondissement", "date_mutation"],
+    "social_housing": ["arrondissement", "annee_financement"],
+    "rents": ["annee", "arrondissement", "numero_quartier"],
+}
+
 # Tables with a year are written one folder per year, so yearly reads are pruned.
 _YEARLY = {"sales", "social_housing", "rents", "crime", "reports"}
 
@@ -61,7 +68,7 @@ def run_cleaning(spark: SparkSession, raw: str, layer: str) -> dict[str, str]:
         table = _CLEANERS[name]([read_delimited(spark, p, **options) for p in found])
         target = f"{layer.rstrip('/')}/{name}"
         by_year = ["annee"] if name in _YEARLY and "annee" in table.columns else []
-        write_layer(table, target, partition_by=by_year)
+        write_layer(table, target, partition_by=by_year, sort_by=_ORDER.get(name, by_year))
         written[name] = target
     return written
 

@@ -10,21 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# Settings worth having on any cluster: runtime re-planning, and splitting of skewed join
+# partitions even where that costs one more shuffle.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+_own_roots: dict[str, str] = {}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and benches on one machine."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("quadrille")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.driver.memory", "8g")
-    )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+    settings = {
+        "spark.ui.enabled": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.driver.memory": "8g",
+        **ADAPTIVE,
+        **{key.replace("__", "."): value for key, value in conf.items()},
+    }
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("quadrille")
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -34,16 +44,17 @@ def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back
-    to a temporary folder, because there every task runs on this machine.
+    to a temporary folder of its own, because there every task runs on this machine.
     """
-    root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_KEY, None) or context.getConf().get(_CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="quadrille-")
-    spark.conf.set(_CHECKPOINT_KEY, root)
-    return root
+    if context.applicationId not in _own_roots:
+        _own_roots[context.applicationId] = tempfile.mkdtemp(prefix="quadrille-")
+    return _own_roots[context.applicationId]
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -68,8 +68,16 @@ def first_path(spark: SparkSession, paths: Sequence[str]) -> str | None:
     return next((p for p in paths if exists(spark, p)), None)
 
 
-def write_layer(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite")
+def write_layer(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+) -> None:
+    """Write a layer table. Sorting, where wanted, happens here and nowhere before.
+
+    A sort spreads the rows by range first, so a year's rows meet in few files and a large
+    year is still cut into several.
+    """
+    keys = [c for c in sort_by if c in df.columns]
+    writer = (df.orderBy(*keys) if keys else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":

@@ -38,9 +38,9 @@ def social_table(t: Tables) -> DataFrame:
 
 
 def safety_table(t: Tables) -> DataFrame:
-    """Zone safety on the fine zones, the last fine zone of a zone left without."""
+    """Zone safety on the fine zones."""
     risk = kpi.crime_risk(crime(t)).withColumnRenamed("score_surete_delinq_100", "score_surete_quartier_moyen_100")
-    members = quarters(t).select(ZONE, CODE).where(~F.col(CODE).endswith("04"))
+    members = quarters(t).select(ZONE, CODE)
     return members.join(risk, ZONE).select(YEAR, CODE, "score_surete_quartier_moyen_100")
 
 
@@ -73,8 +73,7 @@ social as (select cast(year(l_shipdate) as integer) as annee, {q('l_partkey')} a
   round_even(avg(l_quantity), 2) as v, sum(l_quantity) as total from lineitem group by all), t_logements_sociaux as (
   select annee, code_insee_quartier, v from social), t_confort as (
   select 0 as annee, code_insee_quartier, score_confort_urbain_100 as v from confort), t_surete as (
-  select annee, code_insee_quartier, 100 - score_risque_delinq_100 as v from quarters join crime_risk using (arrondissement)
-  where code_insee_quartier not like '%04'), stacked as (
+  select annee, code_insee_quartier, 100 - score_risque_delinq_100 as v from quarters join crime_risk using (arrondissement)), stacked as (
   {" union all ".join(f"select '{c}' as category, annee, code_insee_quartier, v from t_{c}" for c in CATEGORIES)}), latest as (
   select category, code_insee_quartier, max_by(v, annee) as v, max(annee) as annee from stacked group by all), wide as (
   select arrondissement, code_insee_quartier, nom_quartier, {", ".join(f"max(case when category = '{c}' then v end) as {c}" for c in CATEGORIES)}

@@ -187,11 +187,14 @@ def filter_status(t: Tables) -> DataFrame:
 
 
 @query("filter_zone_prefix", f"""
-select {z('c_custkey')} as arrondissement, count(*) as n from customer where c_custkey % 3 <> 1 and c_custkey % 3 <> 2 group by all""")
+select {z('c_custkey')} as arrondissement, count(*) as n from customer
+where c_mktsegment not in ('AUTOMOBILE', 'BUILDING') group by all""")
 def filter_zone_prefix(t: Tables) -> DataFrame:
     """Commune codes of the city, of a suburb and of a zone that does not exist."""
     key = F.col("c_custkey")
-    commune = F.when(key % 3 == 0, F.concat(F.lit("751"), zone_of(key))).when(key % 3 == 1, "92044").otherwise("75199")
+    segment = F.col("c_mktsegment")
+    city = F.concat(F.lit("751"), zone_of(key))
+    commune = F.when(segment == "AUTOMOBILE", "92044").when(segment == "BUILDING", "75199").otherwise(city)
     rows = t.customer.select(commune.alias("codgeo")).where(F.col("codgeo").startswith("751"))
     return in_zones(rows.select(last_two(F.col("codgeo")).alias("arrondissement"))).groupBy("arrondissement").agg(
         F.count(F.lit(1)).alias("n")

@@ -76,3 +76,25 @@ def test_catalog(spark, tmp_path):
     catalog = quality.read_catalog(spark, str(tmp_path / "catalog.json"))
     files = spark.createDataFrame([("a.csv",), ("b.csv",)], "path string")
     assert [r.path for r in quality.uncatalogued(files, catalog).collect()] == ["b.csv"]
+
+
+def test_staging_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from quadrille import session
+
+    def fake(master, root):
+        conf = SimpleNamespace(get=lambda key, default=None: root)
+        context = SimpleNamespace(master=master, applicationId="app", getConf=lambda: conf)
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert session.staging_root(fake("spark://x", "/shared/")) == "/shared"
+    own = session.staging_root(fake("local[2]", None))
+    assert own == session.staging_root(fake("local[2]", None))
+    try:
+        session.staging_root(fake("spark://x", None))
+    except RuntimeError as error:
+        assert "spark.checkpoint.dir" in str(error)
+    else:
+        raise AssertionError("a cluster needs a shared folder")
+    assert session.stage(spark.range(3)).count() == 3
