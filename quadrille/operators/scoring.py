@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import clip, half_even
+from ..session import stage
 
 # Exponents of the two generations of the geometric index.
 FIVE_AXES = {"s1": 0.30, "s2": 0.25, "s3": 0.15, "s4": 0.15, "s5": 0.15}
@@ -122,6 +123,7 @@ def impute_group_median(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def distance_to_median_score(df: DataFrame, value: str, out: str) -> DataFrame:
     """10 at the median, falling with the relative distance to it, clipped to 0.01..10."""
+    df = stage(df)  # read for the median, for the farthest value and for the rows
     away = df.withColumn("_m", df.agg(F.median(value)).scalar()).withColumn(
         "_away", F.try_divide(F.abs(F.col(value) - F.col("_m")), F.col("_m"))
     )

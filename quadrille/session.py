@@ -77,7 +77,8 @@ SMALL_BYTES = 32 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, from file sizes; joins are over-, never underestimated."""
+    """Catalyst's size estimate, from file sizes. Joins are taken as products, so too large
+    rather than too small; rows made by an explode of generated values are not seen."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
