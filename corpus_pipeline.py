@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.llm.common import fresh
 from quadrille.llm.language_id import UNKNOWN, fit, predict
 from quadrille.llm.line_dedup import drop_line_copies
 from quadrille.llm.minhash import one_per_group
@@ -32,8 +33,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = fit(docs)
     if not model.languages:
         return docs.where(F.rlike(F.coalesce("text", F.lit("")), F.lit(r"\p{L}")))
-    judged = predict(docs, model, pred="__pred", score="__score")
-    kept = judged.where((F.col("__pred") != UNKNOWN) & (F.col("__score") >= LEAST_SCORE))
+    pred, score = fresh(docs, "__pred"), fresh(docs, "__score")
+    judged = predict(docs, model, pred=pred, score=score)
+    kept = judged.where((F.col(pred) != UNKNOWN) & (F.col(score) >= LEAST_SCORE))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

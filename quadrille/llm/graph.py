@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Pivots that each round compares with the rest of a bucket: a few for the dense groups, which one pivot
-#: settles, then more for what is left.
-PIVOTS = (1, 4, 16, 64, 256)
+#: Pivots that each round compares with the rest of a bucket: a few for the dense groups, which one or two
+#: pivots settle, then more for what is left.
+PIVOTS = (2, 16, 128, 1024)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node``, ``label`` of every node in ``edges`` (a, b): the smallest node it is connected with.
+    """``node``, ``label`` of every node in ``edges`` (a, b; staged): the smallest node it is connected with.
 
     Labels move along links and jump to their label's label, so rounds grow with the logarithm of a chain's
     length. Every step is a join or a map-side combined minimum; no component is gathered anywhere.
     """
-    both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stage(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -33,39 +33,48 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def linked_classes(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], pivots: tuple[int, ...] = PIVOTS
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Column, Column], Column] | None = None,
+    pivots: tuple[int, ...] = PIVOTS,
 ) -> DataFrame | None:
     """Classes (``node``, ``label``) of the links among nodes that share a bucket; null labels do not occur.
 
-    ``members`` holds distinct (bucket, node); ``verify`` takes staged pairs (a, b) and returns those that are
-    truly linked. Each round compares the first nodes of every bucket, its pivots, with the later ones, then
-    drops the pivots. Two nodes that are already known to be connected are not compared, and a bucket whose
-    nodes all are is left out, so a group of n mutual copies costs n comparisons, not n squared. Every two
-    nodes of a bucket end up compared or connected: no link between classes is lost, and nothing is capped.
-    Returns None if nothing is linked; unlinked nodes may be missing.
+    ``members`` holds distinct (bucket, node, size), size being what ``possible`` needs to tell if a link can be; ``verify``
+    takes pairs (a, b and others) and returns, with all columns, those that are truly linked. Each round compares the
+    first nodes of every bucket, its pivots, with the later ones, then drops the pivots. Two nodes that are already
+    known to be connected are not compared, and a bucket whose nodes all are is left out, so a group of n mutual
+    copies costs some n comparisons, not n squared. Every two nodes of a bucket end up compared or connected: no link
+    between classes is lost, and nothing is capped. Returns None if nothing is linked; unlinked nodes may be missing.
     """
-    left, links, classes = members.select("bucket", "node"), None, None
+    left, classes = members.select("bucket", "node", "size"), None
     round_ = 0
     while True:
         if classes is None:
             known = left.withColumn("label", F.col("node"))
         else:
             known = left.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        known = stage(known.select("bucket", "node", "label"))
         mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        mixed = stage(mixed.where("lo < hi").select("bucket"))
-        if not mixed.limit(1).count():
+        left = stage(known.join(mixed.where("lo < hi").select("bucket"), "bucket").select("bucket", "node", "size", "label"))
+        if not left.limit(1).count():
             return classes
-        left = stage(known.join(mixed, "bucket"))
         many = pivots[min(round_, len(pivots) - 1)]
         first = Window.partitionBy("bucket").orderBy("node")
         heads = left.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= many)
-        heads = stage(heads.select("bucket", F.col("node").alias("a"), F.col("label").alias("la")))
+        heads = heads.select("bucket", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
         met = left.join(heads, "bucket").where("a < node and la <> label")
-        pairs = stage(met.select("a", F.col("node").alias("b")).distinct())
-        found = stage(verify(pairs))
+        if possible is not None:
+            met = met.where(possible(F.col("sa"), F.col("size")))
+        pairs = met.select("a", F.col("node").alias("b"), "la", F.col("label").alias("lb")).distinct()
+        found = stage(verify(pairs).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
         if found.limit(1).count():
-            links = found if links is None else stage(links.unionByName(found))
-            classes = components(links)
-        left = left.select("bucket", "node").join(heads.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
+            merged = components(found)
+            if classes is None:
+                classes = merged
+            else:
+                joined = merged.select(F.col("node").alias("label"), F.col("label").alias("now"))
+                moved = classes.join(joined, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
+                classes = stage(moved.unionByName(merged.join(classes, "node", "left_anti")))
+        last = heads.groupBy("bucket").agg(F.max("a").alias("last"))
+        left = left.join(last, "bucket").where("node > last").select("bucket", "node", "size")
         round_ += 1

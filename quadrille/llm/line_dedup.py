@@ -7,8 +7,8 @@ stand in it. Lines that meet under a key are verified with a banded bit-parallel
 threshold + 1 diagonals is one machine word that slides along both lines. Everything is a column expression.
 
 Meeting keys are found by counting (smallest and largest line per key, combined on the map side), so the many keys
-of one line are dropped before any line is looked at, and a key that many lines share is compared by pivots
-(``graph.linked_classes``).
+of one line are dropped before any line is looked at. Lines that meet are cut again, into twice as many segments, and
+only those of which enough segments occur elsewhere are compared, by pivots (``graph.linked_classes``).
 """
 
 from __future__ import annotations
@@ -24,32 +24,54 @@ THRESHOLD = 2
 LEAST_CHARS = 20
 
 
-def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Column:
-    """An array of the keys under which a line is indexed and probes, without repeats."""
-    parts = threshold + 1
-    keys = []
-
-    def cut(indexed: Column, i: int) -> tuple[Column, Column]:
-        """Start (from 1) and length of segment ``i`` (from 1) in an indexed line: even parts, longer ones last."""
-        base = F.floor(indexed / parts).cast("int")
-        spare = (indexed - base * parts).cast("int")
-        start = (i - 1) * base + F.greatest(F.lit(0), F.lit(i - 1 - parts) + spare) + 1
-        size = base + F.when(F.lit(i) > parts - spare, F.lit(1)).otherwise(F.lit(0))
-        return start, size
-
+def _probes(parts: int, threshold: int) -> Column:
+    """The places where a line of a given length may hold a segment of a line that is as long or shorter: an array of
+    (``shorter``, ``part`` from 1, ``shift``). A line's own segments are those with ``shorter`` and ``shift`` 0."""
+    found = []
     for shorter in range(threshold + 1):
-        indexed = length - shorter
-        for i in range(1, parts + 1):
-            start, size = cut(indexed, i)
-            # Edits before the segment move it by i - 1 at most, edits behind it by the rest.
-            low = max(-(i - 1), shorter - (parts - i))
-            high = min(i - 1, shorter + (parts - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 1) & (at + size - 1 <= length)
-                key = F.xxhash64(indexed, F.lit(i), F.substring(line, at, size))
-                keys.append(F.when(inside, key))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+        for part in range(1, parts + 1):
+            for shift in range(-threshold, threshold + 1):
+                # Edits in front of the segment move it, those behind it make up for the lengths.
+                if abs(shift) + abs(shorter - shift) > threshold:
+                    continue
+                # With one segment more than edits, the first equal segment has part - 1 edits in front at most; so
+                # with the last one from behind.
+                if parts == threshold + 1 and (abs(shift) > part - 1 or abs(shift - shorter) > parts - part):
+                    continue
+                found.append(F.struct(F.lit(shorter).alias("shorter"), F.lit(part).alias("part"), F.lit(shift).alias("shift")))
+    return F.array(*found)
+
+
+def segment_keys(lines: DataFrame, parts: int, threshold: int) -> DataFrame:
+    """``lines`` (with ``line`` and its ``length``) once per key that they have: ``bucket``, ``shorter`` and ``part``.
+
+    Segments are even, longer ones last. The probes are exploded before the segments are cut, so each key is a few
+    generated instructions on its row.
+    """
+    rows = lines.withColumn("__probe", F.explode(_probes(parts, threshold))).select("*", "__probe.*").drop("__probe")
+    indexed = F.col("length") - F.col("shorter")
+    base = F.floor(indexed / parts).cast("int")
+    spare = (indexed - base * parts).cast("int")
+    rows = rows.withColumns({"__indexed": indexed, "__base": base, "__spare": spare})
+    long_from = F.lit(parts) - F.col("__spare")
+    at = (F.col("part") - 1) * F.col("__base") + F.greatest(F.lit(0), F.col("part") - 1 - long_from) + 1 + F.col("shift")
+    size = F.col("__base") + F.when(F.col("part") > long_from, F.lit(1)).otherwise(F.lit(0))
+    rows = rows.withColumns({"__at": at, "__size": size})
+    rows = rows.where((F.col("__size") > 0) & (F.col("__at") >= 1) & (F.col("__at") + F.col("__size") - 1 <= F.col("length")))
+    key = F.xxhash64(F.lit(parts), "__indexed", "part", F.substring(F.col("line"), F.col("__at"), F.col("__size")))
+    return rows.withColumn("bucket", key).drop("__indexed", "__base", "__spare", "__at", "__size")
+
+
+def _supported(nodes: DataFrame, threshold: int) -> DataFrame:
+    """The nodes that may have a partner: of two linked lines, cut into twice as many segments, at most ``threshold``
+    of them differ. A line whose segments occur in too few other lines, wherever, has no partner; so nothing that
+    merely shares a beginning with many is compared with them. Counts of keys only; no link is lost."""
+    parts = 2 * (threshold + 1)
+    keyed = segment_keys(nodes.select("node", "line", F.length("line").alias("length")), parts, threshold)
+    keyed = keyed.select("node", "bucket", "shorter", "part")
+    held = keyed.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("bucket")
+    met = keyed.join(held, "bucket", "left_semi").groupBy("node", "shorter").agg(F.count_distinct("part").alias("n"))
+    return met.where(F.col("n") >= parts - threshold).select("node").distinct()
 
 
 def _let(value: Column, body) -> Column:
@@ -89,9 +111,14 @@ def within_edits(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
     def behind(t: Column, have: Column, step: Column) -> Column:
         return F.substring(t, F.length(t) - have - step + 1, step)
 
+    def letters(cut: Column) -> Column:
+        """Both as arrays of characters, cut once."""
+        return F.struct(
+            F.split(cut["a"], "").alias("x"), F.split(cut["b"], "").alias("y"), F.length(cut["a"]).alias("m"), F.length(cut["b"]).alias("n")
+        )
+
     def decide(cut: Column) -> Column:
-        x, y = F.split(cut["a"], ""), F.split(cut["b"], "")
-        m, n = F.length(cut["a"]), F.length(cut["b"])
+        x, y, m, n = cut["x"], cut["y"], cut["m"], cut["n"]
 
         def column(state: Column, j: Column) -> Column:
             here = F.get(y, j - 1)
@@ -139,13 +166,13 @@ def within_edits(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
 
     prefix = _common(a, b, shortest, front)
     ends = _let(prefix, lambda p: F.struct(p.alias("p"), _common(a, b, shortest - p, behind).alias("s")))
-    near = _let(_let(ends, trimmed), decide)
+    near = _let(_let(_let(ends, trimmed), letters), decide)
     return F.when((la <= k) | (lb <= k) | (F.abs(la - lb) > k), F.lit(False)).otherwise(near)
 
 
 def _lines(docs: DataFrame, columns: list[str]) -> DataFrame:
     exploded = docs.select(*columns, F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    return exploded.where(F.rlike("line", F.lit(r"\S")))
+    return exploded.where(F.rlike("line", F.lit(r"\S"))).withColumn("length", F.length("line"))
 
 
 def line_classes(
@@ -161,27 +188,29 @@ def line_classes(
     if least_chars <= threshold + 1:
         raise ValueError("least_chars must exceed the number of segments")
     lines = _lines(docs, ["doc_id", "__row"])
-    length = F.length("line")
     ids = [F.xxhash64(F.lit(1), "line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2")]
-    long_ = lines.where(length >= least_chars)
-    keyed = long_.select(*ids, F.explode(segment_keys(F.col("line"), length, threshold)).alias("bucket"))
+    long_ = lines.where(F.col("length") >= least_chars).select(*ids, "line", "length")
+    keyed = segment_keys(long_, threshold + 1, threshold).select("bucket", "h1", "h2")
     shared = keyed.groupBy("bucket").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi")
-    members = joined_small(keyed, stage(shared.select("bucket")), ["bucket"]).select("bucket", "h1", "h2").distinct()
-    members = stage(members)
+    members = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]).distinct())
     # The texts of the lines that meet others, one row each; a node is a distinct line.
     met = stage(members.select("h1", "h2").distinct())
-    texts = joined_small(long_.select(*ids, "line"), met, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
+    texts = joined_small(long_.select("h1", "h2", "line"), met, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
     nodes = number_rows(texts, "node")
-    placed = stage(members.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("bucket", "node"))
+    nodes = stage(nodes.join(_supported(nodes, threshold), "node"))
+    sized = nodes.select("h1", "h2", "node", F.length("line").alias("size"))
+    placed = stage(members.join(sized, ["h1", "h2"]).select("bucket", "node", "size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("la")), "a")
-        near = near.join(nodes.select(F.col("node").alias("b"), F.col("line").alias("lb")), "b")
-        near = near.where(F.abs(F.length("la") - F.length("lb")) <= threshold)
-        return near.where(within_edits(F.col("la"), F.col("lb"), threshold)).select("a", "b")
+        near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("xa")), "a")
+        near = near.join(nodes.select(F.col("node").alias("b"), F.col("line").alias("xb")), "b")
+        return near.where(within_edits(F.col("xa"), F.col("xb"), threshold))
+
+    def possible(a: Column, b: Column) -> Column:
+        return F.abs(a - b) <= threshold
 
-    classes = linked_classes(placed, verify)
-    said = lines.select("doc_id", "__row", "line_no", length.alias("chars"), *ids)
+    classes = linked_classes(placed, verify, possible)
+    said = lines.select("doc_id", "__row", "line_no", F.col("length").alias("chars"), *ids)
     if classes is None:
         said = said.withColumns({"c1": F.col("h1"), "c2": F.col("h2")})
     else:
@@ -218,12 +247,13 @@ def drop_line_copies(docs: DataFrame, **options) -> DataFrame:
     number = fresh(docs, "__number")
     rows = number_rows(docs, number)
     found = line_classes(rows.select("doc_id", "text", F.col(number).alias("__row")), **options)
-    losses = found.groupBy("__row").agg(
-        F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("__lost"), F.max("kept").alias("__any")
+    lost = fresh(rows, "__lost")
+    losses = found.groupBy(F.col("__row").alias(number)).agg(
+        F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias(lost), F.max("kept").alias("any")
     )
-    losses = stage(losses.where("__any and size(__lost) > 0").select(F.col("__row").alias(number), "__lost"))
+    losses = stage(losses.where(F.col("any") & (F.size(lost) > 0)).select(number, lost))
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__lost", i)), "\n")
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(lost, i)), "\n")
     out = rows.join(losses, number, "left")
-    text = F.when(F.col("__lost").isNull(), F.col("text")).otherwise(left)
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(left)
     return out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,12 +6,14 @@ of independent hashes, and once every slot holds a value of an earlier step no l
 of many shingles stops after one or two steps. All documents of a batch take their steps together.
 
 Documents with equal shingle sets share one node, so a group of copies costs one row of a count. Nodes that share a
-band are compared by pivots (``graph.linked_classes``): confirmed on the full sets of shingles, without a pair
-for every two members of a group.
+band are candidates. Those that share too few shingles with all others of a fitting size are left out by a count; the
+rest are compared by pivots (``graph.linked_classes``) and confirmed on the full sets of shingles, without a pair for
+every two members of a group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_small, number_rows, stage, text_of
+from .common import fresh, joined_small, number_rows, stage, text_of
 from .graph import linked_classes
 from .language_id import mix
 
@@ -29,6 +31,7 @@ THRESHOLD = 85
 #: 16 bands of 4 rows: a pair at a similarity of 0.85 shares no band once in 140,000 times; at 0.8, once in 5,000.
 BANDS, ROWS = 16, 4
 CHUNK_WORDS = 150_000
+SIZE_STEP = 1.02
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -158,6 +161,34 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("node", "set_key", "text").mapInArrow(work, "node bigint, shingles array<bigint>")
 
 
+def size_class(size: Column) -> Column:
+    """Sets whose sizes differ by less than some two percent share a class."""
+    return F.floor(F.log(size) / F.lit(math.log(SIZE_STEP))).cast("int")
+
+
+def supported(sets: DataFrame, threshold: int) -> DataFrame:
+    """(``node``, ``size``, ``class``, ``near``) of the sets that may have a partner; ``near``: the classes it may be in.
+
+    Of two linked sets of sizes a and b, at least threshold / (100 + threshold) * (a + b) shingles are in both. A set
+    with fewer shingles that any other set of a class holds has no partner there. This count per set and class, of
+    keys only, leaves out what merely shares a passage or was rewritten too much, before any two sets are compared;
+    it drops no link.
+    """
+    reach = math.ceil(math.log(100 / threshold) / math.log(SIZE_STEP)) + 1
+    each = sets.select("node", F.size("shingles").alias("size"), size_class(F.size("shingles")).alias("class"), F.explode("shingles").alias("x"))
+    holders = each.groupBy("x", "class").agg(F.count(F.lit(1)).alias("d"), F.min("size").alias("m"))
+    # One entry per class that occurs: some fifty times the logarithm of the longest set, at most.
+    holders = holders.groupBy("x").agg(F.collect_list(F.struct("class", "d", "m")).alias("held"), F.sum("d").alias("all"))
+    met = each.join(holders.where("all > 1").select("x", "held"), "x")
+    close = F.filter(
+        "held", lambda h: (F.abs(h["class"] - F.col("class")) <= reach) & ((h["d"] > 1) | (h["class"] != F.col("class")))
+    )
+    met = met.select("node", "size", "class", F.explode(close).alias("h"))
+    shared = met.groupBy("node", "size", "class", F.col("h.class").alias("other")).agg(F.count(F.lit(1)).alias("n"), F.min("h.m").alias("m"))
+    enough = shared.where((100 + threshold) * F.col("n") >= threshold * (F.col("size") + F.col("m")))
+    return enough.groupBy("node", "size", "class").agg(F.collect_set("other").alias("near"))
+
+
 def handle_of(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
@@ -165,7 +196,8 @@ def handle_of(doc_id: Column, text: Column) -> Column:
 def near_duplicates(
     docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``handle`` (a digest of id and text).
+    """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``handle`` (a digest of id and text)
+    and ``group`` (a number per component, which tells components apart that share a repeated id; null without words).
 
     A document's set holds its distinct shingles of ``words`` words (A-Z lower-cased); with fewer words, the whole
     sequence as one. Two documents are linked if 100 * intersection >= threshold * union. ``component_id`` is the
@@ -180,38 +212,45 @@ def near_duplicates(
     signed = stage(sign(source, words, bands, rows))
     full = signed.where("n_shingles > 0")
     # Bands follow from the set, so they can be grouped by; copies become one node.
-    nodes = full.groupBy("set_key", "bands").agg(F.min("doc_id").alias("first_id"), F.min("handle").alias("handle"))
+    nodes = full.groupBy("set_key", "bands", F.col("n_shingles").alias("size")).agg(
+        F.min("doc_id").alias("first_id"), F.min("handle").alias("handle")
+    )
     nodes = number_rows(nodes, "node")
-    spread = nodes.select("node", F.explode("bands").alias("bucket"))
+    spread = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    members = stage(joined_small(spread, stage(shared.select("bucket")), ["bucket"]).select("bucket", "node"))
+    members = stage(joined_small(spread, stage(shared.select("bucket")), ["bucket"]))
+    # The sets of the nodes that meet others, read from the text again: all others never leave the scan.
     wanted = members.select("node").distinct().join(nodes.select("node", "set_key", "handle"), "node")
     wanted = stage(wanted)
     sets = joined_small(source.select("handle", "text"), wanted, ["handle"])
-    sets = stage(shingle_sets(sets, words).dropDuplicates(["node"]).withColumn("n", F.size("shingles").cast("bigint")))
+    sets = stage(shingle_sets(sets, words).dropDuplicates(["node"]))
+    able = stage(supported(sets, threshold))
+    sets = joined_small(sets, stage(able.select("node")), ["node"])
+    members = members.select("bucket", "node").join(able.select("node", F.struct("size", "class", "near").alias("size")), "node")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        near = near.join(sets.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-        near = near.where(100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-        near = near.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        near = near.select("a", "b", "na", "nb", both.alias("both"))
-        return near.where(100 * F.col("both") >= threshold * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
-    classes = linked_classes(members, verify)
+        near = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
+        near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
+        near = near.withColumn("both", F.size(F.array_intersect("xa", "xb")))
+        return near.where(100 * F.col("both") >= threshold * (F.size("xa") + F.size("xb") - F.col("both")))
+
+    def possible(a: Column, b: Column) -> Column:
+        alike = 100 * F.least(a["size"], b["size"]) >= threshold * F.greatest(a["size"], b["size"])
+        return alike & F.array_contains(a["near"], b["class"]) & F.array_contains(b["near"], a["class"])
+
+    classes = linked_classes(members, verify, possible)
     if classes is None:
         labelled = nodes.select("set_key", "first_id", F.col("node").alias("label"))
     else:
         labelled = nodes.join(classes, "node", "left").select("set_key", "first_id", F.coalesce("label", "node").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = labelled.join(smallest, "label").select("set_key", "component_id")
+    found = labelled.join(smallest, "label").select("set_key", "component_id", "label")
     out = signed.drop("bands").join(found, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "handle"
-    )
+        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "handle",
+        F.col("label").alias("group"),
+    )
 
 
 def one_per_group(docs: DataFrame, **options) -> DataFrame:
@@ -221,10 +260,10 @@ def one_per_group(docs: DataFrame, **options) -> DataFrame:
     """
     found = near_duplicates(docs, **options)
     full = found.where("kept and n_shingles > 0")
-    chosen = full.groupBy("component_id").agg(F.min("handle").alias("__handle")).select("__handle")
-    empty = found.where("n_shingles = 0").select(F.col("handle").alias("__handle"), F.lit(True).alias("__empty"))
-    chosen = stage(chosen.withColumn("__empty", F.lit(False)).unionByName(empty).distinct())
-    kept = docs.withColumn("__handle", handle_of(F.col("doc_id"), text_of("text")))
-    kept = joined_small(kept, chosen, ["__handle"])
-    whole = kept.where("__empty").drop("__handle", "__empty")
-    return kept.where("not __empty").dropDuplicates(["__handle"]).drop("__handle", "__empty").unionByName(whole)
+    handle, empty = fresh(docs, "__handle"), fresh(docs, "__empty")
+    chosen = full.groupBy("group").agg(F.min("handle").alias(handle)).select(handle, F.lit(False).alias(empty))
+    wordless = found.where("n_shingles = 0").select(F.col("handle").alias(handle), F.lit(True).alias(empty))
+    chosen = stage(chosen.unionByName(wordless).distinct())
+    kept = joined_small(docs.withColumn(handle, handle_of(F.col("doc_id"), text_of("text"))), chosen, [handle])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.where(~F.col(empty)).dropDuplicates([handle]).select(*columns).unionByName(kept.where(empty).select(*columns))

@@ -141,7 +141,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     number = fresh(docs, "__number")
     rows = number_rows(docs, number)
     mixed = mix_documents(rows, carry=[number], **options)
-    copies = (F.col("epochs") + F.col("extra").cast("bigint")).alias("__copies")
-    plan = mixed.where("size > 0").select(number, copies).where("__copies > 0")
-    repeated = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
-    return rows.join(plan, number).withColumn("__copies", repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = fresh(rows, "__copies")
+    times = (F.col("epochs") + F.col("extra").cast("bigint")).cast("int").alias(copies)
+    plan = mixed.where("size > 0").select(number, times).where(F.col(copies) > 0)
+    repeated = F.explode(F.sequence(F.lit(1), F.col(copies)))
+    return rows.join(plan, number).withColumn(copies, repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
