@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from .numbers import lenient_number
 from .text import NBSP
 
-# The coarse zones and the base their postal codes start from.
+# The coarse zones; their postal codes are 75001 to 75020.
 ZONE_COUNT = 20
-POSTAL_BASE = 75000
 ZONES = [f"{n:02d}" for n in range(1, ZONE_COUNT + 1)]
 
 _NUMBER_20 = r"([1-9]|0[1-9]|1[0-9]|20)(?:\.0*)?$"
 _ZONE = r"^0*" + _NUMBER_20
-_POSTAL_ZONE = rf"^(?:0*|{POSTAL_BASE // 100}(?=\d\d(?:\.0*)?$))" + _NUMBER_20
+_POSTAL_ZONE = r"^(?:0*|750(?=\d\d(?:\.0*)?$))" + _NUMBER_20
 
 MISSING_TEXT = "non_renseigne"
 

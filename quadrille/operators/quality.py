@@ -88,6 +88,16 @@ def report(df: DataFrame, required: Sequence[str], legacy: Mapping[str, str] = L
     return value_checks(df).where("violations > 0").unionByName(names).unionByName(_flagged(df, old))
 
 
+def blocking_findings(df: DataFrame, required: Sequence[str], keys: Sequence[str]) -> list[str]:
+    """What forbids publishing a table: absent columns, ill-formed zones and years, keys that occur twice."""
+    found = [f"{r.check} {r.detail}: {r.violations}" for r in report(df, required).where(F.col("severity") == BLOCKING).collect()]
+    absent = [k for k in keys if k not in df.columns]
+    if keys and not absent:
+        twice = duplicate_keys(df, keys).count()
+        found += [f"duplicate_key {', '.join(keys)}: {twice}"] if twice else []
+    return found
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
@@ -132,12 +142,20 @@ def regression_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], me
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-free content hash of a table."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    """Row count and an order-free content hash of a table.
+
+    A row is the text of its columns by name, each with its length in front and null told apart, so values cannot move
+    between columns unseen; its number is 60 bits of the md5 of that. Sums are decimals, which no table overflows.
+    """
+    parts = []
+    for name in sorted(df.columns):
+        text = F.col(f"`{name}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    number = F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("bigint")
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(F.pmod(row, F.lit(2**31))).alias("content_sum"),
-        F.bit_xor(row).alias("content_xor"),
+        F.coalesce(F.sum(number.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("content_sum"),
+        F.coalesce(F.bit_xor(number), F.lit(0)).alias("content_xor"),
     )
 
 

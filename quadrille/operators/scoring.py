@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import clip, half_even
 from ..session import stage
+from .distribution import medians, percentile_ranks, quantiles
 
 # Exponents of the two generations of the geometric index.
 FIVE_AXES = {"s1": 0.30, "s2": 0.25, "s3": 0.15, "s4": 0.15, "s5": 0.15}
@@ -85,38 +86,21 @@ def bounded(value: Column, low: float, high: float, inverse: bool) -> Column:
     return clip(100 - share if inverse else share, 0.0, 100.0)
 
 
-def zone_percentile(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Percentile rank over a zone table (tens of rows); ties averaged, rank / n.
-
-    Fact-sized tables go through ``distribution.percentile_ranks`` instead.
-    """
-    everything = Window.partitionBy(F.lit(0))
-    peers = Window.partitionBy(value)
-    rank = F.rank().over(everything.orderBy(value)) + (F.count(value).over(peers) - 1) / 2.0
-    share = rank / F.count(value).over(everything)
-    ordered = df.where(F.col(value).isNotNull()).withColumn(out, share)
-    return ordered.unionByName(df.where(F.col(value).isNull()), allowMissingColumns=True)
-
-
 def density_rank_score(df: DataFrame, amount: str, area: str, out: str, inverse: bool) -> DataFrame:
-    """Amount per area as a 0.01..10 rank score over a zone table."""
-    ranked = zone_percentile(df.withColumn("_d", F.try_divide(F.col(amount), F.col(area))), "_d", "_r")
+    """Amount per area as a 0.01..10 rank score."""
+    ranked = percentile_ranks(df.withColumn("_d", F.try_divide(F.col(amount), F.col(area))), "_d", "_r")
     share = 1 - F.col("_r") if inverse else F.col("_r")
     return ranked.withColumn(out, clip(share * 10, 0.01, 10.0)).drop("_d", "_r")
 
 
 def rank_score(df: DataFrame, value: str, out: str) -> DataFrame:
-    ranked = zone_percentile(df, value, "_r")
+    ranked = percentile_ranks(df, value, "_r")
     return ranked.withColumn(out, clip(F.col("_r") * 10, 0.01, 10.0)).drop("_r")
 
 
-# The next three work on a zone table, one row per fine zone, whose medians are small
-# aggregates. Fact rows go through ``distribution.quantiles``.
-
-
 def impute_group_median(df: DataFrame, group: str, value: str) -> DataFrame:
     """Missing value: the group's median, else the median of the table so far filled."""
-    middles = df.groupBy(group).agg(F.median(value).alias("_m"))
+    middles = quantiles(df, [group], value, {"_m": 0.5})
     filled = df.join(middles, group, "left").withColumn(value, F.coalesce(F.col(value), F.col("_m"))).drop("_m")
     return impute_median(filled, [value])
 
@@ -124,7 +108,8 @@ def impute_group_median(df: DataFrame, group: str, value: str) -> DataFrame:
 def distance_to_median_score(df: DataFrame, value: str, out: str) -> DataFrame:
     """10 at the median, falling with the relative distance to it, clipped to 0.01..10."""
     df = stage(df)  # read for the median, for the farthest value and for the rows
-    away = df.withColumn("_m", df.agg(F.median(value)).scalar()).withColumn(
+    middle = quantiles(df, [], value, {"_m": 0.5}).scalar()
+    away = df.withColumn("_m", middle).withColumn(
         "_away", F.try_divide(F.abs(F.col(value) - F.col("_m")), F.col("_m"))
     )
     farthest = away.agg(F.max("_away")).scalar()
@@ -134,7 +119,7 @@ def distance_to_median_score(df: DataFrame, value: str, out: str) -> DataFrame:
 
 def impute_median(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Fill each column's gaps with its table-wide median."""
-    middles = df.agg(F.struct(*[F.median(n).alias(n) for n in names])).scalar()
+    middles = medians(df, [], {n: n for n in names}).select(F.struct(*names)).scalar()
     wide = df.withColumn("_mid", middles)
     return wide.withColumns({n: F.coalesce(F.col(n), F.col(f"_mid.{n}")) for n in names}).drop("_mid")
 

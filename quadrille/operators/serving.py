@@ -38,7 +38,6 @@ HISTORY_MEASURES = {
 # Address fields searched, in the record and in its properties.
 ADDRESS_FIELDS = ["numero", "rue", "full", "adresse_numero", "adresse_nom_voie", "code_postal"]
 ADDRESS_KEY = ["numero", "rue", "code_postal", "lat", "lon"]
-SEARCH_CAP = 50
 
 
 def latest(df: DataFrame, keys: Sequence[str] = (CODE,), year: str = YEAR, at: int | None = None) -> DataFrame:
@@ -183,15 +182,21 @@ def address_records(documents: DataFrame) -> DataFrame:
     )
 
 
-def search_addresses(addresses: DataFrame, pattern: str, fields: Sequence[str] = ADDRESS_FIELDS) -> DataFrame:
-    """Distinct addresses with the pattern in any field; every hit, in key order."""
-    hit = any_match([F.col(f) for f in fields if f in addresses.columns], pattern)
-    return addresses.where(hit).dropDuplicates([k for k in ADDRESS_KEY if k in addresses.columns])
+def search_addresses(documents: DataFrame, pattern: str, fields: Sequence[str] = ADDRESS_FIELDS) -> DataFrame:
+    """Distinct address records of the raw documents with the pattern in any field; every hit.
+
+    A field is searched where it stands, in the properties and in the document, before the record is assembled from
+    the first of them that has a value. Ordering and limits are the caller's.
+    """
+    inner = documents.schema["properties"].dataType.fieldNames() if "properties" in documents.columns else []
+    places = [F.col(f"properties.{f}") for f in fields if f in inner] + [F.col(f) for f in fields if f in documents.columns]
+    found = address_records(documents.where(any_match(places, pattern)))
+    return found.dropDuplicates(ADDRESS_KEY)
 
 
-def search_places(addresses: DataFrame, quarters: DataFrame, pattern: str, cap: int = SEARCH_CAP) -> DataFrame:
+def search_places(documents: DataFrame, quarters: DataFrame, pattern: str) -> DataFrame:
     """Matching addresses; zones by name only when no address matches."""
-    found = search_addresses(addresses, pattern)
+    found = search_addresses(documents, pattern)
     anything = found.agg(F.count(F.lit(1))).scalar()
     zones = quarters.where(any_match([F.col("nom_quartier")], pattern)).select(
         F.lit("").alias("numero"),
@@ -203,8 +208,7 @@ def search_places(addresses: DataFrame, quarters: DataFrame, pattern: str, cap:
         F.lit("Quartier").alias("type"),
     )
     fallback = zones.withColumn("_n", anything).where("_n = 0").drop("_n")
-    capped = found.orderBy(*ADDRESS_KEY).limit(cap)
-    return capped.select(*zones.columns).unionByName(fallback)
+    return found.select(*zones.columns).unionByName(fallback)
 
 
 def postal_prefix(zone: Column, stem: str = "75") -> Column:

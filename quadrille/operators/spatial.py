@@ -1,10 +1,10 @@
 """Nearest, radius and containment joins.
 
-Reference sides are zone dimensions in practice (stations, district centres). When a
-size check confirms that, they travel as one array per group and each point is resolved
-in its own row, with no pair rows and no second shuffle. Beyond the check the same result
-comes from a pyramid of grid cells with tight boxes, searched level by level; a point only
-ever meets the few boxes that can still hold its nearest reference.
+Nearest references are found by one search tree for every size. References, in the order of a curve that keeps
+neighbours together, are cut into leaves of some hundred; leaves and then nodes are grouped under nodes with tight
+boxes until a group of references has one small list of nodes. A place walks down that tree: in its own row it drops
+the boxes that are farther away than the nearest reference of another box can be, and only what is left is joined
+with the next level. Two levels serve some ten thousand references of a group, three a million.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from ..functions.geo import KM_PER_DEGREE, degrees_for, distance_km, in_rings, outer_box
 from ..session import stage
 
-MAX_ARRAY_REFS = 2_000
-PYRAMID_LEVELS = 12
-_ROOM = 1 << (2 * PYRAMID_LEVELS)
+#: References in a leaf, and boxes in a node: the bounds of the arrays that rows carry.
+LEAF_REFS = 256
+NODE_BOXES = 64
+CURVE_BITS = 16
 
 Metric = Callable[[Column, Column, Column, Column], Column]
 
@@ -37,7 +38,6 @@ def nearest(
     points: DataFrame,
     refs: DataFrame,
     by: Sequence[str] = (),
-    id_columns: Sequence[str] = ("id",),
     lat: str = "lat",
     lon: str = "lon",
     code: str = "code",
@@ -46,101 +46,100 @@ def nearest(
     metric: Metric = distance_km,
     out_code: str = "nearest_code",
     out_distance: str = "nearest_distance",
-    max_refs: int = MAX_ARRAY_REFS,
+    leaf_refs: int = LEAF_REFS,
+    node_boxes: int = NODE_BOXES,
 ) -> DataFrame:
     """Add the nearest reference's code and distance to every point.
 
-    ``by`` restricts candidates to the same group. Ties go to the smallest code. A point
-    without position, or whose group has no reference, keeps nulls. ``id_columns`` must
-    identify a point.
+    ``by`` restricts candidates to the same group. Ties go to the smallest code. A point without position, or whose
+    group has no reference, keeps nulls. Equal places are searched once, and every point gets its place's answer, so
+    points need no identity. Runs jobs that write the tree.
     """
     by = list(by)
+    groups = [f"_g{i}" for i in range(len(by))] or ["_g0"]
     known = refs.where(_located(refs, ref_lat, ref_lon) & F.col(code).isNotNull())
     for key in by:
         known = known.where(F.col(key).isNotNull())
-    known = stage(known.select(*by, F.col(ref_lat).alias("_rlat"), F.col(ref_lon).alias("_rlon"), F.col(code).alias("_code")))
-    if known.limit(max_refs + 1).count() <= max_refs:
-        return _nearest_in_array(points, known, by, lat, lon, metric, out_code, out_distance)
-    return _nearest_in_pyramid(points, known, by, list(id_columns), lat, lon, metric, out_code, out_distance)
-
-
-def _nearest_in_array(points, known, by, lat, lon, metric, out_code, out_distance) -> DataFrame:
-    packed = F.collect_list(F.struct("_rlat", "_rlon", "_code"))
-    if by:
-        wide = points.join(known.groupBy(*by).agg(packed.alias("_refs")), by, "left")
-    else:
-        wide = points.withColumn("_refs", known.agg(packed).scalar())
+    named = [F.col(k).alias(g) for k, g in zip(by, groups)] or [F.lit(0).alias("_g0")]
+    at = [F.col(ref_lat).cast("double").alias("_rlat"), F.col(ref_lon).cast("double").alias("_rlon")]
+    # One reference per exact position, the smallest code, so equal positions never pile up.
+    spots = known.select(*named, *at, F.col(code).alias("_code")).groupBy(*groups, "_rlat", "_rlon").agg(F.min("_code").alias("_code"))
+    leaves, uppers, roots = _search_tree(stage(spots), groups, leaf_refs, node_boxes)
+
+    q_lat, q_lon = F.col("_qlat"), F.col("_qlon")
+    own = [F.col(k).alias(g) for k, g in zip(by, groups)] or [F.lit(0).alias("_g0")]
+    place = [*own, F.col(lat).cast("double").alias("_qlat"), F.col(lon).cast("double").alias("_qlon")]
+    places = points.where(_located(points, lat, lon)).select(*place).distinct()
+
+    def prune(met: DataFrame) -> DataFrame:
+        """Boxes that may still hold the nearest reference. Box corners are real coordinates, so both bounds hold for the metric."""
+
+        def ends(box: Column) -> Column:
+            near = (F.least(F.greatest(q_lat, box["s"]), box["n"]), F.least(F.greatest(q_lon, box["w"]), box["e"]))
+            far = (
+                F.when(F.abs(box["s"] - q_lat) > F.abs(box["n"] - q_lat), box["s"]).otherwise(box["n"]),
+                F.when(F.abs(box["w"] - q_lon) > F.abs(box["e"] - q_lon), box["w"]).otherwise(box["e"]),
+            )
+            return F.struct(metric(q_lat, q_lon, *near).alias("lo"), metric(q_lat, q_lon, *far).alias("hi"), box["node"].alias("node"))
+
+        seen = met.withColumn("_b", F.transform("_boxes", ends))
+        seen = seen.withColumn("_ub", F.least("_ub", F.array_min(F.transform("_b", lambda b: b["hi"]))))
+        open_ = F.filter("_b", lambda b: b["lo"] <= F.col("_ub"))
+        return seen.withColumn("_b", F.explode(open_)).select(*groups, "_qlat", "_qlon", "_ub", F.col("_b.node").alias("_node"))
+
+    frontier = prune(places.join(roots, groups).withColumn("_ub", F.lit(None).cast("double")))
+    for level in uppers:
+        frontier = prune(frontier.join(level, "_node"))
     scored = F.transform(
-        "_refs",
-        lambda r: F.struct(
-            metric(F.col(lat), F.col(lon), r["_rlat"], r["_rlon"]).alias("d"), r["_code"].alias("code")
-        ),
-    )
-    best = F.when(_located(points, lat, lon), F.array_min(scored))
-    return wide.withColumn("_best", best).select(
-        *points.columns, F.col("_best.code").alias(out_code), F.col("_best.d").alias(out_distance)
+        "_refs", lambda r: F.struct(metric(q_lat, q_lon, r["lat"], r["lon"]).alias("d"), r["code"].alias("code"))
     )
-
-
-def _nearest_in_pyramid(points, known, by, ids, lat, lon, metric, out_code, out_distance) -> DataFrame:
-    points = stage(points)  # read twice: once to search, once to receive the answers
-    frame = known.agg(
+    final = frontier.join(leaves, "_node").withColumn("_best", F.array_min(scored))
+    best = final.groupBy(*groups, "_qlat", "_qlon").agg(F.min("_best").alias("_best"))
+    same = F.col(lat).cast("double").eqNullSafe(q_lat) & F.col(lon).cast("double").eqNullSafe(q_lon)
+    for key, g in zip(by, groups):
+        same = same & (F.col(f"_point.{key}") == F.col(f"_found.{g}"))
+    found = points.alias("_point").join(best.alias("_found"), same, "left")
+    return found.select("_point.*", F.col("_best.code").alias(out_code), F.col("_best.d").alias(out_distance))
+
+
+def _search_tree(spots: DataFrame, groups: list[str], leaf_refs: int, node_boxes: int):
+    """Leaves (``_node``, ``_refs``), the levels above from the top down (``_node``, ``_boxes``), and a list per group."""
+    frame = spots.agg(
         F.struct(
-            F.min("_rlat").alias("lat0"),
-            F.min("_rlon").alias("lon0"),
+            F.min("_rlat").alias("s"), F.min("_rlon").alias("w"),
             F.greatest(F.max("_rlat") - F.min("_rlat"), F.max("_rlon") - F.min("_rlon"), F.lit(1e-9)).alias("span"),
         )
-    ).scalar()
-    # One reference per exact position, the smallest code, so equal positions never pile up.
-    spots = known.groupBy(*by, "_rlat", "_rlon").agg(F.min("_code").alias("_code")).withColumn("_f", frame)
-
-    def index(value: str, origin: str) -> Column:
-        return F.least(
-            F.floor((F.col(value) - F.col(f"_f.{origin}")) / F.col("_f.span") * _ROOM), F.lit(_ROOM - 1)
-        ).cast("bigint")
-
-    spots = stage(spots.withColumns({"_ix": index("_rlon", "lon0"), "_iy": index("_rlat", "lat0")}).drop("_f"))
-
-    box = {"_s": "_rlat", "_n": "_rlat", "_w": "_rlon", "_e": "_rlon"}
-    ends = [(F.min if k in ("_s", "_w") else F.max)(v).alias(k) for k, v in box.items()]
-    levels = {PYRAMID_LEVELS: stage(spots.groupBy(*by, "_ix", "_iy").agg(*ends))}
-    for level in range(PYRAMID_LEVELS - 1, 0, -1):
-        finer = levels[level + 1]
-        up = [F.shiftright("_ix", 2).alias("_ix"), F.shiftright("_iy", 2).alias("_iy")]
-        merged = [(F.min if k in ("_s", "_w") else F.max)(k).alias(k) for k in box]
-        levels[level] = stage(finer.select(*by, *up, *box).groupBy(*by, "_ix", "_iy").agg(*merged))
-
-    q_lat, q_lon = F.col("_qlat"), F.col("_qlon")
-    # Box corners are real coordinates, so both bounds are exact for the metric itself.
-    near = (F.least(F.greatest(q_lat, F.col("_s")), F.col("_n")), F.least(F.greatest(q_lon, F.col("_w")), F.col("_e")))
-    far = (
-        F.when(F.abs(F.col("_s") - q_lat) > F.abs(F.col("_n") - q_lat), F.col("_s")).otherwise(F.col("_n")),
-        F.when(F.abs(F.col("_w") - q_lon) > F.abs(F.col("_e") - q_lon), F.col("_w")).otherwise(F.col("_e")),
-    )
-    at_least = metric(q_lat, q_lon, *near)
-    at_most = metric(q_lat, q_lon, *far)
-
-    places = points.where(_located(points, lat, lon)).select(
-        *ids, *[c for c in by if c not in ids], F.col(lat).cast("double").alias("_qlat"), F.col(lon).cast("double").alias("_qlon")
+    ).scalar()
+    cells = (1 << CURVE_BITS) - 1
+    curve = F.lit(0).cast("bigint")
+    for i in range(CURVE_BITS):
+        for place, name in enumerate(("_x", "_y")):
+            curve = curve + F.shiftleft(F.shiftright(name, i).bitwiseAND(F.lit(1).cast("bigint")), 2 * i + place)
+    placed = spots.withColumn("_f", frame).withColumns(
+        {n: F.floor((F.col(v) - F.col(f"_f.{o}")) / F.col("_f.span") * cells).cast("bigint") for n, v, o in (("_x", "_rlon", "w"), ("_y", "_rlat", "s"))}
     )
-    carried = [*ids, *[c for c in by if c not in ids], "_qlat", "_qlon"]
-    frontier = places.withColumns({"_px": F.lit(0).cast("bigint"), "_py": F.lit(0).cast("bigint")})
-    per_point = Window.partitionBy(*ids)
-    for level in range(1, PYRAMID_LEVELS + 1):
-        nodes = levels[level].withColumns({"_px": F.shiftright("_ix", 2), "_py": F.shiftright("_iy", 2)})
-        met = frontier.join(nodes, [*by, "_px", "_py"]).withColumns({"_lo": at_least, "_hi": at_most})
-        open_ = met.withColumn("_ub", F.min("_hi").over(per_point)).where("_lo <= _ub")
-        frontier = open_.select(*carried, F.col("_ix").alias("_px"), F.col("_iy").alias("_py"))
-        if level % 3 == 0:
-            frontier = stage(frontier)
-    final = frontier.join(
-        spots.withColumnsRenamed({"_ix": "_px", "_iy": "_py"}), [*by, "_px", "_py"]
-    ).withColumn("_d", metric(q_lat, q_lon, F.col("_rlat"), F.col("_rlon")))
-    best = final.groupBy(*ids).agg(F.min(F.struct(F.col("_d").alias("d"), F.col("_code").alias("code"))).alias("_best"))
-    return points.join(best, ids, "left").select(
-        *points.columns, F.col("_best.code").alias(out_code), F.col("_best.d").alias(out_distance)
-    )
-
+    rows = placed.withColumn("_z", curve).select(
+        *groups, "_z", F.col("_rlat").alias("s"), F.col("_rlat").alias("n"), F.col("_rlon").alias("w"), F.col("_rlon").alias("e"),
+        F.struct(F.col("_rlat").alias("lat"), F.col("_rlon").alias("lon"), F.col("_code").alias("code")).alias("_item"),
+    )
+    box = [F.min("s").alias("s"), F.max("n").alias("n"), F.min("w").alias("w"), F.max("e").alias("e")]
+    made, take, items = [], leaf_refs, "_refs"
+    count = spots.count()
+    while True:
+        # Runs of neighbours along the curve; a run lies in one range partition, so no group is put in order whole.
+        dealt = rows.repartitionByRange(max(1, count // (take * 1_000)), *groups, "_z").withColumn("_p", F.spark_partition_id())
+        spot = F.row_number().over(Window.partitionBy("_p", *groups).orderBy("_z", "s", "w")) - 1
+        runs = stage(dealt.withColumn("_run", F.floor(spot / take)))
+        level = runs.groupBy(*groups, "_p", "_run").agg(F.min("_z").alias("_z"), *box, F.collect_list("_item").alias(items))
+        level = stage(level.drop("_p", "_run").withColumn("_node", F.monotonically_increasing_id()))
+        made.append(level.select("_node", items))
+        nodes = level.select(*groups, "_z", "s", "n", "w", "e", F.struct("s", "n", "w", "e", F.col("_node").alias("node")).alias("_item"))
+        most = nodes.groupBy(*groups).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+        above = nodes.count()
+        if most <= node_boxes or above == count:
+            roots = stage(nodes.groupBy(*groups).agg(F.collect_list("_item").alias("_boxes")))
+            return made[0], made[:0:-1], roots
+        rows, count, take, items = nodes, above, node_boxes, "_boxes"
 
 
 def count_within(
@@ -245,36 +244,31 @@ def containing_areas(
 ) -> DataFrame:
     """Add the code of the area around each point, and of the box around it if asked.
 
-    Areas are laid over grid cells of about their own size and met on the cell; only
-    areas whose box holds the point are tested exactly. Several hits: smallest code. The
-    box answer considers single polygons only.
+    Every area is laid over the cells of a grid of its own size class (the power of two above its box), so it covers
+    four cells at most, whatever the others' sizes; a point looks into one cell per class that occurs. Only areas
+    whose box holds the point are tested exactly. Several hits: smallest code. The box answer considers single
+    polygons only. ``id_columns`` must identify a point.
     """
     ids = list(id_columns)
     # Parsed once; the boxes are then taken from stored rings.
     parsed = stage(areas.select(F.col(code).alias("_code"), F.col(polygons).alias("_p")))
     shaped = parsed.withColumn("_b", outer_box(F.col("_p"))).where("_p is not null")
-    size = shaped.agg(
-        F.greatest(F.avg(F.expr("_b.x1 - _b.x0")), F.avg(F.expr("_b.y1 - _b.y0")), F.lit(1e-9))
-    ).scalar()
-
-    def span(lo: str, hi: str) -> Column:
-        return F.sequence(F.floor(F.col(lo) / F.col("_c")), F.floor(F.col(hi) / F.col("_c")))
-
-    tiles = (
-        shaped.withColumn("_c", size)
-        .withColumn("_ix", F.explode(span("_b.x0", "_b.x1")))
-        .withColumn("_iy", F.explode(span("_b.y0", "_b.y1")))
-        .drop("_c")
-    )
-    placed = (
-        points.where(_located(points, lat, lon))
-        .select(*ids, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-        .withColumn("_c", size)
-        .withColumns({"_ix": F.floor(F.col("_lon") / F.col("_c")), "_iy": F.floor(F.col("_lat") / F.col("_c"))})
-        .drop("_c")
+    # Classes of equal cell size, from 2^-40 up to the whole globe: a list of at most some fifty numbers.
+    widest = F.greatest(F.expr("_b.x1 - _b.x0"), F.expr("_b.y1 - _b.y0"), F.lit(2.0**-40))
+    classed = stage(shaped.withColumn("_class", F.ceil(F.log2(widest)).cast("int")))
+    classes = classed.agg(F.collect_set("_class")).scalar()
+
+    def cell(value: Column) -> Column:
+        return F.floor(value / F.pow(F.lit(2.0), F.col("_class").cast("double")))
+
+    tiles = classed.withColumn("_ix", F.explode(F.sequence(cell(F.col("_b.x0")), cell(F.col("_b.x1"))))).withColumn(
+        "_iy", F.explode(F.sequence(cell(F.col("_b.y0")), cell(F.col("_b.y1"))))
     )
+    placed = points.where(_located(points, lat, lon)).select(*ids, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+    placed = placed.withColumn("_classes", classes).withColumn("_class", F.explode("_classes")).drop("_classes")
+    placed = placed.withColumns({"_ix": cell(F.col("_lon")), "_iy": cell(F.col("_lat"))})
     x, y = F.col("_lon"), F.col("_lat")
-    boxed = placed.join(tiles, ["_ix", "_iy"]).where(
+    boxed = placed.join(tiles, ["_class", "_ix", "_iy"]).where(
         x.between(F.col("_b.x0"), F.col("_b.x1")) & y.between(F.col("_b.y0"), F.col("_b.y1"))
     )
     answers = [F.min(F.when(in_rings(x, y, F.col("_p")), F.col("_code"))).alias(out)]
@@ -300,7 +294,6 @@ def assign_area(
     full = nearest(
         hit,
         areas,
-        id_columns=id_columns,
         lat=lat,
         lon=lon,
         code=code,

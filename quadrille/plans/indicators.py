@@ -25,7 +25,7 @@ from ..operators.scoring import (
     indicator_risk, minmax, rank_score, weighted,
 )
 from ..operators.spatial import count_within, nearest, squared_degrees
-from ..session import stage, stage_if_large
+from ..session import stage
 
 YEAR, ZONE, CODE = "annee", "arrondissement", "code_insee_quartier"
 AREA, PART = "surface_quartier_m2", "part_surface"
@@ -170,7 +170,7 @@ def price_to_rent_evolution(by_quarter: DataFrame, before: int, after: int) -> D
 def rents_by_quarter_year(rents: DataFrame) -> DataFrame:
     """Rent levels per fine zone and year: medians and modes of the columns present."""
     keys = [YEAR, ZONE, CODE]
-    rows = stage_if_large(present(_rent_rows(rents), *keys, "loyer_reference"))
+    rows = stage(present(_rent_rows(rents), *keys, "loyer_reference"))
     middle = {
         "loyer_reference_median": "loyer_reference",
         "loyer_reference_majore_median": "loyer_reference_majore",
@@ -228,13 +228,12 @@ def match_programmes(housing: DataFrame, quarters: DataFrame) -> DataFrame:
     places = with_quarter_points(quarters).select(
         zone2(F.col(ZONE)).alias(ZONE), F.struct(CODE, "nom_quartier").alias("_place"), "lat_q", "lon_q"
     )
-    rows = housing.withColumn("_id", F.monotonically_increasing_id()) if "_id" not in housing.columns else housing
     found = nearest(
-        rows, places, by=[ZONE], id_columns=["_id"], lat="latitude", lon="longitude", code="_place",
+        housing, places, by=[ZONE], lat="latitude", lon="longitude", code="_place",
         ref_lat="lat_q", ref_lon="lon_q", out_code="_hit", out_distance="_far",
     )
     return found.withColumns({CODE: F.col(f"_hit.{CODE}"), "nom_quartier": F.col("_hit.nom_quartier")}).drop(
-        "_hit", "_far", "_id"
+        "_hit", "_far"
     )
 
 
@@ -311,7 +310,7 @@ def safety_by_iris(
     without any crime score have one row; both ranges are the same set of distances.
     """
     near = nearest(
-        points, stations, id_columns=["CODE_IRIS"], code="station", out_code="_station", out_distance="dist_commissariat_km"
+        points, stations, code="station", out_code="_station", out_distance="dist_commissariat_km"
     )
     near = stage(near.drop("_station"))  # read for its range and for its rows
     scaled = minmax(near, {"dist_commissariat_km": "_s"})
@@ -337,7 +336,7 @@ def attach_quarters(points: DataFrame, quarters: DataFrame) -> DataFrame:
     )
     refs = places.select(ZONE, "lat_q", "lon_q", F.struct("_long", "_short", "nom_quartier").alias("_place"))
     found = nearest(
-        points, refs, by=[ZONE], id_columns=["CODE_IRIS"], code="_place", ref_lat="lat_q", ref_lon="lon_q",
+        points, refs, by=[ZONE], code="_place", ref_lat="lat_q", ref_lon="lon_q",
         out_code="_hit", out_distance="_far",
     )
     named = found.withColumn("_short", F.col("_hit._short")).join(repairs, "_short", "left")
@@ -412,12 +411,11 @@ def stations_to_zones(stations: DataFrame, quarters: DataFrame) -> DataFrame:
         .groupBy(F.col(ZONE).alias("zone_c"))
         .agg(F.avg("lat_q").alias("lat_c"), F.avg("lon_q").alias("lon_c"))
     )
-    rows = stations.withColumn("_id", F.monotonically_increasing_id()) if "_id" not in stations.columns else stations
-    rows = rows.drop(ZONE) if ZONE in rows.columns else rows
+    rows = stations.drop(ZONE) if ZONE in stations.columns else stations
     return nearest(
-        rows, centres, id_columns=["_id"], lat="latitude", lon="longitude", code="zone_c", ref_lat="lat_c",
+        rows, centres, lat="latitude", lon="longitude", code="zone_c", ref_lat="lat_c",
         ref_lon="lon_c", metric=squared_degrees, out_code=ZONE, out_distance="_far",
-    ).drop("_far", "_id")
+    ).drop("_far")
 
 
 def zone_of_rows(df: DataFrame) -> DataFrame:
@@ -539,6 +537,30 @@ def five_axis_index(quarters: DataFrame, axes: Mapping[str, DataFrame], exponent
     return filled.withColumn("kpi_confort_urbain", geometric_index(exponents))
 
 
+def urban_comfort_from_layer(
+    reports: DataFrame, works: DataFrame, rents: DataFrame, stations: DataFrame, quarters: DataFrame
+) -> DataFrame | None:
+    """The five-axis index from the cleaned tables; None if one of them lacks a column that an axis needs."""
+    needs = (
+        (reports, ("type_objet", "sous_type_objet", "conseil_de_quartier")),
+        (works, ("categorie_operation", "code_postal")),
+        (rents, ("annee", "code_insee_quartier", "type_location", "nombre_pieces_principales", "loyer_reference")),
+        (stations, ("latitude", "longitude")),
+        (quarters, (ZONE, CODE, "nom_quartier", AREA, "geometry_xy")),
+    )
+    if any(c not in df.columns for df, names in needs for c in names):
+        return None
+    named = reports.withColumnsRenamed({"type_objet": "type_declaration", "sous_type_objet": "sous_type_declaration"})
+    fine = with_quarter_points(quarters).select(ZONE, CODE, "nom_quartier", F.col(AREA).alias("surface_m2"), "lat_q", "lon_q")
+    return urban_comfort_five_axes(
+        match_by_name(named.drop(CODE), "conseil_de_quartier", fine),
+        works.select(F.col("categorie_operation").alias("categorie"), "code_postal"),
+        rents.select("annee", CODE, "type_location", F.col("nombre_pieces_principales").alias("nombre_pieces"), F.col("loyer_reference").alias("loyer")),
+        stations,
+        fine,
+    )
+
+
 def urban_comfort_five_axes(
     reports: DataFrame, works: DataFrame, rents: DataFrame, stations: DataFrame, quarters: DataFrame
 ) -> DataFrame:

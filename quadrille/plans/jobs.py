@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.quality import blocking_findings
+from ..session import stage, staging
 from ..sources.delimited import exists, read_delimited, read_layer, write_layer
 from ..sources.geojson import LAYERS, to_features, write_features
-from ..sources.publish import publish_fact, publish_manifest
+from ..sources.publish import CONTRACT_KEYS, contract_columns, publish_fact, publish_manifest
 from . import clean
 from . import indicators as kpi
 
@@ -65,14 +67,19 @@ def run_cleaning(spark: SparkSession, raw: str, layer: str) -> dict[str, str]:
         found = [p for p in (f"{raw.rstrip('/')}/{f}" for f in files) if exists(spark, p)]
         if not found:
             continue
-        table = _CLEANERS[name]([read_delimited(spark, p, **options) for p in found])
         target = f"{layer.rstrip('/')}/{name}"
-        by_year = ["annee"] if name in _YEARLY and "annee" in table.columns else []
-        write_layer(table, target, partition_by=by_year, sort_by=_ORDER.get(name, by_year))
+        with staging(spark):
+            table = _CLEANERS[name]([read_delimited(spark, p, **options) for p in found])
+            by_year = ["annee"] if name in _YEARLY and "annee" in table.columns else []
+            write_layer(table, target, partition_by=by_year, sort_by=_ORDER.get(name, by_year))
         written[name] = target
     return written
 
 
+# The years that the evolution compares.
+EVOLUTION_YEARS = (2021, 2025)
+
+
 def _tables(spark: SparkSession, layer: str) -> dict[str, DataFrame]:
     paths = {n: f"{layer.rstrip('/')}/{n}" for n in RAW_FILES}
     found = {n: read_layer(spark, p) for n, p in paths.items() if exists(spark, p)}
@@ -95,8 +102,9 @@ def published_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         ratio = kpi.price_to_rent_by_zone_year(tables["sales"], tables["rents"])
         out["fact_kpi_comparaison_achat_location_arrondissement"] = ratio
         if ready("quarters"):
-            by_quarter = kpi.price_to_rent_by_quarter_year(ratio, tables["quarters"])
+            by_quarter = stage(kpi.price_to_rent_by_quarter_year(ratio, tables["quarters"]))
             out["fact_kpi_comparaison_achat_location_quartier"] = by_quarter
+            out["fact_kpi_evolution_quartier"] = kpi.price_to_rent_evolution(by_quarter, *EVOLUTION_YEARS)
     if ready("rents"):
         out["fact_kpi_loyers_quartier"] = kpi.rents_by_quarter_year(tables["rents"])
     if ready("social_housing", "quarters"):
@@ -111,17 +119,35 @@ def published_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         stations = tables["police_stations"].select(
             F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.xxhash64("*").alias("station")
         )
-        scores = kpi.safety_by_iris(
-            kpi.iris_points(tables["iris"]), kpi.crime_risk(tables["crime"]), kpi.camera_risk(tables["cameras"]), stations
+        scores = stage(
+            kpi.safety_by_iris(
+                kpi.iris_points(tables["iris"]), kpi.crime_risk(tables["crime"]), kpi.camera_risk(tables["cameras"]), stations
+            )
         )
         out["fact_kpi_surete_quartier"] = kpi.safety_by_quarter(scores, tables["quarters"])
+        out["fact_kpi_surete_arrondissement"] = kpi.safety_by_zone(scores)
+        out["fact_kpi_surete_iris"] = scores
+    if ready("reports", "works", "rents", "stations", "quarters"):
+        index = kpi.urban_comfort_from_layer(*[tables[n] for n in ("reports", "works", "rents", "stations", "quarters")])
+        if index is not None:
+            out["fact_kpi_confort_cinq_axes"] = index
     return out
 
 
 def run_indicators(spark: SparkSession, layer: str, target: str) -> dict[str, str]:
-    """Publish every indicator and a manifest; any failure stops the run."""
-    tables = published_tables(_tables(spark, layer))
-    written = {n: publish_fact(df, n, f"{n}.parquet", target) for n, df in tables.items()}
+    """Publish every indicator and a manifest; any failure stops the run.
+
+    Each table is computed once, audited and then written: absent contract columns, ill-formed zones or years and
+    repeated keys raise before anything of it is published.
+    """
+    written = {}
+    with staging(spark):
+        for name, df in published_tables(_tables(spark, layer)).items():
+            ready = stage(df)
+            found = blocking_findings(ready, contract_columns(name), CONTRACT_KEYS.get(name, []))
+            if found:
+                raise ValueError(f"{name} is not published: {'; '.join(found)}")
+            written[name] = publish_fact(ready, name, f"{name}.parquet", target)
     if written:
         lines = {n: (spark.read.parquet(p).drop("loaded_at"), p) for n, p in written.items()}
         publish_manifest(lines).write.mode("overwrite").json(f"{target.rstrip('/')}/manifest")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,7 @@ ADAPTIVE = {
 }
 
 _own_roots: dict[str, str] = {}
+_runs: list[list[str]] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -67,25 +70,24 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/staged/{uuid.uuid4().hex}"
+    if _runs:
+        _runs[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Tables below this size fit one aggregate's buffers whatever the skew of their keys: a
-# distinct value needs some bytes on disk, so 32 MB hold a few million of them at most.
-SMALL_BYTES = 32 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, from file sizes. Joins are taken as products, so too large
-    rather than too small; rows made by an explode of generated values are not seen."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (SMALL_BYTES if limit is None else limit)
-
-
-def stage_if_large(df: DataFrame) -> DataFrame:
-    """Stage a table that will be read several times, unless reading it again is cheap."""
-    return df if is_small(df) else stage(df)
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside. For runs that write their result before they leave; a frame that
+    still reads a staged table must not outlive the context."""
+    paths: list[str] = []
+    _runs.append(paths)
+    try:
+        yield
+    finally:
+        _runs.remove(paths)
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        settings = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            target = path_of(path)
+            target.getFileSystem(settings).delete(target, True)

@@ -41,13 +41,13 @@ def read_delimited(
 ) -> DataFrame:
     """All columns as text; typing is left to expressions.
 
-    ``encoding="auto"`` reads UTF-8 and turns to Latin-1 when a line does not decode.
+    ``encoding="auto"`` decides line by line: UTF-8 where a line decodes, Latin-1 where it does not.
     ``on_bad="drop"`` leaves out lines with more fields than the header. Unless
     ``multiline`` is asked for, files stay splittable.
     """
     if encoding == "auto":
-        undecodable = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
-        encoding = "ISO-8859-1" if undecodable else "UTF-8"
+        df = _read_mixed(spark, path, sep, null_value, on_bad)
+        return df if columns is None else df.select(*[F.col(f"`{c}`") for c in columns if c in df.columns])
     reader = _reader(spark, sep, encoding, null_value, multiline)
     df = reader.csv(path)
     header = df.columns
@@ -59,6 +59,24 @@ def read_delimited(
     return df if columns is None else df.select(*[F.col(f"`{c}`") for c in columns if c in df.columns])
 
 
+def _read_mixed(spark: SparkSession, path: str, sep: str, null_value: str, on_bad: str) -> DataFrame:
+    """Every line decoded on its own, then split into fields. A field cannot hold a line break here."""
+    raw = spark.read.text(path)
+    line = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    lines = raw.select(F.ltrim(line, F.lit("\ufeff")).alias("line")).where(F.trim("line") != "")
+    first = lines.first()
+    if first is None:
+        return spark.createDataFrame([], "`" + "` string, `".join(_reader(spark, sep, "UTF-8", null_value, False).csv(path).columns or ["c0"]) + "` string")
+    options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": null_value}
+    head = spark.range(1).select(F.from_csv(F.lit(first["line"]), F.lit(", ".join(f"c{i} string" for i in range(first["line"].count(sep) + 1))), options).alias("h"))
+    header = [n if n is not None else f"_c{i}" for i, n in enumerate(head.first()["h"])]
+    names = [f"c{i}" for i in range(len(header))]
+    fields = F.from_csv("line", F.lit(", ".join(f"`{n}` string" for n in [*names, _EXTRA])), options)
+    rows = lines.where(F.col("line") != first["line"]).select(fields.alias("f")).select("f.*")
+    rows = rows.where(F.col(_EXTRA).isNull()) if on_bad == "drop" else rows
+    return rows.drop(_EXTRA).toDF(*header)
+
+
 def read_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | None:
     return read_delimited(spark, path, **options) if exists(spark, path) else None
 
@@ -69,15 +87,23 @@ def first_path(spark: SparkSession, paths: Sequence[str]) -> str | None:
 
 
 def write_layer(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    spread: int = 8,
 ) -> None:
     """Write a layer table. Sorting, where wanted, happens here and nowhere before.
 
-    A sort spreads the rows by range first, so a year's rows meet in few files and a large
-    year is still cut into several.
+    Rows of a partitioned table are dealt by folder and a share of their own hash, so a folder is written by up to
+    ``spread`` tasks however many rows it holds, and gets no more files than that. Every file is in order by itself.
     """
     keys = [c for c in sort_by if c in df.columns]
-    writer = (df.orderBy(*keys) if keys else df).write.mode("overwrite")
+    if partition_by:
+        share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread))
+        df = df.repartition(*partition_by, share)
+    writer = (df.sortWithinPartitions(*partition_by, *[k for k in keys if k not in partition_by]) if keys else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":

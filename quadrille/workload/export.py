@@ -11,6 +11,7 @@ from ..functions.numbers import half_even
 from ..session import staging_root
 from ..sources.geojson import feature_text, read_features, to_features, write_features
 from ..sources.publish import publish_manifest, with_lineage
+from .quality import fingerprint_sql
 from .registry import Tables, query
 from .standins import POINTS, QUARTERS, points, quarters, with_sql
 
@@ -24,12 +25,14 @@ def publish_fact_lineage(t: Tables) -> DataFrame:
     return with_lineage(rows, "quartiers.csv", clock=False)
 
 
-@query("publish_manifest", """
-select 'customer' as table_name, 'customer.parquet' as source, count(*) as rows from customer
-union all select 'events', 'events.parquet', count(*) from events""")
+MANIFEST = {"customer": ["c_custkey", "c_name", "c_mktsegment"], "events": ["event_id", "user_id", "event_type", "props"]}
+
+
+@query("publish_manifest", " union all ".join(
+    fingerprint_sql(n, c, table_name=n, source=f"{n}.parquet") for n, c in MANIFEST.items()))
 def manifest_of_tables(t: Tables) -> DataFrame:
-    out = publish_manifest({"customer": (t.customer, "customer.parquet"), "events": (t.events, "events.parquet")})
-    return out.select("table_name", "source", "rows")
+    out = publish_manifest({n: (getattr(t, n).select(*c), f"{n}.parquet") for n, c in MANIFEST.items()})
+    return out.withColumn("content_sum", F.col("content_sum").cast("string"))
 
 
 def placed(t: Tables) -> DataFrame:

@@ -345,8 +345,8 @@ def latest_year_filter(t: Tables) -> DataFrame:
 
 
 SPARSE_RENTS = f"""{QUARTERS}, {RENTS}, means as (
-  select code_insee_quartier, avg(loyer_reference) as loyer from rents
-  where annee = (select max(annee) from rents) and type_location = 'P' group by all), gaps as (
+  select code_insee_quartier, avg(case when code_insee_quartier not like '%03'
+    and code_insee_quartier not like '75105%' then loyer_reference end) as loyer from rents group by all), gaps as (
   select arrondissement, q.code_insee_quartier, loyer from quarters q left join means m using (code_insee_quartier)),
 filled as (
   select g.arrondissement, code_insee_quartier, coalesce(loyer, med) as loyer0 from gaps g left join (
@@ -355,15 +355,9 @@ imputed as (select arrondissement, code_insee_quartier, coalesce(loyer0, (select
 
 
 def sparse_rents(t: Tables) -> DataFrame:
-    """Mean rent of the latest year and one status per fine zone, with gaps."""
-    table = rents(t)
-    newest = table.agg(F.max("annee")).scalar()
-    means = (
-        table.withColumn("_newest", newest)
-        .where((F.col("annee") == F.col("_newest")) & (F.col("type_location") == "P"))
-        .groupBy("code_insee_quartier")
-        .agg(F.avg("loyer_reference").alias("loyer"))
-    )
+    """Mean rent per fine zone; one fine zone of each coarse zone and one whole coarse zone have none."""
+    known = ~F.col("code_insee_quartier").endswith("03") & ~F.col("code_insee_quartier").startswith("75105")
+    means = rents(t).groupBy("code_insee_quartier").agg(F.avg(F.when(known, F.col("loyer_reference"))).alias("loyer"))
     return quarters(t).select("arrondissement", "code_insee_quartier").join(means, "code_insee_quartier", "left")
 
 
@@ -431,12 +425,11 @@ def intensity_per_unit(t: Tables) -> DataFrame:
 
 @query("fill_zero_counts", with_sql(QUARTERS, select=f"""
 select q.code_insee_quartier, coalesce(n, 0) as n from quarters q left join (
-  select {q('user_id')} as code, count(*) as n from events where event_type = 'error' and value > 100 group by all) e
+  select {q('user_id')} as code, count(*) as n from events group by all) e
 on q.code_insee_quartier = e.code"""))
 def fill_zero_counts(t: Tables) -> DataFrame:
     """Aggregates joined onto the zone dimension, gaps as zero."""
-    hits = t.events.where("event_type = 'error' and value > 100")
-    counts = hits.groupBy(code_of(F.col("user_id")).alias("code_insee_quartier")).agg(F.count(F.lit(1)).alias("n"))
+    counts = t.events.groupBy(code_of(F.col("user_id")).alias("code_insee_quartier")).agg(F.count(F.lit(1)).alias("n"))
     wide = quarters(t).select("code_insee_quartier").join(counts, "code_insee_quartier", "left")
     return fill_zero(wide, "n")
 

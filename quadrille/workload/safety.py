@@ -124,11 +124,11 @@ def year_of_event(t: Tables) -> DataFrame:
 
 
 def zone_event_counts(t: Tables) -> DataFrame:
-    """Zone counts of three kinds of events, each above its own value."""
+    """Zone counts of three kinds of events."""
     return kpi.merge_counts(
-        kpi.zone_counts(located_events(t, "error").where("value > 150"), "incidents"),
-        kpi.zone_counts(located_events(t, "purchase").where("value > 150"), "travaux"),
-        kpi.zone_counts(located_events(t, "signup").where("value > 150"), "gares"),
+        kpi.zone_counts(located_events(t, "error"), "incidents"),
+        kpi.zone_counts(located_events(t, "purchase"), "travaux"),
+        kpi.zone_counts(located_events(t, "signup"), "gares"),
     )
 
 
@@ -136,7 +136,7 @@ COUNTS = "counts as (select arrondissement, " + ", ".join(
     f"count(case when event_type = '{k}' then 1 end) as {n}"
     for k, n in (("error", "incidents"), ("purchase", "travaux"), ("signup", "gares"))
 ) + f""" from (select {z('user_id')} as arrondissement, event_type from events
-  where value > 150 and event_type in ('error', 'purchase', 'signup')) e group by all)"""
+  where event_type in ('error', 'purchase', 'signup')) e group by all)"""
 
 
 @query("outer_merge_counts", with_sql(COUNTS, select="select * from counts"))

@@ -31,12 +31,12 @@ def text_keys(t: Tables) -> DataFrame:
 
 @query("geo_name", """
 select doc_id, md5(replace(replace(strip_accents(lower(trim(text, ' '))), '-', ' '), '_', ' ')) as nom
-from documents where lang <> 'de'
-union all select doc_id, md5('inconnu') from documents where lang = 'de'""")
+from documents
+union all select doc_id + 1000000000, md5('inconnu') from documents""")
 def geo_names(t: Tables) -> DataFrame:
-    """Readable place form of every whole text; a missing text is the unknown place."""
-    text = F.when(F.col("lang") != "de", F.col("text"))
-    return t.documents.select("doc_id", F.md5(geo_name(text)).alias("nom"))
+    """Readable place form of every whole text; as many added rows have none, which is the unknown place."""
+    added = t.documents.select((F.col("doc_id") + 1_000_000_000).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    return t.documents.select("doc_id", "text").unionByName(added).select("doc_id", F.md5(geo_name(F.col("text"))).alias("nom"))
 
 
 @query("lenient_number", """
@@ -268,10 +268,10 @@ def first_text(t: Tables) -> DataFrame:
 @query("search_text", with_sql(ADDRESSES, select="""
 select numero, rue, code_postal, round_even(lat, 6) as lat, round_even(lon, 6) as lon, "full", type from (
   select distinct numero, rue, code_postal, lat, lon, "full", type from addresses
-  where lower("full") like '%customer#0000000%5%' order by numero, rue, code_postal, lat, lon limit 50) x"""))
+  where lower(rue) like '%customer#00000%5%') x"""))
 def search_text(t: Tables) -> DataFrame:
-    """Addresses matching a pattern in any field, at most fifty in key order."""
-    found = search_places(address_records(address_documents(t)), placed_quarters(t), "CUSTOMER#0000000.*5")
+    """All addresses with the pattern in any of their twelve raw fields."""
+    found = search_places(address_documents(t), placed_quarters(t), "CUSTOMER#00000.*5")
     return found.withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
 
 
@@ -280,7 +280,7 @@ select '' as numero, nom_quartier as rue, '75' || arrondissement as code_postal,
   nom_quartier || ', Paris' as "full", 'Quartier' as type from quarters where nom_quartier like '%75107%'"""))
 def search_text_fallback(t: Tables) -> DataFrame:
     """No address matches, so zones are searched by name."""
-    found = search_places(address_records(address_documents(t)), placed_quarters(t), "place-.* 75107")
+    found = search_places(address_documents(t), placed_quarters(t), "place-.* 75107")
     return found.select("numero", "rue", "code_postal", "lat", "lon", "full", "type")
 
 

@@ -66,7 +66,7 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     root = f"/root/testdata/sf{sf}"
-    spark = local_session("8", 8)
+    spark = local_session("3", 8)
     con = connect(root)
     names = sys.argv[2:] or list(QUERIES)
     failed = []

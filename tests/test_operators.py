@@ -12,8 +12,8 @@ def rows(df, *order):
 
 
 @pytest.fixture(scope="module")
-def skewed(spark):
-    """One group with most rows, ties, negatives, a missing value and a missing key."""
+def skewed(spark, tmp_path_factory):
+    """One group with most rows, ties, negatives, a missing value and a missing key; read from files."""
     rng = np.random.default_rng(3)
     frame = pd.DataFrame(
         {
@@ -25,14 +25,20 @@ def skewed(spark):
     frame.loc[:49, "v"] = 7.0
     extra = [(None, 1.0, "x"), ("a", None, "x"), ("a", float("nan"), None)]
     df = spark.createDataFrame(frame).unionByName(spark.createDataFrame(extra, "g string, v double, t string"))
-    return frame, df
+    path = str(tmp_path_factory.mktemp("skewed"))
+    df.write.mode("overwrite").parquet(path)
+    return frame, spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("small_bytes", [0, 1 << 62])
-def test_quantiles_match_pandas(skewed, small_bytes):
+# One cell for each group; many rounds of cells; production values.
+ROUNDS = [(10**9, 4), (5, 3), (200, 16), (distribution.CELL_ROWS, distribution.BINS)]
+
+
+@pytest.mark.parametrize("cell", ROUNDS)
+def test_quantiles_match_pandas(skewed, cell):
     frame, df = skewed
     probs = {"lo": 0.01, "mid": 0.5, "hi": 0.99}
-    got = distribution.quantiles(df, ["g"], "v", probs, {"count": "n", "mean": "m"}, small_bytes).toPandas().set_index("g")
+    got = distribution.quantiles(df, ["g"], "v", probs, {"count": "n", "mean": "m"}, *cell).toPandas().set_index("g")
     for g, part in frame.groupby("g"):
         for name, p in probs.items():
             assert got.loc[g, name] == pytest.approx(part.v.quantile(p), rel=1e-12)
@@ -40,36 +46,62 @@ def test_quantiles_match_pandas(skewed, small_bytes):
     assert len(got) == 3
 
 
-@pytest.mark.parametrize("small_bytes", [0, 1 << 62])
-def test_medians_and_modes(skewed, small_bytes):
+@pytest.mark.parametrize("cell", ROUNDS[1:])
+def test_medians_and_modes(skewed, cell):
     frame, df = skewed
     df = df.withColumn("w", F.col("v") * 2)
-    got = distribution.medians(df, ["g"], {"mv": "v", "mw": "w"}, {"mv": {"count": "n"}}, small_bytes).toPandas().set_index("g")
+    got = distribution.medians(df, ["g"], {"mv": "v", "mw": "w"}, {"mv": {"count": "n"}}, *cell).toPandas().set_index("g")
     for g, part in frame.groupby("g"):
         assert got.loc[g, "mv"] == pytest.approx(part.v.median())
         assert got.loc[g, "mw"] == pytest.approx(part.v.median() * 2)
-    modes = distribution.modes(df.where("g is not null"), ["g"], {"t": "t"}, small_bytes).toPandas().set_index("g").t
+    modes = distribution.modes(df.where("g is not null"), ["g"], {"t": "t"}).toPandas().set_index("g").t
     assert modes.to_dict() == frame.groupby("g").t.agg(lambda s: s.mode().iat[0]).to_dict()
 
 
 def test_mode_ties_go_to_the_smallest(spark):
     df = spark.createDataFrame([("k", v) for v in ["b", "a", "b", "a", None]], "k string, v string")
-    for small in (0, 1 << 62):
-        assert rows(distribution.modes(df, ["k"], {"m": "v"}, small)) == [("k", "a")]
+    assert rows(distribution.modes(df, ["k"], {"m": "v"})) == [("k", "a")]
+
+
+@pytest.mark.parametrize("cell", ROUNDS)
+def test_groups_without_a_value_stay(spark, tmp_path, cell):
+    gaps = [("a", 1.0, "x"), ("a", 3.0, None), ("b", None, None), ("c", float("nan"), None), (None, 5.0, "y")]
+    spark.createDataFrame(gaps, "g string, v double, t string").write.parquet(str(tmp_path / "gaps"))
+    df = spark.read.parquet(str(tmp_path / "gaps"))
+    got = distribution.medians(df, ["g"], {"m": "v"}, {"m": {"count": "n"}}, *cell)
+    assert rows(got, "g") == [("a", 2.0, 2), ("b", None, 0), ("c", None, 0)]
+    assert rows(distribution.modes(df.where("g is not null"), ["g"], {"t": "t"}), "g") == [("a", "x"), ("b", None), ("c", None)]
+    nothing = distribution.quantiles(df.where("g = 'b'"), [], "v", {"m": 0.5}, None, *cell)
+    assert rows(nothing) == [(None,)]
+
+
+@pytest.mark.parametrize("cell", ROUNDS)
+def test_narrow_and_wide_ranges_are_split(spark, tmp_path, cell):
+    """Coordinates, tiny shares and values near both ends of a double: cells follow the data."""
+    rng = np.random.default_rng(8)
+    parts = {
+        "lat": 48.8 + rng.random(3000) / 10, "tiny": rng.random(3000) * 1e-9, "same": np.full(500, 2.5),
+        "wide": np.concatenate([rng.random(400) * 1e308, -rng.random(400) * 1e308, rng.random(700)]),
+    }
+    frame = pd.DataFrame([(g, v) for g, vs in parts.items() for v in vs], columns=["g", "v"])
+    spark.createDataFrame(frame).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = distribution.quantiles(df, ["g"], "v", {"q": 0.123, "m": 0.5}, None, *cell).toPandas().set_index("g")
+    for g, vs in parts.items():
+        assert got.loc[g, "q"] == pytest.approx(np.quantile(vs, 0.123), rel=1e-12)
+        assert got.loc[g, "m"] == pytest.approx(np.quantile(vs, 0.5), rel=1e-12)
 
 
 def test_quantile_example(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 10)], "v double")
-    for small in (0, 1 << 62):
-        got = distribution.quantiles(df, [], "v", {"a": 0.01, "b": 0.5, "c": 0.99}, None, small).first()
-        assert tuple(got) == pytest.approx((1.03, 2.5, 9.79))
+    got = distribution.quantiles(df, [], "v", {"a": 0.01, "b": 0.5, "c": 0.99}).first()
+    assert tuple(got) == pytest.approx((1.03, 2.5, 9.79))
 
 
 def test_percentile_ranks(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([1, 1, 2, 3])], "i int, v double")
     expected = [0.375, 0.375, 0.75, 1.0]
     assert [r.r for r in distribution.percentile_ranks(df, "v", "r").orderBy("i").collect()] == expected
-    assert [r.r for r in scoring.zone_percentile(df, "v", "r").orderBy("i").collect()] == expected
 
 
 def test_percentile_ranks_match_pandas(skewed):

@@ -1,19 +1,61 @@
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from quadrille.operators import quality
-from quadrille.sources import geojson, publish
+from quadrille.sources import delimited, geojson, publish
 
 
 def test_contract_casts_by_name(spark):
-    df = spark.createDataFrame([("x", "1", 2.5, "7510101")], "prix_m2_moyen string, annee string, prix_m2_median double, code_insee_quartier string")
+    df = spark.createDataFrame([(" ", "1", 2.5, "7510101")], "prix_m2_moyen string, annee string, prix_m2_median double, code_insee_quartier string")
     out = publish.cast_to_contract(df, publish.CONTRACTS["fact_kpi_prix_m2_quartier_annuel"])
     row = out.first()
     assert (row.annee, row.prix_m2_median, row.prix_m2_moyen, row.nb_ventes) == (1, Decimal("2.500000"), None, None)
     assert out.columns[:3] == ["annee", "arrondissement", "code_insee_quartier"]
-    assert set(publish.CONTRACTS) == set(publish.CONTRACT_KEYS)
+    assert set(publish.CONTRACTS) <= set(publish.CONTRACT_KEYS)
+    many = spark.createDataFrame([(3_000_000_000, float("nan"))], "nb_ventes bigint, prix_m2_median double")
+    row = publish.cast_to_contract(many, publish.CONTRACTS["fact_kpi_prix_m2_quartier_annuel"]).first()
+    assert (row.nb_ventes, row.prix_m2_median) == (3_000_000_000, None)
+    for bad in ("x", "1e30"):
+        wrong = spark.createDataFrame([(bad,)], "prix_m2_moyen string")
+        with pytest.raises(Exception, match="prix_m2_moyen: no decimal"):
+            publish.cast_to_contract(wrong, publish.CONTRACTS["fact_kpi_prix_m2_quartier_annuel"]).collect()
+
+
+def test_fingerprint_tells_nulls_and_columns_apart(spark):
+    def of(rows, schema="a string, b string"):
+        return tuple(quality.table_fingerprint(spark.createDataFrame(rows, schema)).first())
+
+    assert of([("x", None), ("y", "z")]) == of([("y", "z"), ("x", None)])
+    assert len({of([("x", None)]), of([(None, "x")]), of([("x", "")]), of([("", "x")]), of([("x", "-")])}) == 5
+    assert of([]) == (0, 0, 0)
+
+
+def test_one_year_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(4000).selectExpr("2020 + id % 2 as annee", "id", "lpad(id % 20, 2, '0') as arrondissement")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else so small a table is put together again
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    delimited.write_layer(df, str(tmp_path / "t"), partition_by=["annee"], sort_by=["annee", "arrondissement"])
+    spark.conf.set(key, before)
+    files = [p.parent.name for p in (tmp_path / "t").rglob("part-*.parquet")]
+    assert files.count("annee=2020") > 1 and len(files) <= 16
+    for path in (tmp_path / "t").rglob("part-*.parquet"):
+        zones = [r[0] for r in spark.read.parquet(str(path)).select("arrondissement").coalesce(1).collect()]
+        assert zones == sorted(zones)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+
+
+def test_encoding_is_decided_per_line(spark, tmp_path):
+    lines = ["\ufeffnom;é;n".encode(), "Été;x;1".encode(), "Été;y;2".encode("latin-1"), b"", 'a;"b;c";3'.encode(), b"d;e;4;5"]
+    (tmp_path / "f.csv").write_bytes(b"\n".join(lines) + b"\n")
+    df = delimited.read_delimited(spark, str(tmp_path / "f.csv"), sep=";", encoding="auto", on_bad="drop")
+    assert df.columns == ["nom", "é", "n"]
+    assert sorted(tuple(r) for r in df.collect()) == [("a", "b;c", "3"), ("Été", "x", "1"), ("Été", "y", "2")]
+    kept = delimited.read_delimited(spark, str(tmp_path / "f.csv"), sep=";", encoding="auto", columns=["n"])
+    assert sorted(r.n for r in kept.collect()) == ["1", "2", "3", "4"]
 
 
 def test_publish_fact(spark, tmp_path):

@@ -9,7 +9,7 @@ from check import compare, connect
 ROOT = "/root/testdata/sf0.001"
 SAMPLE = [
     "quantile_trim", "kpi_price_by_subzone_year", "price_to_rent", "rent_summary", "indicator_risk", "safety_score",
-    "comfort_score", "nearest_in_group", "assign_zone", "zone_ranking", "categorize_text", "manifest_verify",
+    "comfort_score", "nearest_in_group", "assign_zone", "zone_ranking", "categorize_text", "table_fingerprint",
 ]
 
 

@@ -29,11 +29,11 @@ def clouds(spark):
     return pts, refs, spark.createDataFrame(pts).unionByName(lost), spark.createDataFrame(refs)
 
 
-@pytest.mark.parametrize("max_refs", [0, 10_000])
+@pytest.mark.parametrize("tree", [(spatial.LEAF_REFS, spatial.NODE_BOXES), (3, 2), (20, 4)])
 @pytest.mark.parametrize("by", [[], ["zone"]])
-def test_nearest_matches_brute_force(clouds, max_refs, by):
+def test_nearest_matches_brute_force(clouds, tree, by):
     pts, refs, p, r = clouds
-    out = spatial.nearest(p, r, by=by, max_refs=max_refs).toPandas().set_index("id")
+    out = spatial.nearest(p, r, by=by, leaf_refs=tree[0], node_boxes=tree[1]).toPandas().set_index("id")
     assert len(out) == len(pts) + 1 and out.loc[900].nearest_code is None
     for row in pts.itertuples():
         pool = refs[refs.zone == row.zone] if by else refs
@@ -48,8 +48,8 @@ def test_nearest_matches_brute_force(clouds, max_refs, by):
 
 def test_nearest_by_squared_degrees(clouds):
     pts, refs, p, r = clouds
-    for max_refs in (0, 10_000):
-        out = spatial.nearest(p, r, metric=spatial.squared_degrees, max_refs=max_refs).toPandas().set_index("id")
+    for leaf in (spatial.LEAF_REFS, 7):
+        out = spatial.nearest(p, r, metric=spatial.squared_degrees, leaf_refs=leaf).toPandas().set_index("id")
         for row in pts.itertuples():
             d = (refs.lat - row.lat) ** 2 + (refs.lon - row.lon) ** 2
             assert out.loc[row.id].nearest_code == min(zip(d, refs.code))[1]
@@ -83,3 +83,27 @@ def test_areas(spark):
     pts = spark.createDataFrame([(1, 0.3, 0.3), (2, 1.8, 1.8), (3, 6.0, 6.0), (4, 3.0, 3.0), (5, None, 1.0)], "id int, lat double, lon double")
     got = {r.id: (r.area_code, r.matched_by) for r in spatial.assign_area(pts, areas).collect()}
     assert got == {1: ("a", "polygon"), 2: ("a", "box"), 3: ("b", "polygon"), 4: ("c", "nearest"), 5: (None, None)}
+
+
+def test_repeated_ids_get_their_own_answers(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (1, 5.0, 5.0), (1, 5.0, 5.0)], "id int, lat double, lon double")
+    refs = spark.createDataFrame([("a", 0.1, 0.0), ("b", 5.0, 5.1)], "code string, lat double, lon double")
+    for leaf in (spatial.LEAF_REFS, 1):
+        out = spatial.nearest(points, refs, leaf_refs=leaf).collect()
+        assert sorted((r.lat, r.nearest_code) for r in out) == [(0.0, "a"), (5.0, "b"), (5.0, "b")]
+
+
+def test_one_huge_area_among_small_ones(spark):
+    def square(x, y, side):
+        ring = [[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]
+        return f'{{"type":"Polygon","coordinates":[{ring}]}}'
+
+    small = [(f"s{i:02d}", square(i * 0.002, 10.0, 0.001)) for i in range(40)]
+    areas = spark.createDataFrame([("huge", square(-60.0, -60.0, 120.0)), ("dot", square(3.0, 3.0, 0.0)), *small], "code string, s string")
+    areas = areas.withColumn("polygons", polygons_of(F.col("s")))
+    places = [(i, 10.0005, i * 0.002 + 0.0005) for i in range(40)] + [(100, -59.0, 59.0), (101, 70.0, 0.0)]
+    points = spark.createDataFrame(places, "id int, lat double, lon double")
+    got = {r.id: r.area_code for r in spatial.containing_areas(points, areas).collect()}
+    assert got == {**{i: "huge" for i in range(40)}, 100: "huge", 101: None}
+    alone = {r.id: r.area_code for r in spatial.containing_areas(points, areas.where("code <> 'huge'")).collect()}
+    assert alone == {**{i: f"s{i:02d}" for i in range(40)}, 100: None, 101: None}
