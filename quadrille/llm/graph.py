@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Pivots that each round compares with the rest of a bucket: a few for the dense groups, which one or two
-#: pivots settle, then more for what is left.
-PIVOTS = (2, 16, 128, 1024)
+#: Pivots that a round may compare with the rest of a bucket, and the pairs per member it may come to. Where buckets
+#: are small one round compares all; a dense group is settled by its first pivots before more are tried.
+PIVOTS = (2, 8, 32, 128, 512, 2048)
+PAIRS_PER_MEMBER = 16
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,6 +38,7 @@ def linked_classes(
     verify: Callable[[DataFrame], DataFrame],
     possible: Callable[[Column, Column], Column] | None = None,
     pivots: tuple[int, ...] = PIVOTS,
+    pairs_per_member: int = PAIRS_PER_MEMBER,
 ) -> DataFrame | None:
     """Classes (``node``, ``label``) of the links among nodes that share a bucket; null labels do not occur.
 
@@ -48,7 +50,6 @@ def linked_classes(
     between classes is lost, and nothing is capped. Returns None if nothing is linked; unlinked nodes may be missing.
     """
     left, classes = members.select("bucket", "node", "size"), None
-    round_ = 0
     while True:
         if classes is None:
             known = left.withColumn("label", F.col("node"))
@@ -56,9 +57,12 @@ def linked_classes(
             known = left.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         left = stage(known.join(mixed.where("lo < hi").select("bucket"), "bucket").select("bucket", "node", "size", "label"))
-        if not left.limit(1).count():
+        sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        costs = [F.sum(F.col("n") * F.least(F.col("n"), F.lit(p))).alias(f"p{p}") for p in pivots]
+        total = sizes.agg(F.sum("n").alias("members"), F.max("n").alias("largest"), *costs).first()
+        if total["members"] is None:
             return classes
-        many = pivots[min(round_, len(pivots) - 1)]
+        many = max([pivots[0], *[p for p in pivots if total[f"p{p}"] <= pairs_per_member * total["members"]]])
         first = Window.partitionBy("bucket").orderBy("node")
         heads = left.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= many)
         heads = heads.select("bucket", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
@@ -75,6 +79,7 @@ def linked_classes(
                 joined = merged.select(F.col("node").alias("label"), F.col("label").alias("now"))
                 moved = classes.join(joined, "label", "left").select("node", F.coalesce("now", "label").alias("label"))
                 classes = stage(moved.unionByName(merged.join(classes, "node", "left_anti")))
+        if total["largest"] <= many + 1:
+            return classes
         last = heads.groupBy("bucket").agg(F.max("a").alias("last"))
         left = left.join(last, "bucket").where("node > last").select("bucket", "node", "size")
-        round_ += 1

@@ -7,8 +7,9 @@ stand in it. Lines that meet under a key are verified with a banded bit-parallel
 threshold + 1 diagonals is one machine word that slides along both lines. Everything is a column expression.
 
 Meeting keys are found by counting (smallest and largest line per key, combined on the map side), so the many keys
-of one line are dropped before any line is looked at. Lines that meet are cut again, into twice as many segments, and
-only those of which enough segments occur elsewhere are compared, by pivots (``graph.linked_classes``).
+of one line are dropped before any line is looked at. Where many lines meet they are cut again, into twice as many
+segments, and only those of which enough segments occur elsewhere stay. Lines are compared by pivots
+(``graph.linked_classes``), first by their letters' counts.
 """
 
 from __future__ import annotations
@@ -22,6 +23,12 @@ from .graph import linked_classes
 THRESHOLD = 2
 #: Shorter lines are compared exactly: two edits may turn one short line into any other.
 LEAST_CHARS = 20
+#: Letters that are counted to tell lines apart before they are compared; any choice gives the same result.
+LETTERS = "etaoinshrdlucmwf"
+#: Keys with more lines than this are thinned by a second count.
+CROWD = 16
+#: Fixed value: the white space of which a blank line consists.
+BLANK = " \t\n\x0b\f\r"
 
 
 def _probes(parts: int, threshold: int) -> Column:
@@ -63,9 +70,9 @@ def segment_keys(lines: DataFrame, parts: int, threshold: int) -> DataFrame:
 
 
 def _supported(nodes: DataFrame, threshold: int) -> DataFrame:
-    """The nodes that may have a partner: of two linked lines, cut into twice as many segments, at most ``threshold``
-    of them differ. A line whose segments occur in too few other lines, wherever, has no partner; so nothing that
-    merely shares a beginning with many is compared with them. Counts of keys only; no link is lost."""
+    """The nodes of crowded keys that may have a partner there: of two linked lines, cut into twice as many segments,
+    at most ``threshold`` differ. A line whose segments occur in too few others, wherever, has no partner, so what
+    merely shares a beginning with many is compared with none. Counts of keys only; no link is lost."""
     parts = 2 * (threshold + 1)
     keyed = segment_keys(nodes.select("node", "line", F.length("line").alias("length")), parts, threshold)
     keyed = keyed.select("node", "bucket", "shorter", "part")
@@ -74,6 +81,19 @@ def _supported(nodes: DataFrame, threshold: int) -> DataFrame:
     return met.where(F.col("n") >= parts - threshold).select("node").distinct()
 
 
+def letter_counts(line: Column) -> Column:
+    """Length and counts of frequent letters: an edit changes the surplus of one line over the other by one at most."""
+    counts = [(F.length(line) - F.length(F.translate(line, c, ""))).alias(f"n_{c}") for c in LETTERS]
+    return F.struct(F.length(line).alias("chars"), *counts)
+
+
+def _surplus(a: Column, b: Column) -> Column:
+    total = F.lit(0)
+    for c in LETTERS:
+        total = total + F.greatest(a[f"n_{c}"] - b[f"n_{c}"], F.lit(0))
+    return total
+
+
 def _let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it in ``body``."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -172,7 +192,7 @@ def within_edits(a: Column, b: Column, threshold: int = THRESHOLD) -> Column:
 
 def _lines(docs: DataFrame, columns: list[str]) -> DataFrame:
     exploded = docs.select(*columns, F.posexplode(F.split(F.col("text").cast("string"), "\n", -1)).alias("line_no", "line"))
-    return exploded.where(F.rlike("line", F.lit(r"\S"))).withColumn("length", F.length("line"))
+    return exploded.where(F.ltrim("line", F.lit(BLANK)) != "").withColumn("length", F.length("line"))
 
 
 def line_classes(
@@ -190,16 +210,19 @@ def line_classes(
     lines = _lines(docs, ["doc_id", "__row"])
     ids = [F.xxhash64(F.lit(1), "line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2")]
     long_ = lines.where(F.col("length") >= least_chars).select(*ids, "line", "length")
-    keyed = segment_keys(long_, threshold + 1, threshold).select("bucket", "h1", "h2")
+    keyed = segment_keys(long_, threshold + 1, threshold).select("bucket", "h1", "h2", "line")
     shared = keyed.groupBy("bucket").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi")
-    members = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]).distinct())
-    # The texts of the lines that meet others, one row each; a node is a distinct line.
-    met = stage(members.select("h1", "h2").distinct())
-    texts = joined_small(long_.select("h1", "h2", "line"), met, ["h1", "h2"]).groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    nodes = number_rows(texts, "node")
-    nodes = stage(nodes.join(_supported(nodes, threshold), "node"))
-    sized = nodes.select("h1", "h2", "node", F.length("line").alias("size"))
-    placed = stage(members.join(sized, ["h1", "h2"]).select("bucket", "node", "size"))
+    # The lines that meet others, with their texts; a node is a distinct line.
+    hits = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]))
+    nodes = number_rows(hits.groupBy("h1", "h2").agg(F.min("line").alias("line")), "node")
+    sized = nodes.select("h1", "h2", "node", letter_counts(F.col("line")).alias("size"))
+    placed = hits.select("bucket", "h1", "h2").distinct().join(sized, ["h1", "h2"]).select("bucket", "node", "size")
+    counted = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
+    placed = stage(placed.join(counted, "bucket"))
+    crowded = placed.where(F.col("crowd") > CROWD)
+    if crowded.limit(1).count():
+        able = _supported(nodes.join(crowded.select("node").distinct(), "node"), threshold)
+        placed = placed.where(F.col("crowd") <= CROWD).unionByName(crowded.join(able, "node", "left_semi").select(*placed.columns))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("xa")), "a")
@@ -207,7 +230,7 @@ def line_classes(
         return near.where(within_edits(F.col("xa"), F.col("xb"), threshold))
 
     def possible(a: Column, b: Column) -> Column:
-        return F.abs(a - b) <= threshold
+        return (F.abs(a["chars"] - b["chars"]) <= threshold) & (_surplus(a, b) <= threshold) & (_surplus(b, a) <= threshold)
 
     classes = linked_classes(placed, verify, possible)
     said = lines.select("doc_id", "__row", "line_no", F.col("length").alias("chars"), *ids)

@@ -34,7 +34,7 @@ def test_linked_classes_lose_no_link_and_compare_few(spark):
         return pairs.where("b < 1000 or (a = 1050 and b = 1058)")
 
     members = spark.createDataFrame(same + strangers, "bucket bigint, node bigint").withColumn("size", F.col("node") % 7)
-    classes = graph.linked_classes(members, verify)
+    classes = graph.linked_classes(members, verify, pairs_per_member=2)
     labels = {r["node"]: r["label"] for r in classes.collect()}
     assert {labels[i] for i in range(120)} == {0} and labels[1058] == 1050
     assert sum(b < 1000 for _, b in asked) == 119 + 118 and len(set(asked)) == len(asked)
