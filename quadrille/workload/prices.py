@@ -70,25 +70,6 @@ def quantile_trim(t: Tables) -> DataFrame:
     )
 
 
-@query("clean_sales", with_sql(SALES, select="""
-select distinct source, date_mutation::date::varchar as jour, valeur_fonciere, surface_reelle_bati, trim(type_local) as type_local,
-  arrondissement, annee, round_even(prix_m2, 6) as prix_m2 from sales"""))
-def clean_sales(t: Tables) -> DataFrame:
-    """Filters, trim per source and exact dedupe over the whole table."""
-    wanted = ["date_mutation", "valeur_fonciere", "surface_reelle_bati", "type_local", *SALE_COLUMNS]
-    kept = sales(t, *wanted).select(
-        "source",
-        F.date_format("date_mutation", "yyyy-MM-dd").alias("jour"),
-        "valeur_fonciere",
-        "surface_reelle_bati",
-        F.trim("type_local").alias("type_local"),
-        "arrondissement",
-        "annee",
-        "prix_m2",
-    )
-    return rounded(kept).dropDuplicates()
-
-
 @query("filter_funnel", with_sql(RAW_SALES, select="""
 select step, name, rows, round_even(rows * 100.0::double / max(case when step = 0 then rows end) over (), 6) as pct from (
   select 0::integer as step, 'all' as name, count(*) as rows from raw_sales
