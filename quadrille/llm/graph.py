@@ -12,7 +12,7 @@ from .common import stage
 #: Pivots that a round may compare with the rest of a bucket, and the pairs per member it may come to. Where buckets
 #: are small one round compares all; a dense group is settled by its first pivots before more are tried.
 PIVOTS = (2, 8, 32, 128, 512, 2048)
-PAIRS_PER_MEMBER = 16
+PAIRS_PER_MEMBER = 64
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def linked_classes(
     """Classes (``node``, ``label``) of the links among nodes that share a bucket; null labels do not occur.
 
     ``members`` holds distinct (bucket, node, size), size being what ``possible`` needs to tell if a link can be; ``verify``
-    takes pairs (a, b and others) and returns, with all columns, those that are truly linked. Each round compares the
+    takes staged pairs (a, b and others) and returns, with all columns, those that are truly linked. Each round compares the
     first nodes of every bucket, its pivots, with the later ones, then drops the pivots. Two nodes that are already
     known to be connected are not compared, and a bucket whose nodes all are is left out, so a group of n mutual
     copies costs some n comparisons, not n squared. Every two nodes of a bucket end up compared or connected: no link
@@ -69,7 +69,7 @@ def linked_classes(
         met = left.join(heads, "bucket").where("a < node and la <> label")
         if possible is not None:
             met = met.where(possible(F.col("sa"), F.col("size")))
-        pairs = met.select("a", F.col("node").alias("b"), "la", F.col("label").alias("lb")).distinct()
+        pairs = stage(met.select("a", F.col("node").alias("b"), "la", F.col("label").alias("lb")).distinct())
         found = stage(verify(pairs).select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
         if found.limit(1).count():
             merged = components(found)

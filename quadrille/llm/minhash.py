@@ -6,9 +6,9 @@ of independent hashes, and once every slot holds a value of an earlier step no l
 of many shingles stops after one or two steps. All documents of a batch take their steps together.
 
 Documents with equal shingle sets share one node, so a group of copies costs one row of a count. Nodes that share a
-band are candidates. Those that share too few shingles with all others of a fitting size are left out by a count; the
-rest are compared by pivots (``graph.linked_classes``) and confirmed on the full sets of shingles, without a pair for
-every two members of a group.
+band are candidates. Where many share one, those with too few shingles that any other of a fitting size holds are left
+out by a count; the rest are compared by pivots (``graph.linked_classes``), first by sketches that rule out what
+cannot be linked, then on the full sets of shingles, without a pair for every two members of a group.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ THRESHOLD = 85
 BANDS, ROWS = 16, 4
 CHUNK_WORDS = 150_000
 SIZE_STEP = 1.02
+SKETCH_BITS = 1024
+#: Bands that more sets share are thinned by a count before sets are compared.
+CROWD = 16
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -142,7 +145,11 @@ def sign(rows: DataFrame, words: int, bands: int, per_band: int) -> DataFrame:
 
 
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """``rows`` (``node``, ``set_key``, ``text``) as (``node``, ``shingles``) where the text has that very set."""
+    """``rows`` (``node``, ``set_key``, ``text``) as (``node``, ``shingles``, ``sketch``) where the text has that very set.
+
+    The sketch has one bit per value of the shingles' lowest ten bits: a bit that another set's sketch lacks stands for
+    a shingle that the other set lacks.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
@@ -154,11 +161,17 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([nodes[low + i] for i in same], pa.int64()), listed], names=["node", "shingles"]
-                )
+                bits = np.zeros((len(sets), SKETCH_BITS), bool)
+                for row, held_ in zip(bits, sets):
+                    row[(held_ % np.uint64(SKETCH_BITS)).astype(np.int64)] = True
+                sketch = np.packbits(bits, axis=1).view(np.int64).reshape(-1)
+                ends = np.arange(0, len(sketch) + 1, SKETCH_BITS // 64, dtype=np.int32)
+                sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sketch, pa.int64()))
+                numbers = pa.array([nodes[low + i] for i in same], pa.int64())
+                yield pa.RecordBatch.from_arrays([numbers, listed, sketches], names=["node", "shingles", "sketch"])
 
-    return rows.select("node", "set_key", "text").mapInArrow(work, "node bigint, shingles array<bigint>")
+    schema = "node bigint, shingles array<bigint>, sketch array<bigint>"
+    return rows.select("node", "set_key", "text").mapInArrow(work, schema)
 
 
 def size_class(size: Column) -> Column:
@@ -167,7 +180,7 @@ def size_class(size: Column) -> Column:
 
 
 def supported(sets: DataFrame, threshold: int) -> DataFrame:
-    """(``node``, ``size``, ``class``, ``near``) of the sets that may have a partner; ``near``: the classes it may be in.
+    """The ``node`` of every set that may have a partner among ``sets``.
 
     Of two linked sets of sizes a and b, at least threshold / (100 + threshold) * (a + b) shingles are in both. A set
     with fewer shingles that any other set of a class holds has no partner there. This count per set and class, of
@@ -186,7 +199,7 @@ def supported(sets: DataFrame, threshold: int) -> DataFrame:
     met = met.select("node", "size", "class", F.explode(close).alias("h"))
     shared = met.groupBy("node", "size", "class", F.col("h.class").alias("other")).agg(F.count(F.lit(1)).alias("n"), F.min("h.m").alias("m"))
     enough = shared.where((100 + threshold) * F.col("n") >= threshold * (F.col("size") + F.col("m")))
-    return enough.groupBy("node", "size", "class").agg(F.collect_set("other").alias("near"))
+    return enough.select("node").distinct()
 
 
 def handle_of(doc_id: Column, text: Column) -> Column:
@@ -224,19 +237,34 @@ def near_duplicates(
     wanted = stage(wanted)
     sets = joined_small(source.select("handle", "text"), wanted, ["handle"])
     sets = stage(shingle_sets(sets, words).dropDuplicates(["node"]))
-    able = stage(supported(sets, threshold))
-    sets = joined_small(sets, stage(able.select("node")), ["node"])
-    members = members.select("bucket", "node").join(able.select("node", F.struct("size", "class", "near").alias("size")), "node")
+    sized = sets.select("node", F.struct(F.size("shingles").alias("n"), "sketch").alias("size"))
+    counted = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
+    members = stage(members.select("bucket", "node").join(counted, "bucket").join(sized, "node"))
+    crowded = members.where(F.col("crowd") > CROWD)
+    nodes_there = stage(crowded.select("node").distinct())
+    if nodes_there.limit(1).count():
+        able = supported(joined_small(sets, nodes_there, ["node"]), threshold)
+        able = crowded.join(able, "node", "left_semi").select(*members.columns)
+        members = members.where(F.col("crowd") <= CROWD).unionByName(able)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
-        near = near.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
+        asked = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        there = joined_small(sets.select("node", "shingles"), asked, ["node"])
+        near = pairs.join(there.select(F.col("node").alias("a"), F.col("shingles").alias("xa")), "a")
+        near = near.join(there.select(F.col("node").alias("b"), F.col("shingles").alias("xb")), "b")
         near = near.withColumn("both", F.size(F.array_intersect("xa", "xb")))
         return near.where(100 * F.col("both") >= threshold * (F.size("xa") + F.size("xb") - F.col("both")))
 
     def possible(a: Column, b: Column) -> Column:
-        alike = 100 * F.least(a["size"], b["size"]) >= threshold * F.greatest(a["size"], b["size"])
-        return alike & F.array_contains(a["near"], b["class"]) & F.array_contains(b["near"], a["class"])
+        """By the sizes, and by the shingles of each that the other's sketch lacks."""
+        needed = threshold * (a["n"] + b["n"])
+        alike = 100 * F.least(a["n"], b["n"]) >= threshold * F.greatest(a["n"], b["n"])
+        for one, other in ((a, b), (b, a)):
+            lacking = F.lit(0)
+            for i in range(SKETCH_BITS // 64):
+                lacking = lacking + F.bit_count(F.get(one["sketch"], i).bitwiseAND(F.bitwise_not(F.get(other["sketch"], i))))
+            alike = alike & ((100 + threshold) * (one["n"] - lacking) >= needed)
+        return alike
 
     classes = linked_classes(members, verify, possible)
     if classes is None:
