@@ -38,16 +38,16 @@ def corpus():
         rows.append([i, "\n".join(lines), lang, f"src{i % 4 if i % 2 else 0}"])
     shared = rows[7][1].split("\n")[0]
     for i in range(160, 200):  # copies and near copies of three documents, and a line that many share
-        base = rows[(i % 3) + 20][1]
+        base, lang = rows[(i % 3) + 20][1:3]
         if i % 2:
             place = rng.randrange(len(base))
             base = base[:place] + rng.choice(["x", "", "yy"]) + base[place + 1 :]
         if i % 5 == 0:
             base = shared + "\n" + base
-        rows.append([i, base, "aa", "src1"])
+        rows.append([i, base, lang, "src1"])
     rows += [
         [200, None, "aa", "src0"], [201, "", None, None], [202, " \n\t ", "bb", "src2"], [203, "12345 !!", "aa", None],
         [204, "ka", "aa", "src3"], [205, "lo mi ka ten " * 12_000, "aa", "src3"], [206, "x" * 40_000, None, "src3"],
-        [None, "ka lo mi ten sur ka", "aa", "src1"], [5, rows[5][1], rows[5][2], rows[5][3]], [5, rows[6][1], "aa", "src9"],
+        [None, "ka lo mi ten sur ka", "aa", "src1"], [5, rows[5][1], rows[5][2], rows[5][3]], [5, rows[6][1], rows[6][2], "src9"],
     ]
     return [tuple(r) for r in rows]
