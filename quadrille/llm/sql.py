@@ -46,3 +46,82 @@ x as (select d.doc_id, d.size::bigint as size, p.source_size, p.target, p.epochs
 select doc_id, size, source_size, target, ((epochs + case when size > 0 and upto - size / 2.0 <= budget then 1 else 0 end) * size)::bigint as taken
 from x
 """
+
+_SECRETS = (
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    ("owned", r"[A-Za-z0-9_-]{24,}", 0, 24),
+)
+
+
+def _spans(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    """Places of one kind's matches, from the texts between them."""
+    return f"""m{rank} as (select doc_id, source, regexp_extract_all(x, '{pattern}', 0) as ws, regexp_extract_all(x, '{pattern}', {group}) as vs,
+    string_split_regex(x, '{pattern}') as ps from t),
+u{rank} as (select doc_id, source, unnest(ws) as w, unnest(vs) as v, unnest(ps[:len(ws)]) as p, generate_subscripts(ws, 1) as i from m{rank}),
+s{rank} as (select doc_id, source, {rank} as rank, '{kind}' as kind, v, length(w) as n,
+    sum(length(p) + length(w)) over (partition by doc_id order by i)::bigint as e from u{rank}),
+k{rank} as (select doc_id, source, rank, kind, v, e - n as s, e from s{rank} where length(v) >= {least})"""
+
+
+ORACLES["op8_secret_scans"] = (
+    "with t as (select doc_id, source, coalesce(text, '') as x from documents),\n"
+    + ",\n".join(_spans(i, *kind) for i, kind in enumerate(_SECRETS))
+    + r""",
+base as (select * from k0 union all select * from k1 union all select * from k2),
+owned as (select * from k3 o where regexp_matches(v, '[0-9]') and regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]')
+    and not exists (select 1 from base b where b.doc_id = o.doc_id and b.s < o.e and o.s < b.e)),
+found as (select *, rank = 3 as own from base union all select *, true from owned),
+owners as (select own, v, count(distinct coalesce('s' || source, 'n')) as owners from found group by own, v),
+judged as (select f.*, kind || ':' || s || ':' || e as span, owners <= 1 as live from found f join owners using (own, v)),
+rows as (select doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank = 1) as n_access, count(*) filter (rank = 2) as n_hex,
+    coalesce(string_agg(span, ',' order by s, rank) filter (rank < 3), '') as base,
+    coalesce(string_agg(span, ',' order by s, rank), '') as spans,
+    count(*) filter (live) as n_live, count(*) filter (not live) as n_example
+  from judged where rank < 3 or live group by doc_id)
+select t.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0)::bigint as n_live, coalesce(n_example, 0)::bigint as n_example
+from t left join rows on t.doc_id = rows.doc_id
+"""
+)
+
+_MEASURES = ("symbol_share", "repeat_share", "dup_line_share", "capital_share")
+
+ORACLES["op9_quality_rules"] = (
+    r"""
+with d as (select doc_id, lang, coalesce(text, '') as x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines from documents),
+win as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
+twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, a, b, c) as n from win) where n > 1),
+covered as (select doc_id, count(distinct i + j) as n from twice, (select unnest([0, 1, 2]) as j) group by doc_id),
+m as (select d.doc_id, lang, len(w)::bigint as n_words, length(x) - length(regexp_replace(x, '[^\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(x) - length(translate(x, '#*$%&|<>', '')) as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(c.n, 0)::bigint as n_repeat_words, len(lines) as n_lines,
+    len(list_filter(w, lambda y: regexp_matches(y, '[A-Z]') and not regexp_matches(y, '[a-z]'))) as capitals
+  from d left join covered c on d.doc_id = c.doc_id),
+r as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, 1000 * n_symbols // greatest(1, word_chars) as symbol_share,
+    1000 * n_repeat_words // greatest(1, n_words) as repeat_share, 1000 * n_dup_lines // greatest(1, n_lines) as dup_line_share,
+    1000 * capitals // greatest(1, n_words) as capital_share from m),
+good as (select * from r where not base_failed and doc_id in (select doc_id from labels where quality = 1)),
+long as ("""
+    + " union all ".join(f"select lang, '{m}' as measure, {m} as value from good" for m in _MEASURES)
+    + """),
+counts as (select lang, measure, value, count(*) as n from long group by all),
+above as (select *, coalesce(sum(n) over (partition by lang, measure order by value desc rows between unbounded preceding and 1 preceding), 0) as above,
+    sum(n) over (partition by lang, measure) as total from counts),
+tests as (select count(*) as n from (select distinct lang, measure from counts)),
+terms as (select total, k, exp(lgamma(total + 1) - lgamma(k + 1) - lgamma(total - k + 1) + k * ln(0.01 / 4) + (total - k) * ln(1 - 0.01 / 4)) as p
+  from (select total, unnest(range(0, least(total, 100000)::bigint + 1)) as k from (select distinct total from above))),
+most as (select total, count(*) filter (cdf <= (select 0.05 / n from tests)) - 1 as most
+  from (select total, sum(p) over (partition by total order by k) as cdf from terms) group by total),
+cuts as (select lang, measure, min(value) as cutoff from above join most using (total) where above <= most group by lang, measure),
+wide as (select lang, """
+    + ", ".join(f"min(cutoff) filter (measure = '{m}') as cut_{m}" for m in _MEASURES)
+    + """ from cuts group by lang),
+j as (select r.*, concat_ws(',', """
+    + ", ".join(f"case when {m} > cut_{m} then '{m}' end" for m in _MEASURES)
+    + """) as reasons from r left join wide on r.lang is not distinct from wide.lang)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and reasons = '' as kept, reasons from j
+"""
+)
