@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Pivots that a round may compare with the rest of a bucket, and the pairs per member it may come to. Where buckets
-#: are small one round compares all; a dense group is settled by its first pivots before more are tried.
-PIVOTS = (2, 8, 32, 128, 512, 2048)
-PAIRS_PER_MEMBER = 64
+#: Pivots that a round may compare with the rest of a bucket, and the comparisons per member it may come to: by
+#: ``possible`` inside the join, so only what may be linked becomes a row. A dense group is settled by its first pivots
+#: before more are tried.
+PIVOTS = (2, 8, 32, 128, 512, 2048, 8192)
+PAIRS_PER_MEMBER = 4096
+#: Buckets up to this size may be compared whole in the first round; larger ones begin with the fewest pivots.
+FEW = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -39,34 +42,41 @@ def linked_classes(
     possible: Callable[[Column, Column], Column] | None = None,
     pivots: tuple[int, ...] = PIVOTS,
     pairs_per_member: int = PAIRS_PER_MEMBER,
+    order: str = "node",
 ) -> DataFrame | None:
     """Classes (``node``, ``label``) of the links among nodes that share a bucket; null labels do not occur.
 
-    ``members`` holds distinct (bucket, node, size), size being what ``possible`` needs to tell if a link can be; ``verify``
+    ``members`` (staged) holds distinct (bucket, node, size) and ``order``, which says who is compared first, size being what ``possible`` needs to tell if a link can be; ``verify``
     takes staged pairs (a, b and others) and returns, with all columns, those that are truly linked. Each round compares the
     first nodes of every bucket, its pivots, with the later ones, then drops the pivots. Two nodes that are already
     known to be connected are not compared, and a bucket whose nodes all are is left out, so a group of n mutual
     copies costs some n comparisons, not n squared. Every two nodes of a bucket end up compared or connected: no link
     between classes is lost, and nothing is capped. Returns None if nothing is linked; unlinked nodes may be missing.
     """
-    left, classes = members.select("bucket", "node", "size"), None
+    left = members.select("bucket", "node", "size", F.col(order).alias("place"), F.col("node").alias("label"))
+    rest, classes = None, None
     while True:
-        if classes is None:
-            known = left.withColumn("label", F.col("node"))
-        else:
-            known = left.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        left = stage(known.join(mixed.where("lo < hi").select("bucket"), "bucket").select("bucket", "node", "size", "label"))
+        if rest is not None:
+            known = rest
+            if classes is not None:
+                known = rest.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            else:
+                known = rest.withColumn("label", F.col("node"))
+            mixed = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+            known = known.join(mixed.where("lo < hi").select("bucket"), "bucket")
+            left = stage(known.select("bucket", "node", "size", "place", "label"))
         sizes = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         costs = [F.sum(F.col("n") * F.least(F.col("n"), F.lit(p))).alias(f"p{p}") for p in pivots]
         total = sizes.agg(F.sum("n").alias("members"), F.max("n").alias("largest"), *costs).first()
         if total["members"] is None:
             return classes
-        many = max([pivots[0], *[p for p in pivots if total[f"p{p}"] <= pairs_per_member * total["members"]]])
-        first = Window.partitionBy("bucket").orderBy("node")
+        many = pivots[0]
+        if rest is not None or total["largest"] <= FEW:
+            many = max([many, *[p for p in pivots if total[f"p{p}"] <= pairs_per_member * total["members"]]])
+        first = Window.partitionBy("bucket").orderBy("place")
         heads = left.withColumn("__r", F.row_number().over(first)).where(F.col("__r") <= many)
-        heads = heads.select("bucket", F.col("node").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
-        met = left.join(heads, "bucket").where("a < node and la <> label")
+        heads = heads.select("bucket", F.col("place").alias("pa"), F.col("node").alias("a"), F.col("size").alias("sa"), F.col("label").alias("la"))
+        met = left.join(heads, "bucket").where("pa < place and la <> label")
         if possible is not None:
             met = met.where(possible(F.col("sa"), F.col("size")))
         pairs = stage(met.select("a", F.col("node").alias("b"), "la", F.col("label").alias("lb")).distinct())
@@ -81,5 +91,5 @@ def linked_classes(
                 classes = stage(moved.unionByName(merged.join(classes, "node", "left_anti")))
         if total["largest"] <= many + 1:
             return classes
-        last = heads.groupBy("bucket").agg(F.max("a").alias("last"))
-        left = left.join(last, "bucket").where("node > last").select("bucket", "node", "size")
+        last = heads.groupBy("bucket").agg(F.max("pa").alias("last"))
+        rest = left.join(last, "bucket").where("place > last").select("bucket", "node", "size", "place")

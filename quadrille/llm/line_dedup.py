@@ -222,7 +222,8 @@ def line_classes(
     crowded = placed.where(F.col("crowd") > CROWD)
     if crowded.limit(1).count():
         able = _supported(nodes.join(crowded.select("node").distinct(), "node"), threshold)
-        placed = placed.where(F.col("crowd") <= CROWD).unionByName(crowded.join(able, "node", "left_semi").select(*placed.columns))
+        able = crowded.join(able, "node", "left_semi").select(*placed.columns)
+        placed = stage(placed.where(F.col("crowd") <= CROWD).unionByName(able))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("xa")), "a")

@@ -239,13 +239,15 @@ def near_duplicates(
     sets = stage(shingle_sets(sets, words).dropDuplicates(["node"]))
     sized = sets.select("node", F.struct(F.size("shingles").alias("n"), "sketch").alias("size"))
     counted = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
-    members = stage(members.select("bucket", "node").join(counted, "bucket").join(sized, "node"))
+    members = members.select("bucket", "node").join(counted, "bucket")
+    # Who shares bands with most comes first: the text that others were copied from connects them all.
+    weight = members.groupBy("node").agg(F.struct((-F.sum("crowd")).alias("w"), "node").alias("place"))
+    members = stage(members.join(weight, "node").join(sized, "node"))
     crowded = members.where(F.col("crowd") > CROWD)
-    nodes_there = stage(crowded.select("node").distinct())
-    if nodes_there.limit(1).count():
-        able = supported(joined_small(sets, nodes_there, ["node"]), threshold)
+    if crowded.limit(1).count():
+        able = supported(sets.join(crowded.select("node").distinct(), "node", "left_semi"), threshold)
         able = crowded.join(able, "node", "left_semi").select(*members.columns)
-        members = members.where(F.col("crowd") <= CROWD).unionByName(able)
+        members = stage(members.where(F.col("crowd") <= CROWD).unionByName(able))
 
     def verify(pairs: DataFrame) -> DataFrame:
         asked = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
@@ -266,7 +268,7 @@ def near_duplicates(
             alike = alike & ((100 + threshold) * (one["n"] - lacking) >= needed)
         return alike
 
-    classes = linked_classes(members, verify, possible)
+    classes = linked_classes(members, verify, possible, order="place")
     if classes is None:
         labelled = nodes.select("set_key", "first_id", F.col("node").alias("label"))
     else:
