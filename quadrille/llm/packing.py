@@ -12,8 +12,10 @@ share however many groups there are, and a group's memory is bounded whatever a
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,6 @@ from .common import fresh, stage, text_of
 WINDOW = 1024
 SEPARATOR = 0
 GROUP_PIECES = 100_000
-#: Distinct words whose ids a task remembers; beyond it starts afresh. Results do not depend on it.
-MEMO_WORDS = 300_000
 
 
 class CapacityTree:
@@ -86,49 +86,67 @@ def best_fit(sizes: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.nd
     return where, offset
 
 
-class WordEncoder:
-    """Token ids of whole texts by a public tokenizer file, as little-endian 32-bit bytes.
+#: How the byte-level tokenizers split a text before they merge, and the characters whose classes that
+#: needs and which all Unicode versions agree on. A text with any other character goes the slower way.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+UNUSUAL = r"[^\t\n\r -~\u00a1-\u017f\u2010-\u2027\u20ac]|<\|"
 
-    The byte-level pattern always starts a new token at a space between two characters that are no spaces, so a
-    text cut there gives the same ids piece by piece; pieces recur and are remembered. Other texts (runs of
-    spaces) go through the tokenizer whole.
+
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Merge ranks by bytes of a plain byte-level BPE file; None for any other kind of tokenizer.
+
+    Such files write each byte as a character: printable ones as themselves, the others counted up from U+0100.
+    """
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not spec.get("normalizer") and not model.get("dropout")
+    plain = plain and not any(model.get(k) for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback"))
+    plain = plain and (before.get("type"), before.get("use_regex"), before.get("add_prefix_space")) == ("ByteLevel", True, False)
+    vocab = model["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    made = [vocab.get("".join(p), -1) for p in pairs] if plain else []
+    if not plain or made != sorted(made) or -1 in made:
+        return None
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in printable)}
+    special = {t["content"] for t in spec.get("added_tokens") or []}
+    return {bytes(byte_of[c] for c in token): rank for token, rank in vocab.items() if token not in special}
+
+
+class Encoder:
+    """Token ids of whole texts by a tokenizer file, as little-endian 32-bit bytes.
+
+    Byte-level BPE files are also read as ranks, which give the same ids several times faster; texts with unusual
+    characters or the beginning of a special token, and all texts of other files, go through the tokenizer itself.
     """
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
+    def __init__(self, path: str):
+        import json
         import re
 
+        import tiktoken
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.uneven = re.compile(r"\s |^ | \s| $|[\x1c-\x1f\x85]|<\|").search
-        self.memo: dict[str, bytes] = {}
-        self.memo_words = memo_words
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for text in texts:
-            if self.uneven(text):
-                out.append(self._ids([text])[0])
-                continue
-            words = text.split(" ")
-            words[1:] = [" " + w for w in words[1:]]
-            memo = self.memo
-            try:
-                out.append(b"".join([memo[w] for w in words]))
-            except KeyError:
-                if len(memo) > self.memo_words:
-                    memo.clear()
-                new = [w for w in set(words) if w not in memo]
-                memo.update(zip(new, self._ids(new)))
-                out.append(b"".join([memo[w] for w in words]))
-        return out
+        with open(path, encoding="utf-8") as file:
+            ranks = byte_ranks(json.load(file))
+        self.fast = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        self.unusual = re.compile(UNUSUAL).search
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is not None and not self.unusual(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder per file and worker process."""
+    return Encoder(path)
 
 
 def cut_pieces(
-    rows: DataFrame, encoder: Callable[[], WordEncoder], window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False
+    rows: DataFrame, tokenizer: str, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False
 ) -> DataFrame:
     """One row per piece of every (``__row``, ``doc_id``, ``text``): full windows, then the rest."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -139,14 +157,14 @@ def cut_pieces(
     end = np.asarray([separator], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder()
+        made = encoder(tokenizer)
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 numbers, ids = part.column(0), part.column(1)
                 origin, starts, lengths, sums, totals, raw = [], [], [], [], [], []
-                for i, data in enumerate(made.encode(part.column(2).to_pylist())):
-                    data += end
+                for i, text in enumerate(part.column(2).to_pylist()):
+                    data = made.encode(text) + end
                     total = len(data) // 4
                     for start in range(0, total, window):
                         piece = data[4 * start : 4 * (start + window)]
@@ -206,7 +224,7 @@ def pack_documents(
     documents of their own. Other columns are not read, so their names cannot clash. An empty table gives no rows.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col("doc_id"), text_of("text").alias("text"))
-    pieces = stage(cut_pieces(rows, lambda: WordEncoder(tokenizer), window, separator, with_ids))
+    pieces = stage(cut_pieces(rows, tokenizer, window, separator, with_ids))
     return pack_pieces(pieces, window, group_pieces).drop("__row")
 
 

@@ -128,6 +128,30 @@ def test_packing_round_trip(make_docs, corpus):
     assert packing.pack_documents(make_docs([]), tokenizer_path()).count() == 0
 
 
+def test_both_ways_to_ids_agree():
+    import random
+
+    import numpy as np
+
+    made = packing.encoder(tokenizer_path())
+    assert made.fast is not None
+    rng, letters = random.Random(1), list("ab's'lX 0é \n\t\r.,!-ß€“…ž_<|>") + ["  ", "the ", "ing", "\u2003", "漢", "\x85"]
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        plain = made.tokenizer.encode(text, add_special_tokens=False).ids
+        assert made.encode(text) == np.asarray(plain, "<u4").tobytes(), text
+
+
+def test_other_tokenizer_files_go_the_plain_way():
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        assert packing.byte_ranks(json.load(file)) is None
+    assert len(packing.encoder(public_tokenizers.path("word_bpe_49k.json")).encode("Some Words")) == 8
+
+
 def fill(shards, size):
     table, at = [None] * size, {s: 0 for s in shards}
     order = {}
