@@ -214,8 +214,8 @@ def test_runs_from_layer_to_published_tables(spark, tmp_path, sales, rents, quar
     done = run_indicators(spark, layer, target)
     assert sorted(done) == [
         "fact_kpi_comparaison_achat_location_arrondissement", "fact_kpi_comparaison_achat_location_quartier",
-        "fact_kpi_loyers_quartier", "fact_kpi_prix_m2_arrondissement", "fact_kpi_prix_m2_quartier_annuel",
-        "fact_kpi_surete_quartier",
+        "fact_kpi_evolution_quartier", "fact_kpi_loyers_quartier", "fact_kpi_prix_m2_arrondissement",
+        "fact_kpi_prix_m2_quartier_annuel", "fact_kpi_surete_arrondissement", "fact_kpi_surete_iris", "fact_kpi_surete_quartier",
     ]
     fact = spark.read.parquet(done["fact_kpi_prix_m2_quartier_annuel"])
     assert dict(fact.dtypes)["prix_m2_median"] == "decimal(20,6)" and {"source_file", "loaded_at"} <= set(fact.columns)
@@ -225,3 +225,43 @@ def test_runs_from_layer_to_published_tables(spark, tmp_path, sales, rents, quar
     assert sorted(written) == ["cameras", "commissariats", "iris", "iris_to_quartier", "quartiers"]
     points = {r.properties: r.geometry for r in read_features(spark, written["cameras"]).collect()}
     assert points['{"arrondissement":"02"}'] == '{"type":"Point","coordinates":[2.4,48.9]}'
+
+
+def test_a_table_with_repeated_keys_is_not_published(spark, tmp_path, sales, quarters):
+    write_layer(sales, str(tmp_path / "layer/sales"))
+    write_layer(quarters.unionByName(quarters), str(tmp_path / "layer/quarters"))
+    with pytest.raises(ValueError, match="fact_kpi_prix_m2_quartier_annuel is not published: duplicate_key"):
+        run_indicators(spark, str(tmp_path / "layer"), str(tmp_path / "published"))
+    assert not (tmp_path / "published" / "fact_kpi_prix_m2_quartier_annuel").exists()
+
+
+def test_staged_tables_go_with_their_run(spark):
+    from pathlib import Path
+
+    from quadrille.session import stage, staging, staging_root
+
+    folder = Path(staging_root(spark)) / "staged"
+    before = {p.name for p in folder.glob("*")} if folder.exists() else set()
+    with staging(spark):
+        assert stage(spark.range(3)).count() == 3
+        assert {p.name for p in folder.glob("*")} - before
+    assert {p.name for p in folder.glob("*")} == before
+
+
+def test_five_axes_from_the_cleaned_layer(spark):
+    quarters = spark.createDataFrame(
+        [("01", "7510101", "Halles", 1e5, "48.86, 2.34"), ("01", "7510102", "Palais", 2e5, "48.865, 2.335")],
+        "arrondissement string, code_insee_quartier string, nom_quartier string, surface_quartier_m2 double, geometry_xy string",
+    )
+    reports = spark.createDataFrame(
+        [("Propreté", "dépôt", "Halles"), ("Propreté", "dépôt", "ailleurs")], "type_objet string, sous_type_objet string, conseil_de_quartier string"
+    )
+    works = spark.createDataFrame([("Voirie", "75001")], "categorie_operation string, code_postal string")
+    rents = spark.createDataFrame(
+        [(2024, "7510101", "non meublé", 2.0, 25.0), (2024, "7510102", "non meublé", 2.0, 30.0)],
+        "annee int, code_insee_quartier string, type_location string, nombre_pieces_principales double, loyer_reference double",
+    )
+    stations = spark.createDataFrame([(48.86, 2.34)], "latitude double, longitude double")
+    out = kpi.urban_comfort_from_layer(reports, works, rents, stations, quarters).collect()
+    assert {r.code_insee_quartier for r in out} == {"7510101", "7510102"} and all(0 < r.kpi_confort_urbain <= 10 for r in out)
+    assert kpi.urban_comfort_from_layer(reports.drop("conseil_de_quartier"), works, rents, stations, quarters) is None
