@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import half_even
+from ..functions.numbers import half_even, percent_change
 
 
 def share_of_group(df: DataFrame, group: str, weight: str, share: str = "part") -> DataFrame:
@@ -57,9 +57,6 @@ def evolution(
     both = wide.where("_seen_0 = 1 and _seen_1 = 1").drop("_seen_0", "_seen_1")
     return both.withColumns(
         {
-            name: half_even(
-                F.try_divide(F.col(f"{m}_{after}") - F.col(f"{m}_{before}"), F.col(f"{m}_{before}")) * 100, 4
-            )
-            for m, name in measures.items()
+            name: percent_change(F.col(f"{m}_{before}"), F.col(f"{m}_{after}")) for m, name in measures.items()
         }
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.geo import KM_PER_DEGREE_RADIUS, split_point
-from ..functions.numbers import as_number, half_even, number_in, whole, years_of_rent
+from ..functions.numbers import as_number, half_even, number_in, percent_change, whole, years_of_rent
 from ..functions.text import contains_folded, name_key
 from ..functions.zones import digits_padded, harmonized_zone, last_two, pad_left, postal_modulo, zone2, zone_of_commune
 from ..operators.columns import first_existing, pick_column
@@ -615,7 +615,7 @@ def yearly_change(df: DataFrame, keys: list[str], measure: str, out: str) -> Dat
     """Percent change from the year before, by equality on the year, over a yearly table."""
     before = df.select(*keys, (F.col(YEAR) + 1).alias(YEAR), F.col(measure).alias("_before"))
     wide = df.join(before, [*keys, YEAR], "left")
-    return wide.withColumn(out, F.try_divide(F.col(measure) - F.col("_before"), F.col("_before")) * 100).drop("_before")
+    return wide.withColumn(out, percent_change(F.col("_before"), F.col(measure), None)).drop("_before")
 
 
 def mix_by(df: DataFrame, keys: list[str], label: str) -> DataFrame:

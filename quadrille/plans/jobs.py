@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import blocking_findings
 from ..session import stage, staging
-from ..sources.delimited import exists, read_delimited, read_layer, write_layer
+from ..sources.delimited import exists, first_path, read_delimited, read_layer, write_layer
 from ..sources.geojson import LAYERS, to_features, write_features
 from ..sources.publish import CONTRACT_KEYS, contract_columns, publish_fact, publish_manifest
 from . import clean
@@ -29,7 +29,7 @@ RAW_FILES = {
         {"sep": ";"},
     ),
     "cameras": (["points.csv"], {"sep": ","}),
-    "reports": (["dans-ma-rue.csv"], {"sep": ";"}),
+    "reports": (["dans-ma-rue.csv"], {"sep": ";", "encoding": "auto"}),
     "stations": (["emplacement-des-gares-idf.csv"], {"sep": ";"}),
     "works": (["parissetransforme.csv"], {"sep": ";"}),
 }
@@ -80,9 +80,16 @@ def run_cleaning(spark: SparkSession, raw: str, layer: str) -> dict[str, str]:
 EVOLUTION_YEARS = (2021, 2025)
 
 
-def _tables(spark: SparkSession, layer: str) -> dict[str, DataFrame]:
-    paths = {n: f"{layer.rstrip('/')}/{n}" for n in RAW_FILES}
-    found = {n: read_layer(spark, p) for n, p in paths.items() if exists(spark, p)}
+def _tables(spark: SparkSession, layer: str, raw: str | None = None) -> dict[str, DataFrame]:
+    """Every table of the cleaned layer; what it lacks is cleaned from its raw file, where one is given and there."""
+    found = {}
+    for name, (files, options) in RAW_FILES.items():
+        cleaned = f"{layer.rstrip('/')}/{name}"
+        path = first_path(spark, [cleaned, *[f"{raw.rstrip('/')}/{f}" for f in files if raw]])
+        if path == cleaned:
+            found[name] = read_layer(spark, path)
+        elif path:
+            found[name] = stage(_CLEANERS[name]([read_delimited(spark, path, **options)]))
     # A folder name such as annee=2021 is read back as a number; codes stay text by type.
     return {n: d.withColumn("annee", F.col("annee").cast("int")) if "annee" in d.columns else d for n, d in found.items()}
 
@@ -134,15 +141,15 @@ def published_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def run_indicators(spark: SparkSession, layer: str, target: str) -> dict[str, str]:
-    """Publish every indicator and a manifest; any failure stops the run.
+def run_indicators(spark: SparkSession, layer: str, target: str, raw: str | None = None) -> dict[str, str]:
+    """Publish every indicator and a manifest; any failure stops the run. ``raw``: where to find what the layer lacks.
 
     Each table is computed once, audited and then written: absent contract columns, ill-formed zones or years and
     repeated keys raise before anything of it is published.
     """
     written = {}
     with staging(spark):
-        for name, df in published_tables(_tables(spark, layer)).items():
+        for name, df in published_tables(_tables(spark, layer, raw)).items():
             ready = stage(df)
             found = blocking_findings(ready, contract_columns(name), CONTRACT_KEYS.get(name, []))
             if found:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import GEOMETRY_COLUMNS, POLYGON_TEXTS, first_polygon_text, point_from_any
-from .delimited import exists
 
 # The exported layers and their geometry.
 LAYERS = {
@@ -88,7 +87,3 @@ def read_features(spark: SparkSession, path: str, whole_document: bool = False)
     listed = F.coalesce(F.get_json_object("value", "$.features"), F.col("value"))
     found = F.from_json(listed, "array<struct<geometry:string,properties:string>>")
     return body.select(F.explode(found).alias("f")).select("f.geometry", "f.properties")
-
-
-def read_features_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | None:
-    return read_features(spark, path, **options) if exists(spark, path) else None

@@ -3,7 +3,7 @@
 import pytest
 
 from quadrille.plans import clean
-from quadrille.plans.jobs import RAW_FILES, run_cleaning
+from quadrille.plans.jobs import RAW_FILES, run_cleaning, run_indicators
 from quadrille.sources.delimited import exists, read_delimited, read_if_exists, read_layer
 
 
@@ -234,3 +234,11 @@ def test_run_cleaning(spark, tmp_path):
     assert sorted(done) == ["quarters", "rents", "sales"]
     assert read_layer(spark, done["sales"]).count() == 98
     assert not exists(spark, str(layer / "cameras")) and "cameras" in RAW_FILES
+
+
+def test_raw_files_stand_in_for_a_missing_layer(spark, write, tmp_path):
+    write("75.csv", sales_text())
+    done = run_indicators(spark, str(tmp_path / "layer"), str(tmp_path / "published"), raw=str(tmp_path))
+    assert list(done) == ["fact_kpi_prix_m2_arrondissement"]
+    assert [r.arrondissement for r in spark.read.parquet(done["fact_kpi_prix_m2_arrondissement"]).collect()] == ["11"]
+    assert run_indicators(spark, str(tmp_path / "layer"), str(tmp_path / "other")) == {}
