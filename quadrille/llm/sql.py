@@ -125,3 +125,18 @@ j as (select r.*, concat_ws(',', """
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and reasons = '' as kept, reasons from j
 """
 )
+
+ORACLES["op10_minhash_near_dedup"] = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+i as (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w where len(ws) > 0),
+s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as x from i),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id < b.doc_id group by all),
+e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)),
+links as (select a, b from e union all select b, a from e),
+reach(node, root) as (select doc_id, doc_id from n union select links.b, reach.root from reach join links on reach.node = links.a),
+label as (select node, min(root) as component_id from reach group by node)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(component_id, w.doc_id) = w.doc_id as kept
+from w left join n on w.doc_id = n.doc_id left join label on w.doc_id = label.node
+"""
