@@ -102,7 +102,8 @@ def quantiles(
         end = F.col("_before") + F.col("_n")
         at_low = F.max(F.when((F.col("_before") <= low) & (low < end), F.col("_v")))
         at_high = F.max(F.when((F.col("_before") <= high) & (high < end), F.col("_v")))
-        measures.append((at_low + (at_high - at_low) * F.max(share)).alias(f"_q{i}"))
+        # Weighted, so that the middle of two values is their mean to the last digit.
+        measures.append((at_low * (1 - F.max(share)) + at_high * F.max(share)).alias(f"_q{i}"))
     found = spans.groupBy(*by).agg(*measures)
     out = groups.join(found, by, "left")
     back = [F.col(b).alias(k) for k, b in zip(keys, by)]
