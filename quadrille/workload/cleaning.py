@@ -87,11 +87,11 @@ def clean_rents(t: Tables) -> DataFrame:
 
 
 @query("clean_crime", f"""
-select distinct cast(year(ts) as integer) as annee, {z('user_id')} as arrondissement, event_type as indicateur,
+select cast(year(ts) as integer) as annee, {z('user_id')} as arrondissement, event_type as indicateur,
   case when event_type = 'click' then 0 else event_id end::bigint as faits,
   round_even(case when event_type = 'error' then event_id / 4.0::double else value end, 6) as taux_effectif from events""")
 def clean_crime(t: Tables) -> DataFrame:
-    """Withheld main rates (errors) take the complementary rate; absent counts are zero."""
+    """Withheld main rates (errors) take the complementary rate; absent counts are zero. No two raw lines are equal."""
     kind = F.col("event_type")
     raw = t.events.select(
         F.concat(F.lit("751"), zone_of(F.col("user_id"))).alias("CODGEO_2025"),
