@@ -192,11 +192,14 @@ def supported(sets: DataFrame, threshold: int) -> DataFrame:
     holders = each.groupBy("x", "class").agg(F.count(F.lit(1)).alias("d"), F.min("size").alias("m"))
     # One entry per class that occurs: some fifty times the logarithm of the longest set, at most.
     holders = holders.groupBy("x").agg(F.collect_list(F.struct("class", "d", "m")).alias("held"), F.sum("d").alias("all"))
-    met = each.join(holders.where("all > 1").select("x", "held"), "x")
-    close = F.filter(
-        "held", lambda h: (F.abs(h["class"] - F.col("class")) <= reach) & ((h["d"] > 1) | (h["class"] != F.col("class")))
-    )
-    met = met.select("node", "size", "class", F.explode(close).alias("h"))
+
+    def fits(h: Column) -> Column:
+        return (F.abs(h["class"] - F.col("class")) <= reach) & ((h["d"] > 1) | (h["class"] != F.col("class")))
+
+    # One row per shingle of a set that some other set of a fitting size holds, too.
+    held = holders.where("all > 1").select(F.col("x").alias("y"), "held")
+    met = each.join(held, (F.col("x") == F.col("y")) & F.exists("held", fits))
+    met = met.select("node", "size", "class", F.explode(F.filter("held", fits)).alias("h"))
     shared = met.groupBy("node", "size", "class", F.col("h.class").alias("other")).agg(F.count(F.lit(1)).alias("n"), F.min("h.m").alias("m"))
     enough = shared.where((100 + threshold) * F.col("n") >= threshold * (F.col("size") + F.col("m")))
     return enough.select("node").distinct()
