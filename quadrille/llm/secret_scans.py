@@ -2,7 +2,8 @@
 
 Candidates are found by pattern with their places. Every candidate value is then counted over the whole corpus: in how
 many repositories (documents) and by how many owners (sources) it occurs. A value that many owners carry is a copied
-example; one that stays with its owner looks like a live credential. That separation sets the status of the base
+example; one that stays with its owner looks like a live credential. Without a bound on repositories owners alone decide,
+as in the SQL beside the query; with one both counts do. That separation sets the status of the base
 spans and decides which free-standing tokens, too vague to report on their pattern alone, are added as spans.
 
 Places come from the matches and the texts between them, so no Python looks at a text. A value is a key that is
@@ -59,9 +60,12 @@ def _mixed(value: Column) -> Column:
     return F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[a-z]")) & F.rlike(value, F.lit("[A-Z]"))
 
 
-def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
+def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", alike: bool = False) -> DataFrame:
     """Staged, one row per document: ``doc_id``, ``__row``, ``repository``, ``owner`` and its ``spans``
-    (``rank``, ``start``, ``end``, ``hash`` of the value), free-standing tokens apart from base spans included."""
+    (``rank``, ``start``, ``end``, ``hash`` of the value), free-standing tokens apart from base spans included.
+
+    ``alike``: a value has one hash whatever its kind, and ``copy`` tells the texts apart; else free-standing tokens
+    are counted by themselves."""
     rows = docs.select(
         "doc_id",
         F.monotonically_increasing_id().alias("__row"),
@@ -69,26 +73,34 @@ def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source") ->
         F.col(owner).cast("string").alias("owner"),
         text_of("text").alias("text"),
     )
-    found = rows.select("doc_id", "__row", "repository", "owner", *[_matches(F.col("text"), k).alias(k) for k in KINDS])
+    named = ["doc_id", "__row", "repository", "owner"]
+    if alike:
+        rows = rows.withColumn("copy", F.md5("text"))
+        named.append("copy")
+    found = rows.select(*named, *[_matches(F.col("text"), k).alias(k) for k in KINDS])
     base = F.concat(*[F.col(k) for k in BASE])
     apart = F.filter("owned", lambda o: _mixed(o["value"]) & ~F.exists(base, lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
 
     def ranked(spans: Column, rank: int) -> Column:
         return F.transform(spans, lambda s: F.struct(
-            s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.xxhash64(F.lit(rank == 3), s["value"]).alias("hash")
+            s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.xxhash64(F.lit(rank == 3 and not alike), s["value"]).alias("hash")
         ))
 
     parts = [ranked(F.col(k), i) for i, k in enumerate(BASE)] + [ranked(apart, len(BASE))]
-    return stage(found.select("doc_id", "__row", "repository", "owner", F.sort_array(F.concat(*parts)).alias("spans")))
+    return stage(found.select(*named, F.sort_array(F.concat(*parts)).alias("spans")))
 
 
 def ownership(scanned: DataFrame) -> DataFrame:
     """Per candidate hash: ``repositories`` and ``owners`` that hold it, distinct, over the whole corpus.
 
     Distinct by (hash, owner) and (hash, repository) first, so a value that a third of all documents hold is spread
-    over its documents; only counts meet. A null owner or repository is one of its own.
+    over its documents; only counts meet. A null owner or repository is one of its own. Where the scan told texts
+    apart, documents with the same text are one: that of the least owner and repository.
     """
     each = scanned.select("repository", "owner", F.explode("spans.hash").alias("hash"))
+    if "copy" in scanned.columns:
+        each = scanned.select("repository", "owner", "copy", F.explode("spans.hash").alias("hash"))
+        each = each.groupBy("hash", "copy").agg(F.min(F.struct("owner", "repository")).alias("first")).select("hash", "first.*")
     pairs = each.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("x"))
     owners = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n")).groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
     held = pairs.groupBy("hash", "repository").agg(F.lit(1).alias("x")).groupBy("hash").agg(F.count(F.lit(1)).alias("repositories"))
@@ -96,20 +108,29 @@ def ownership(scanned: DataFrame) -> DataFrame:
 
 
 def scan_secrets(
-    docs: DataFrame, repository: str = "doc_id", owner: str = "source", most_owners: int = MOST_OWNERS
+    docs: DataFrame,
+    repository: str = "doc_id",
+    owner: str = "source",
+    most_owners: int = MOST_OWNERS,
+    most_repositories: int | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` (all spans as
     kind:start:end, comma-joined, by start and then kind), ``n_live`` (spans whose value at most ``most_owners`` owners
     hold) and ``n_example`` (the others).
 
+    With ``most_repositories`` a live value is also one of at most so many repositories, whatever its owners; a value is
+    then counted over all kinds together, and documents with the same text count once.
+
     A null or empty text has no spans. Repeated rows are reported each, but are one repository. Other columns are not
     read. An empty table gives no rows.
     """
-    scanned = scan(docs, repository, owner)
+    scanned = scan(docs, repository, owner, alike=most_repositories is not None)
     counted = ownership(scanned)
     each = scanned.where(F.size("spans") > 0).select("doc_id", "__row", F.explode("spans").alias("s"))
     each = each.select("doc_id", "__row", "s.*").join(counted, "hash")
     live = F.col("owners") <= most_owners
+    if most_repositories is not None:
+        live = live & (F.col("repositories") <= most_repositories)
     added = len(BASE)
     text = F.concat_ws(":", F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("rank")), F.col("start"), F.col("end"))
     item = F.struct("start", "rank", text.alias("t"))

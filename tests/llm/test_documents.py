@@ -259,3 +259,17 @@ def test_ownership_counts_distinct_owners_and_repositories(make_docs):
     assert [(r["owners"], r["repositories"]) for r in counted] == [(3, 5)]
     found = secret_scans.scan_secrets(make_docs(rows)).collect()
     assert {(r["n_live"], r["n_example"]) for r in found} == {(0, 1)}
+
+
+def test_secrets_weighed_by_repositories_too(make_docs):
+    placeholder, token, shared = "PLACEholder0" + "aB3" * 6, "Zq8" + "tY7kP2mN9vB4xC6w" * 2, "Cd5" + "eF6gH7" * 5
+    rows = [(i, f"text {i} has {placeholder} inside", "aa", "hot") for i in range(30)]
+    rows += [(100, f"mine is {token} alone", "aa", "src1"), (101, f"mine is {token} alone", "aa", "src2")]
+    rows += [(200, f"password={shared}", "aa", "src3"), (201, f"bare {shared} token", "aa", "src4")]
+    found = secret_scans.scan_secrets(make_docs(rows, extra=True), most_repositories=5).collect()
+    by_id = {r["doc_id"]: (r["spans"], r["n_live"], r["n_example"]) for r in found}
+    assert len(found) == len(rows)
+    # Many repositories within one owner are a copied example; a copied document is one; kinds are counted together.
+    assert all(by_id[i] == ("", 0, 0) for i in range(30))
+    assert by_id[100] == by_id[101] == ("owned:8:43", 1, 0)
+    assert by_id[200][1:] == (0, 1) and by_id[201] == ("", 0, 0)
