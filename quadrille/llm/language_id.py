@@ -148,18 +148,22 @@ def fit(
 ) -> Model:
     """A model from the rows of ``labelled`` whose text and language are not null.
 
+    Copies of a text in a language are one document: they neither fill the sample nor weigh in its shares.
     What reaches the driver is the list of languages and at most ``grams_per_language`` hashes of each.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumns({"h1": F.xxhash64(F.lit(1), "text"), "h2": F.xxhash64(F.lit(2), "text")})
+    distinct = rows.groupBy("lang", "h1", "h2").agg(F.lit(1).alias("x"))
+    counts = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts, key=lambda k: (-counts[k], k))
     if not languages:
         return build_model([], {}, gram, slots, hashes)
     share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, docs_per_language / counts[k]))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(drawn < F.element_at(share, F.col("lang")))
+    sample = sample.groupBy("lang", "h1", "h2").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

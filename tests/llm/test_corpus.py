@@ -59,6 +59,17 @@ def test_languages_without_rows_or_labels(make_docs):
     assert {(r["lang_pred"], r["score"]) for r in language_id.identify(make_docs(rows)).collect()} == {("und", 0.0)}
 
 
+@pytest.mark.parametrize("most", [20, 3000])
+def test_copies_weigh_as_one_document(make_docs, most):
+    rng = random.Random(8)
+    rows = [(i, words(rng, 40, ["ka", "lo", "mi", "ten", "su", "ra"]), "aa", "s") for i in range(60)]
+    copies = [(100 + i, rows[3][1], "aa", "s") for i in range(600)] + [(900 + i, rows[4][1], "aa", "s") for i in range(600)]
+    # A language whose name differs is another document even with the same text.
+    rows.append((99, rows[5][1], "bb", "s"))
+    plain, full = (language_id.fit(make_docs(r), docs_per_language=most, least_share=0.05) for r in (rows, rows + copies))
+    assert plain.languages == full.languages == ["aa", "bb"] and (plain.table == full.table).all()
+
+
 def test_prediction_keeps_columns(make_docs, corpus):
     docs = make_docs(corpus, extra=True)
     out = language_id.predict(docs, language_id.fit(docs), pred="LANG_PRED")
