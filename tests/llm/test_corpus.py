@@ -227,6 +227,19 @@ def test_stages_of_the_pipeline(spark, make_docs, corpus):
         assert step[1](spark, docs.limit(0), ROOT).count() == 0
 
 
+def test_near_stage_misses_no_more_than_the_query(make_docs, corpus, monkeypatch):
+    import corpus_pipeline as p
+    from quadrille.llm import minhash
+
+    asked, near = [], minhash.near_duplicates
+    monkeypatch.setattr(minhash, "near_duplicates", lambda docs, **o: asked.append(o) or near(docs, **o))
+    assert p.dedup_documents(None, make_docs(corpus), ROOT).count() > 0
+    missed = [
+        (1 - (o.get("threshold", minhash.THRESHOLD) / 100) ** o.get("rows", minhash.ROWS)) ** o.get("bands", minhash.BANDS) for o in [*asked, {}]
+    ]
+    assert len(asked) == 1 and asked[0]["threshold"] == 80 and missed[0] <= missed[1]
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
