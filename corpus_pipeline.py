@@ -57,8 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents of the mix, in sequences."""
-    return pack_documents(docs, tokenizer_path())
+    """Pieces of all documents of the mix, with their token ids, in sequences."""
+    return pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [

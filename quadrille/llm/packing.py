@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, stage, text_of
@@ -145,10 +145,22 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def narrowed(piece: bytes) -> bytes:
+    """Ids as 16-bit numbers if all of them fit, else as they are."""
+    ids = np.frombuffer(piece, "<u4")
+    return ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else piece
+
+
+def widened(ids: Column, length: Column) -> Column:
+    """32-bit ids again; what was not narrowed has four bytes an id already."""
+    wide = F.unhex(F.regexp_replace(F.hex(ids), "(....)", "$10000"))
+    return F.when(F.octet_length(ids) == 2 * length, wide).otherwise(ids)
+
+
 def cut_pieces(
     rows: DataFrame, tokenizer: str, window: int = WINDOW, separator: int = SEPARATOR, with_ids: bool = False
 ) -> DataFrame:
-    """One row per piece of every (``__row``, ``doc_id``, ``text``): full windows, then the rest."""
+    """One row per piece of every (``__row``, ``doc_id``, ``text``): full windows, then the rest. ``ids`` are narrowed."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = (
         f"`__row` bigint, doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -174,7 +186,7 @@ def cut_pieces(
                         sums.append(zlib.crc32(piece))
                         totals.append(total)
                         if with_ids:
-                            raw.append(piece)
+                            raw.append(narrowed(piece))
                 columns = [numbers.take(pa.array(origin, pa.int64())), ids.take(pa.array(origin, pa.int64()))]
                 columns += [pa.array(x, pa.int64()) for x in (starts, lengths, sums, totals)]
                 columns += [pa.array(raw, pa.binary())] if with_ids else []
@@ -225,7 +237,8 @@ def pack_documents(
     """
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col("doc_id"), text_of("text").alias("text"))
     pieces = stage(cut_pieces(rows, tokenizer, window, separator, with_ids))
-    return pack_pieces(pieces, window, group_pieces).drop("__row")
+    packed = pack_pieces(pieces, window, group_pieces).drop("__row")
+    return packed.withColumn("ids", widened(F.col("ids"), F.col("length"))) if with_ids else packed
 
 
 def sequences(packed: DataFrame, window: int = WINDOW, padding: int = SEPARATOR) -> DataFrame:

@@ -240,6 +240,23 @@ def test_near_stage_misses_no_more_than_the_query(make_docs, corpus, monkeypatch
     assert len(asked) == 1 and asked[0]["threshold"] == 80 and missed[0] <= missed[1]
 
 
+def test_last_stage_returns_the_training_data(spark, make_docs, corpus):
+    import corpus_pipeline as p
+    from quadrille.llm import packing
+
+    docs = make_docs([r for r in corpus if r[0] is not None and r[0] < 40])
+    packed = p.pack(spark, docs, ROOT)
+    made = packing.encoder(p.tokenizer_path())
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] != 5}
+    held = defaultdict(dict)
+    for r in packed.collect():
+        held[r["doc_id"]][r["start"]] = r["ids"]
+    for i, text in texts.items():
+        assert b"".join(held[i][s] for s in sorted(held[i]))[:-4] == made.encode(text)
+    rows = packing.sequences(packed).collect()
+    assert rows and all(len(r["ids"]) >= 4 * r["used"] for r in rows)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 

@@ -152,6 +152,15 @@ def test_other_tokenizer_files_go_the_plain_way():
     assert len(packing.encoder(public_tokenizers.path("word_bpe_49k.json")).encode("Some Words")) == 8
 
 
+def test_narrowed_ids_come_back(spark):
+    pieces = [[0], [65535, 0, 7], [65536, 1], [1, 2, 3, 4]]
+    raw = [struct.pack(f"<{len(p)}I", *p) for p in pieces]
+    assert [len(packing.narrowed(r)) for r in raw] == [2, 6, 8, 8]
+    rows = spark.createDataFrame([(i, bytearray(packing.narrowed(r)), len(p)) for i, (r, p) in enumerate(zip(raw, pieces))], "i int, ids binary, n int")
+    back = rows.orderBy("i").select(packing.widened(F.col("ids"), F.col("n")).alias("ids")).collect()
+    assert [bytes(r["ids"]) for r in back] == raw
+
+
 def fill(shards, size):
     table, at = [None] * size, {s: 0 for s in shards}
     order = {}
