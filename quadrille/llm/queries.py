@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage, staged_path
 from . import sql
 from .exact_dedup import exact_dedup
 from .language_id import identify
@@ -16,7 +17,7 @@ from .mixing import mix_documents
 from .packing import pack_documents
 from .quality_rules import judge_quality
 from .secret_scans import scan_secrets
-from .sharding import assign_shards
+from .sharding import assign_shards, write_shards
 from .url_filters import Rule, judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,9 +90,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard of every document, with all its columns but the text."""
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return assign_shards(docs, ["doc_id"], SHARDS).withColumn("slot", F.col("slot").cast("bigint"))
+    """Whole documents placed in a folder per shard, then read back: shard of every document, with all its columns but
+    the text, of which there are the length and a digest, and the bytes of text in its shard."""
+    docs = _read(spark, sf_dir, "documents")
+    placed = assign_shards(docs, ["doc_id"], SHARDS).withColumn("slot", F.col("slot").cast("bigint"))
+    path = staged_path(spark)
+    write_shards(placed, path)
+    back = spark.read.schema(placed.schema).parquet(path)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    sizes = stage(back.groupBy("shard").agg(F.sum(size).alias("shard_bytes")))
+    columns = ["doc_id", "lang", "source", "n_chars", "slot", "shard"]
+    said = back.select(*columns, size.alias("text_bytes"), F.md5("text").alias("text_md5"))
+    return said.join(sizes, "shard").select(*columns, "text_bytes", "text_md5", "shard_bytes")
 
 
 @_query

@@ -60,6 +60,14 @@ def staging_root(spark: SparkSession) -> str:
     return _own_roots[context.applicationId]
 
 
+def staged_path(spark: SparkSession) -> str:
+    """A new place in the shared folder, removed with the others at the end of ``staging``."""
+    path = f"{staging_root(spark)}/staged/{uuid.uuid4().hex}"
+    if _runs:
+        _runs[-1].append(path)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -69,9 +77,7 @@ def stage(df: DataFrame) -> DataFrame:
     falls back to a shuffled join otherwise; no operator here carries a broadcast hint.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/staged/{uuid.uuid4().hex}"
-    if _runs:
-        _runs[-1].append(path)
+    path = staged_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -257,6 +257,21 @@ def test_last_stage_returns_the_training_data(spark, make_docs, corpus):
     assert rows and all(len(r["ids"]) >= 4 * r["used"] for r in rows)
 
 
+def test_sharding_places_whole_documents(spark):
+    import hashlib
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()}
+    rows = QUERIES["op7_sharding"](spark, ROOT).collect()
+    assert len(rows) == len(docs)
+    sizes = Counter()
+    for r in rows:
+        text = docs[r["doc_id"]]
+        raw = (text or "").encode()
+        assert (r["text_bytes"], r["text_md5"]) == (len(raw), None if text is None else hashlib.md5(raw).hexdigest())
+        sizes[r["shard"]] += len(raw)
+    assert all(sizes[r["shard"]] == r["shard_bytes"] for r in rows)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
