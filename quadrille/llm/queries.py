@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..session import stage, staged_path
 from . import sql
+from .common import ascii_lower
 from .exact_dedup import exact_dedup
 from .language_id import identify
 from .line_dedup import find_line_copies
+from .merkle import audit
 from .minhash import near_duplicates
 from .mixing import mix_documents
 from .packing import pack_documents
@@ -120,3 +122,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
     return near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether it verifies after a fifth were lower-cased."""
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.when(fifth, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return audit(_read(spark, sf_dir, "documents"), {"text": lowered})

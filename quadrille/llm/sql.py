@@ -140,3 +140,65 @@ label as (select node, min(root) as component_id from reach group by node)
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id, coalesce(component_id, w.doc_id) = w.doc_id as kept
 from w left join n on w.doc_id = n.doc_id left join label on w.doc_id = label.node
 """
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """CTEs ``{name}1`` ... from ``{name}0`` (grp, pos, n, hash): nodes of each level, sixteen to a parent."""
+    parts = []
+    for k in range(1, levels + 1):
+        parts.append(
+            f"{name}{k} as (select grp, pos // 16 as pos, (any_value(n) + 15) // 16 as n, "
+            f"case when any_value(n) = 1 then any_value(hash) else sha256(string_agg(hash, '' order by pos)) end as hash, "
+            f"list(hash order by pos) as run from {name}{k - 1} group by grp, pos // 16)"
+        )
+    return ",\n".join(parts)
+
+
+def _path_sql(leaves: str, name: str, levels: int) -> tuple[str, str, str]:
+    """Joins from ``leaves`` along the tree ``name``, the siblings on the way, and the digest of ``claimed`` folded up."""
+    joins, proof, folded = [], [], "claimed"
+    for k in range(1, levels + 1):
+        joins.append(f"join {name}{k} on {name}{k}.grp = {leaves}.grp and {name}{k}.pos = {leaves}.pos // {16**k}")
+        slot = f"({leaves}.pos // {16 ** (k - 1)} % 16)"
+        left = f"array_to_string({name}{k}.run[1:{slot}], '')"
+        right = f"array_to_string({name}{k}.run[{slot} + 2:], '')"
+        many = f"({leaves}.n + {16 ** (k - 1) - 1}) // {16 ** (k - 1)} > 1"
+        proof.append(f"case when {many} then {left} || {right} else '' end")
+        folded = f"case when {many} then sha256({left} || {folded} || {right}) else {folded} end"
+    return "\n".join(joins), " || ".join(proof), folded
+
+
+def _merkle_sql(levels: int = 6, top_levels: int = 3) -> str:
+    def field(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(v) for v in ("doc_id::varchar", "source", "lang", "n_chars::varchar", text)) + ")"
+
+    joins, proof, folded = _path_sql("a0", "a", levels)
+    top_joins, top_proof, top_folded = _path_sql("b0", "b", top_levels)
+    # A byte at a time into the remainder of the CRC, eight bits each.
+    bit = "lambda c, z: xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)), {byte}), 4294967295)"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with leaves as (select doc_id, coalesce('+' || source, '') as grp, {leaf("text")} as hash,
+                       case when {crc} % 5 = 0 then {leaf(lowered)} else {leaf("text")} end as claimed
+                from documents),
+a0 as (select *, row_number() over (partition by grp order by doc_id nulls first, hash) - 1 as pos, count(*) over (partition by grp) as n
+       from leaves),
+{_tree_sql("a", levels)},
+b0 as (select '' as grp, grp as name, row_number() over (order by grp) - 1 as pos, count(*) over () as n, hash from a{levels}),
+{_tree_sql("b", top_levels)},
+own as (select doc_id, a0.grp as name, a0.hash as leaf, {proof} as proof, {folded} as claimed from a0
+{joins}),
+ends as (select b0.*, claimed, doc_id, leaf, proof from b0 join own using (name))
+select doc_id, leaf, ends.hash as subroot, b{top_levels}.hash as root, sha256(proof || {top_proof.replace("b0.", "ends.")}) as proof_sha256,
+       {top_folded.replace("b0.", "ends.")} as folded_root, folded_root = root as verified
+from ends
+{top_joins.replace("b0.", "ends.")}
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
