@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage, staged_path
 from . import sql
+from .collocations import mine_phrases
 from .common import ascii_lower
 from .exact_dedup import exact_dedup
 from .language_id import identify
@@ -124,6 +125,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return mine_phrases(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether it verifies after a fifth were lower-cased."""

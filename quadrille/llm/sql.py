@@ -202,3 +202,27 @@ from ends
 
 
 ORACLES["op13_merkle_manifest"] = _merkle_sql()
+
+ORACLES["op12_collocations"] = r"""
+with pieces as (select coalesce(lang, 'und') as lang, doc_id,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+                from documents),
+cut as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+total as (select lang, sum(len(w))::bigint as n from cut group by lang),
+grams as (select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase
+          from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from cut, range(1, 6) r(m))),
+f as (select lang, m, phrase, count(*) as f from grams group by all having count(*) >= 100),
+longer as (select lang, f, array_to_string(string_split(phrase, ' ')[i:i + s - 1], ' ') as phrase
+           from (select *, unnest(range(1, m - s + 2)) as i from f, range(2, 5) z(s) where s < m)),
+around as (select lang, phrase, max(f) as f from longer group by all),
+kept as (select c.lang, c.phrase, c.f as a, c.m, string_split(c.phrase, ' ') as w
+         from f c left join around l on c.lang = l.lang and c.phrase = l.phrase where c.m > 1 and coalesce(l.f, 0) < c.f),
+cuts as (select *, unnest(range(1, m)) as k from kept),
+scored as (select c.lang, c.phrase, a, c.k, x.f as l, y.f as r, n, ((1000::hugeint * a * n) // (x.f::hugeint * y.f))::bigint as score
+           from cuts c join total t on t.lang = c.lang
+           join f x on x.lang = c.lang and x.phrase = array_to_string(w[1:k], ' ')
+           join f y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from best qualify rank <= 2000
+"""
