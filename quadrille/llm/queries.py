@@ -12,6 +12,7 @@ from . import sql
 from .collocations import mine_phrases
 from .common import ascii_lower
 from .exact_dedup import exact_dedup
+from .genetic_packing import pack_genetically
 from .language_id import identify
 from .line_dedup import find_line_copies
 from .merkle import audit
@@ -125,6 +126,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@_query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in as few sequences of 1024 tokens as the islands find."""
+    return pack_genetically(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @_query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best collocations of every language."""
