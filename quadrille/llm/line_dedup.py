@@ -7,8 +7,8 @@ stand in it. Lines that meet under a key are verified with a banded bit-parallel
 threshold + 1 diagonals is one machine word that slides along both lines. Everything is a column expression.
 
 Meeting keys are found by counting (smallest and largest line per key, combined on the map side), so the many keys
-of one line are dropped before any line is looked at. Where many lines meet they are cut again, into twice as many
-segments, and only those of which enough segments occur elsewhere stay. Lines are compared by pivots
+of one line are dropped before any line is looked at. Lines that meet others are cut again, into twice as many segments,
+and only those of which enough segments occur elsewhere stay. Lines are compared by pivots
 (``graph.linked_classes``), first by their letters' counts.
 """
 
@@ -25,8 +25,6 @@ THRESHOLD = 2
 LEAST_CHARS = 20
 #: Letters that are counted to tell lines apart before they are compared; any choice gives the same result.
 LETTERS = "etaoinshrdlucmwf"
-#: Keys with more lines than this are thinned by a second count.
-CROWD = 16
 #: Fixed value: the white space of which a blank line consists.
 BLANK = " \t\n\x0b\f\r"
 
@@ -70,8 +68,8 @@ def segment_keys(lines: DataFrame, parts: int, threshold: int) -> DataFrame:
 
 
 def _supported(nodes: DataFrame, threshold: int) -> DataFrame:
-    """The nodes of crowded keys that may have a partner there: of two linked lines, cut into twice as many segments,
-    at most ``threshold`` differ. A line whose segments occur in too few others, wherever, has no partner, so what
+    """The nodes that may have a partner: of two linked lines, cut into twice as many segments, at most ``threshold``
+    differ. A line whose segments occur in too few others, wherever, has no partner, so what
     merely shares a beginning with many is compared with none. Counts of keys only; no link is lost."""
     parts = 2 * (threshold + 1)
     keyed = segment_keys(nodes.select("node", "line", F.length("line").alias("length")), parts, threshold)
@@ -216,14 +214,8 @@ def line_classes(
     hits = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]))
     nodes = number_rows(hits.groupBy("h1", "h2").agg(F.min("line").alias("line")), "node")
     sized = nodes.select("h1", "h2", "node", letter_counts(F.col("line")).alias("size"))
-    placed = hits.select("bucket", "h1", "h2").distinct().join(sized, ["h1", "h2"]).select("bucket", "node", "size")
-    counted = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd"))
-    placed = stage(placed.join(counted, "bucket"))
-    crowded = placed.where(F.col("crowd") > CROWD)
-    if crowded.limit(1).count():
-        able = _supported(nodes.join(crowded.select("node").distinct(), "node"), threshold)
-        able = crowded.join(able, "node", "left_semi").select(*placed.columns)
-        placed = stage(placed.where(F.col("crowd") <= CROWD).unionByName(able))
+    able = sized.join(_supported(nodes, threshold), "node", "left_semi")
+    placed = stage(hits.select("bucket", "h1", "h2").distinct().join(able, ["h1", "h2"]).select("bucket", "node", "size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("xa")), "a")
@@ -245,9 +237,12 @@ def line_classes(
         said = said.withColumns({"c1": F.coalesce("c1", "h1"), "c2": F.coalesce("c2", "h2")})
     said = stage(said)
     rank = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row", "line_no")
-    firsts = said.groupBy("c1", "c2").agg(F.min(rank).alias("first"))
-    out = said.join(firsts, ["c1", "c2"])
-    kept = (F.col("__row") == F.col("first.__row")) & (F.col("line_no") == F.col("first.line_no"))
+    # A line alone in its class is its first; only the others meet by class.
+    firsts = said.groupBy("c1", "c2").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("held"))
+    firsts = stage(firsts.where("held > 1").select("c1", "c2", "first"))
+    out = joined_small(said, firsts, ["c1", "c2"], "left")
+    same = (F.col("__row") == F.col("first.__row")) & (F.col("line_no") == F.col("first.line_no"))
+    kept = F.col("first").isNull() | same
     name = F.lower(F.concat(F.lpad(F.hex("c1"), 16, "0"), F.lpad(F.hex("c2"), 16, "0")))
     return out.select("doc_id", "__row", "line_no", "chars", name.alias("class_id"), kept.alias("kept"))
 
