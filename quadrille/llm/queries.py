@@ -120,6 +120,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+@_query
+def quality_rules_on_few_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same at a risk of a fifth, for which the labels of small tables suffice."""
+    return judge_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), risk=0.2)
+
+
 @_query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""

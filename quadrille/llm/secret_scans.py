@@ -1,18 +1,19 @@
 """Secret scans weighed by corpus-wide ownership.
 
 Candidates are found by pattern with their places. Every candidate value is then counted over the whole corpus: in how
-many repositories (documents) and by how many owners (sources) it occurs. A value that many owners carry is a copied
-example; one that stays with its owner looks like a live credential. Without a bound on repositories owners alone decide,
-as in the SQL beside the query; with one both counts do. That separation sets the status of the base
-spans and decides which free-standing tokens, too vague to report on their pattern alone, are added as spans.
-
-Places come from the matches and the texts between them, so no Python looks at a text. A value is a key that is
-counted, never a list; documents without a candidate never leave the scan.
+many repositories (documents) and by how many owners (sources) it occurs, whatever its kind, whole copies of a text
+once. A value that many owners carry, or that is all over the repositories of one, is a copied example; one that stays
+in few places of its owner looks like a live credential. That separation sets the status of the base spans and decides
+which free-standing tokens, too vague to report on their pattern alone, are added as spans.
+
+Places come from the matches and the texts between them, so no Python looks at a text: a match begins where the
+lengths of all that stands before it add up to, sums that a window makes per document, in time linear in the matches. A
+value is a key that is counted, never a list; documents without a candidate never leave the scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage, text_of
@@ -29,30 +30,24 @@ _SEARCH = {"access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 BASE = ("assign", "access", "hex")
 #: A value of at most so many owners is its owner's; of more, a copied example.
 MOST_OWNERS = 1
+#: A value in more distinct texts than this is a copied example, even within one owner.
+MOST_REPOSITORIES = 5
 
 
-def _matches(text: Column, kind: str) -> Column:
-    """Array of (start, end, value) of a kind's matches that are long enough; code points, end exclusive."""
-    pattern, group, least = KINDS[kind]
+def _matches(text: Column, kind: str, rank: int) -> Column:
+    """Array of (rank, gap, n, value) of a kind's matches in order: the code points between a match and the one before,
+    its own, and its value; shorter ones than the kind allows included, as the next match stands behind them."""
+    pattern, group, _ = KINDS[kind]
     pattern = _SEARCH.get(kind, pattern)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     between = F.split(text, pattern, -1)
-    spans = F.aggregate(
-        F.zip_with(F.slice(between, F.lit(1), F.size(whole)), F.arrays_zip(whole.alias("w"), value.alias("v")),
-                   lambda b, m: F.struct(F.length(b).alias("gap"), F.length(m["w"]).alias("n"), m["v"].alias("v"))),
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,value:string>>").alias("out")),
-        lambda s, m: F.struct(
-            (s["at"] + m["gap"] + m["n"]).alias("at"),
-            F.when(
-                F.length(m["v"]) >= least,
-                F.array_append(s["out"], F.struct((s["at"] + m["gap"]).alias("start"), (s["at"] + m["gap"] + m["n"]).alias("end"), m["v"].alias("value"))),
-            ).otherwise(s["out"]).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
-    none = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(none)
+    found = F.zip_with(
+        F.slice(between, F.lit(1), F.size(whole)),
+        F.arrays_zip(whole.alias("w"), value.alias("v")),
+        lambda b, m: F.struct(F.lit(rank).alias("rank"), F.length(b).alias("gap"), F.length(m["w"]).alias("n"), m["v"].alias("value")),
+    )
+    return F.when(F.rlike(text, F.lit(pattern)), found)
 
 
 def _mixed(value: Column) -> Column:
@@ -60,12 +55,10 @@ def _mixed(value: Column) -> Column:
     return F.rlike(value, F.lit("[0-9]")) & F.rlike(value, F.lit("[a-z]")) & F.rlike(value, F.lit("[A-Z]"))
 
 
-def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", alike: bool = False) -> DataFrame:
-    """Staged, one row per document: ``doc_id``, ``__row``, ``repository``, ``owner`` and its ``spans``
-    (``rank``, ``start``, ``end``, ``hash`` of the value), free-standing tokens apart from base spans included.
-
-    ``alike``: a value has one hash whatever its kind, and ``copy`` tells the texts apart; else free-standing tokens
-    are counted by themselves."""
+def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> tuple[DataFrame, DataFrame]:
+    """Staged: the documents (``doc_id``, ``__row``), and their spans: ``__row``, ``rank`` (of the kind), ``start``,
+    ``end``, ``hash`` of the value, ``copy`` (a digest of the text), ``repository`` and ``owner``. Free-standing tokens
+    count as spans where they are apart from base spans."""
     rows = docs.select(
         "doc_id",
         F.monotonically_increasing_id().alias("__row"),
@@ -73,34 +66,35 @@ def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source", ali
         F.col(owner).cast("string").alias("owner"),
         text_of("text").alias("text"),
     )
-    named = ["doc_id", "__row", "repository", "owner"]
-    if alike:
-        rows = rows.withColumn("copy", F.md5("text"))
-        named.append("copy")
-    found = rows.select(*named, *[_matches(F.col("text"), k).alias(k) for k in KINDS])
-    base = F.concat(*[F.col(k) for k in BASE])
-    apart = F.filter("owned", lambda o: _mixed(o["value"]) & ~F.exists(base, lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
-
-    def ranked(spans: Column, rank: int) -> Column:
-        return F.transform(spans, lambda s: F.struct(
-            s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.xxhash64(F.lit(rank == 3 and not alike), s["value"]).alias("hash")
-        ))
-
-    parts = [ranked(F.col(k), i) for i, k in enumerate(BASE)] + [ranked(apart, len(BASE))]
-    return stage(found.select(*named, F.sort_array(F.concat(*parts)).alias("spans")))
-
-
-def ownership(scanned: DataFrame) -> DataFrame:
+    matches = [F.coalesce(_matches(F.col("text"), kind, i), F.array()) for i, kind in enumerate(KINDS)]
+    found = rows.select("doc_id", "__row", "repository", "owner", F.md5("text").alias("copy"), F.concat(*matches).alias("found"))
+    scanned = stage(found.withColumn("found", F.when(F.size("found") > 0, F.col("found"))))
+    held = scanned.where("found is not null").select("__row", "repository", "owner", "copy", F.posexplode("found").alias("at", "m"))
+    held = held.select("__row", "repository", "owner", "copy", "at", "m.*")
+    before = Window.partitionBy("__row", "rank").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum((F.col("gap") + F.col("n")).cast("bigint")).over(before)
+    held = held.withColumn("end", end).withColumn("start", F.col("end") - F.col("n"))
+    least = F.get(F.array(*[F.lit(KINDS[k][2]) for k in KINDS]), F.col("rank"))
+    held = held.where(F.length("value") >= least).where((F.col("rank") < len(BASE)) | _mixed(F.col("value")))
+    # A token touches a base span if one of those that begin before its end reaches beyond its start. Both kinds of
+    # ends rise, so of all that begin before the end the furthest decides.
+    reach = Window.partitionBy("__row").orderBy("point", "first").rowsBetween(Window.unboundedPreceding, 0)
+    is_base = F.col("rank") < len(BASE)
+    lined = held.withColumns({"point": F.when(is_base, F.col("start")).otherwise(F.col("end") - 1), "first": F.when(is_base, F.lit(0)).otherwise(F.lit(1))})
+    lined = lined.withColumn("reach", F.max(F.when(is_base, F.col("end"))).over(reach))
+    apart = lined.where(is_base | F.col("reach").isNull() | (F.col("reach") <= F.col("start")))
+    spans = apart.select("__row", "rank", "start", "end", F.xxhash64("value").alias("hash"), "copy", "repository", "owner")
+    return scanned.select("doc_id", "__row"), stage(spans)
+
+
+def ownership(spans: DataFrame) -> DataFrame:
     """Per candidate hash: ``repositories`` and ``owners`` that hold it, distinct, over the whole corpus.
 
-    Distinct by (hash, owner) and (hash, repository) first, so a value that a third of all documents hold is spread
-    over its documents; only counts meet. A null owner or repository is one of its own. Where the scan told texts
-    apart, documents with the same text are one: that of the least owner and repository.
+    Documents with the same text are one: that of the least owner and repository. Distinct by (hash, text), then by
+    (hash, owner) and (hash, repository) first, so a value that a third of all documents hold is spread over them; only
+    counts meet. A null owner or repository is one of its own.
     """
-    each = scanned.select("repository", "owner", F.explode("spans.hash").alias("hash"))
-    if "copy" in scanned.columns:
-        each = scanned.select("repository", "owner", "copy", F.explode("spans.hash").alias("hash"))
-        each = each.groupBy("hash", "copy").agg(F.min(F.struct("owner", "repository")).alias("first")).select("hash", "first.*")
+    each = spans.groupBy("hash", "copy").agg(F.min(F.struct("owner", "repository")).alias("first")).select("hash", "first.*")
     pairs = each.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("x"))
     owners = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n")).groupBy("hash").agg(F.count(F.lit(1)).alias("owners"))
     held = pairs.groupBy("hash", "repository").agg(F.lit(1).alias("x")).groupBy("hash").agg(F.count(F.lit(1)).alias("repositories"))
@@ -112,30 +106,23 @@ def scan_secrets(
     repository: str = "doc_id",
     owner: str = "source",
     most_owners: int = MOST_OWNERS,
-    most_repositories: int | None = None,
+    most_repositories: int = MOST_REPOSITORIES,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` (all spans as
-    kind:start:end, comma-joined, by start and then kind), ``n_live`` (spans whose value at most ``most_owners`` owners
-    hold) and ``n_example`` (the others).
-
-    With ``most_repositories`` a live value is also one of at most so many repositories, whatever its owners; a value is
-    then counted over all kinds together, and documents with the same text count once.
+    kind:start:end, comma-joined, by start and then kind), ``n_live`` (spans of a value that at most ``most_owners``
+    owners hold, in at most ``most_repositories`` repositories) and ``n_example`` (the others).
 
-    A null or empty text has no spans. Repeated rows are reported each, but are one repository. Other columns are not
-    read. An empty table gives no rows.
+    A null or empty text has no spans. Repeated rows and other copies of a text are reported each, but are one
+    repository. Other columns are not read. An empty table gives no rows. A document's spans meet in one row, as its
+    text did.
     """
-    scanned = scan(docs, repository, owner, alike=most_repositories is not None)
-    counted = ownership(scanned)
-    each = scanned.where(F.size("spans") > 0).select("doc_id", "__row", F.explode("spans").alias("s"))
-    each = each.select("doc_id", "__row", "s.*").join(counted, "hash")
-    live = F.col("owners") <= most_owners
-    if most_repositories is not None:
-        live = live & (F.col("repositories") <= most_repositories)
+    rows, spans = scan(docs, repository, owner)
+    each = spans.join(ownership(spans), "hash")
+    live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
     added = len(BASE)
     text = F.concat_ws(":", F.get(F.array(*[F.lit(k) for k in KINDS]), F.col("rank")), F.col("start"), F.col("end"))
     item = F.struct("start", "rank", text.alias("t"))
     per_row = each.where((F.col("rank") < added) | live).groupBy("__row").agg(
-        F.first("doc_id").alias("doc_id"),
         *[F.sum((F.col("rank") == i).cast("bigint")).alias(f"n_{k}") for i, k in enumerate(BASE)],
         F.sort_array(F.collect_list(F.when(F.col("rank") < added, item))).alias("base"),
         F.sort_array(F.collect_list(item)).alias("all"),
@@ -152,7 +139,7 @@ def scan_secrets(
         "n_example",
     )
     zero = F.lit(0).cast("bigint")
-    out = scanned.select("doc_id", "__row").join(full, "__row", "left")
+    out = rows.join(full, "__row", "left")
     return out.select(
         "doc_id",
         *[F.coalesce(c, zero).alias(c) for c in counts],

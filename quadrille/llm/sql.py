@@ -72,9 +72,10 @@ ORACLES["op8_secret_scans"] = (
 base as (select * from k0 union all select * from k1 union all select * from k2),
 owned as (select * from k3 o where regexp_matches(v, '[0-9]') and regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]')
     and not exists (select 1 from base b where b.doc_id = o.doc_id and b.s < o.e and o.s < b.e)),
-found as (select *, rank = 3 as own from base union all select *, true from owned),
-owners as (select own, v, count(distinct coalesce('s' || source, 'n')) as owners from found group by own, v),
-judged as (select f.*, kind || ':' || s || ':' || e as span, owners <= 1 as live from found f join owners using (own, v)),
+found as (select * from base union all select * from owned),
+first as (select v, min({'owner': coalesce('s' || t.source, ''), 'repository': t.doc_id::varchar}) as d from found join t using (doc_id) group by v, t.x),
+held as (select v, count(distinct d.owner) as owners, count(distinct d.repository) as repositories from first group by v),
+judged as (select f.*, kind || ':' || s || ':' || e as span, owners <= 1 and repositories <= 5 as live from found f join held using (v)),
 rows as (select doc_id, count(*) filter (rank = 0) as n_assign, count(*) filter (rank = 1) as n_access, count(*) filter (rank = 2) as n_hex,
     coalesce(string_agg(span, ',' order by s, rank) filter (rank < 3), '') as base,
     coalesce(string_agg(span, ',' order by s, rank), '') as spans,
@@ -88,8 +89,12 @@ from t left join rows on t.doc_id = rows.doc_id
 
 _MEASURES = ("symbol_share", "repeat_share", "dup_line_share", "capital_share")
 
-ORACLES["op9_quality_rules"] = (
-    r"""
+
+def _quality_sql(risk: float, delta: float = 0.05) -> str:
+    ranks = ", ".join(f"max(below) filter (b.measure = '{m}') as rank_{m}" for m in _MEASURES)
+    long = " union all ".join(f"select doc_id, lang, '{m}' as measure, {m} as value, scale, test from p" for m in _MEASURES)
+    reasons = ", ".join(f"case when rank_{m} > cutoff then '{m}' end" for m in _MEASURES)
+    return rf"""
 with d as (select doc_id, lang, coalesce(text, '') as x, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines from documents),
 win as (select doc_id, i, w[i] as a, w[i + 1] as b, w[i + 2] as c from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
@@ -103,28 +108,31 @@ m as (select d.doc_id, lang, len(w)::bigint as n_words, length(x) - length(regex
 r as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, 1000 * n_symbols // greatest(1, word_chars) as symbol_share,
     1000 * n_repeat_words // greatest(1, n_words) as repeat_share, 1000 * n_dup_lines // greatest(1, n_lines) as dup_line_share,
     1000 * capitals // greatest(1, n_words) as capital_share from m),
-good as (select * from r where not base_failed and doc_id in (select doc_id from labels where quality = 1)),
-long as ("""
-    + " union all ".join(f"select lang, '{m}' as measure, {m} as value from good" for m in _MEASURES)
-    + """),
-counts as (select lang, measure, value, count(*) as n from long group by all),
-above as (select *, coalesce(sum(n) over (partition by lang, measure order by value desc rows between unbounded preceding and 1 preceding), 0) as above,
-    sum(n) over (partition by lang, measure) as total from counts),
-tests as (select count(*) as n from (select distinct lang, measure from counts)),
-terms as (select total, k, exp(lgamma(total + 1) - lgamma(k + 1) - lgamma(total - k + 1) + k * ln(0.01 / 4) + (total - k) * ln(1 - 0.01 / 4)) as p
+p as (select *, good and left(md5(doc_id::varchar), 1) <= '3' as scale, good and left(md5(doc_id::varchar), 1) > '3' as test
+  from (select *, not base_failed and doc_id in (select doc_id from labels where quality = 1) as good from r)),
+long as ({long}),
+below as (select lang, measure, value, coalesce(sum(sum(scale::int)) over (partition by lang, measure order by value rows between unbounded preceding and 1 preceding), 0) as below
+  from long group by lang, measure, value),
+ranked as (select doc_id, max(below) as score, {ranks} from long join below b on long.lang is not distinct from b.lang and long.measure = b.measure and long.value = b.value
+  group by doc_id),
+scaled as (select lang from p group by lang having bool_or(scale)),
+scores as (select p.lang, score, count(*) as held from p join ranked using (doc_id) where test and exists (select 1 from scaled s where s.lang is not distinct from p.lang) group by all),
+above as (select *, coalesce(sum(held) over (partition by lang order by score desc rows between unbounded preceding and 1 preceding), 0) as above,
+    sum(held) over (partition by lang) as total from scores),
+sizes as (select distinct lang, total from above),
+tests as (select greatest(1, coalesce(max(j) filter (total * ln(1 - {risk}) <= ln({delta} / j)), 0)) as n from (select total, row_number() over (order by total desc) as j from sizes)),
+terms as (select total, k, exp(lgamma(total + 1) - lgamma(k + 1) - lgamma(total - k + 1) + k * ln({risk}) + (total - k) * ln(1 - {risk})) as p
   from (select total, unnest(range(0, least(total, 100000)::bigint + 1)) as k from (select distinct total from above))),
-most as (select total, count(*) filter (cdf <= (select 0.05 / n from tests)) - 1 as most
+most as (select total, count(*) filter (cdf <= (select {delta} / n from tests)) - 1 as most
   from (select total, sum(p) over (partition by total order by k) as cdf from terms) group by total),
-cuts as (select lang, measure, min(value) as cutoff from above join most using (total) where above <= most group by lang, measure),
-wide as (select lang, """
-    + ", ".join(f"min(cutoff) filter (measure = '{m}') as cut_{m}" for m in _MEASURES)
-    + """ from cuts group by lang),
-j as (select r.*, concat_ws(',', """
-    + ", ".join(f"case when {m} > cut_{m} then '{m}' end" for m in _MEASURES)
-    + """) as reasons from r left join wide on r.lang is not distinct from wide.lang)
+cuts as (select lang, min(score) as cutoff from above join most using (total) where above <= most group by lang),
+j as (select p.*, concat_ws(',', {reasons}) as reasons from p join ranked using (doc_id) left join cuts on p.lang is not distinct from cuts.lang)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and reasons = '' as kept, reasons from j
 """
-)
+
+
+ORACLES["op9_quality_rules"] = _quality_sql(0.01)
+ORACLES["quality_rules_on_few_labels"] = _quality_sql(0.2)
 
 ORACLES["op10_minhash_near_dedup"] = r"""
 with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -264,7 +264,9 @@ def test_secret_spans_and_ownership(make_docs):
 def test_ownership_counts_distinct_owners_and_repositories(make_docs):
     value = "password=" + "k" * 16
     rows = [(i % 4, value, "aa", f"src{i % 2}") for i in range(12)] + [(9, value, "aa", None)]
-    counted = secret_scans.ownership(secret_scans.scan(make_docs(rows))).collect()
+    rows = [(i, f"{value} of {n}", lang, src) for n, (i, _, lang, src) in enumerate(rows)]
+    rows += rows[:3]  # whole copies count once
+    counted = secret_scans.ownership(secret_scans.scan(make_docs(rows))[1]).collect()
     assert [(r["owners"], r["repositories"]) for r in counted] == [(3, 5)]
     found = secret_scans.scan_secrets(make_docs(rows)).collect()
     assert {(r["n_live"], r["n_example"]) for r in found} == {(0, 1)}
@@ -282,3 +284,11 @@ def test_secrets_weighed_by_repositories_too(make_docs):
     assert all(by_id[i] == ("", 0, 0) for i in range(30))
     assert by_id[100] == by_id[101] == ("owned:8:43", 1, 0)
     assert by_id[200][1:] == (0, 1) and by_id[201] == ("", 0, 0)
+
+
+def test_a_hundred_thousand_secrets_in_one_text(make_docs):
+    part = "password=abcdefghijkl " + "0123456789abcdef "
+    text = "é" + part * 50_000
+    row = secret_scans.scan_secrets(make_docs([(1, text, "aa", "s"), (2, "none", "aa", "s")])).where("doc_id = 1").first()
+    assert (row["n_assign"], row["n_hex"]) == (50_000, 50_000)
+    assert row["base_sha256"] == hashlib.sha256(",".join(spans_of(text)).encode()).hexdigest()
