@@ -10,7 +10,10 @@ hits cost time and change nothing, as counts are exact and the bound is applied
 prefix is dealt into parts by the following word, by powers of two of the prefix's count, so that no task merges more
 than about ``PART`` occurrences at once. The counts that the parts need travel as a table of a fixed size too.
 
-Texts are cut into words by whole-array operations on their bytes: separators are all ASCII, so bytes are enough.
+Texts are cut into words by whole-array operations on their bytes: separators are all ASCII, so bytes are enough. Once
+the frequent pairs are known, only the runs of words that are all joined by such pairs are looked at: every occurrence of
+a longer frequent phrase lies in one. A task's stripes travel in blocks, as many as the words ask for, so a merge holds
+about ``BLOCK`` occurrences and rows are few.
 """
 
 from __future__ import annotations
@@ -40,10 +43,13 @@ MAP_BITS = 27
 HEAT_BITS = 20
 #: Occurrences of a prefix that one part of its stripe holds, about.
 PART = 200_000
-#: Bytes of text (or of stripes) that a task works on at once; a longer text is worked on alone.
+#: Occurrences whose stripes are merged together, about.
+BLOCK = 1 << 20
+#: Bytes of text that a task works on at once; a longer text is worked on alone.
 BATCH_BYTES = 12 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_DIGIT = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -85,17 +91,22 @@ def cut_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarr
     at = np.flatnonzero(edge[inside])
     ends = np.append(at, len(held)).astype(np.int64)
     words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(held)))
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    # A rank among the breaks plus the text's number grows with either, so neighbours of one piece, and only they, agree.
-    piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + text
+    text = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets)))
+    # Breaks so far plus the text's number grow with either, so neighbours of one piece, and only they, agree.
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts] + text
     return words.dictionary_encode(), text, piece
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
-    """64 bits for every word, the same in every task."""
-    import xxhash
-
-    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode()) for w in words.to_pylist()), np.uint64, len(words))
+    """64 bits for every word, the same in every task: its bytes as digits of a number."""
+    offsets, data = _buffers(words)
+    if not len(data):
+        return np.zeros(len(words), np.uint64)
+    sizes = np.diff(offsets)
+    digits = np.cumprod(np.full(int(sizes.max()), _DIGIT), dtype=np.uint64)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], sizes)
+    total = np.concatenate([[np.uint64(0)], np.cumsum((data + np.uint64(1)) * digits[place], dtype=np.uint64)])
+    return _mixed(total[offsets[1:]] - total[offsets[:-1]])
 
 
 def _mixed(value: np.ndarray) -> np.ndarray:
@@ -157,9 +168,9 @@ def learn(frequent: DataFrame, part: int = PART) -> Known:
     return Known(masks.tobytes(), heat.tobytes())
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``BATCH_BYTES`` of the column's values each, whole rows in each."""
-    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch (``lang``, ``text``) of about ``BATCH_BYTES`` of text each, whole texts in each."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
     low = 0
     while low < batch.num_rows:
         base = ends[low - 1] if low else 0
@@ -196,13 +207,15 @@ def _counted(keys: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 _COUNTS = "lang string, word string, f bigint"
-_STRIPES = "lang string, prefix string, part int, words string, counts binary"
+#: A block of stripes: prefixes, one a line; the entries of each; all their words; how often each word follows.
+_STRIPES = "lang string, block bigint, prefixes string, sizes binary, words string, counts binary"
+_FREQUENT = "lang string, prefix string, word string, f bigint"
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words by language: the stripes of the empty prefix, of which a task returns each entry as a row."""
     for whole in batches:
-        for batch in _slices(whole, 1):
+        for batch in _slices(whole):
             langs = batch.column(0).dictionary_encode()
             words, text, _ = cut_words(batch.column(1))
             (lang, word), n = _counted([langs.indices.to_numpy()[text], words.indices.to_numpy()])
@@ -211,111 +224,119 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _joined_words(lists_at: np.ndarray, words: pa.Array) -> pa.Array:
-    """One text for every list of words, joined by spaces; lists end at the places given."""
-    return pc.binary_join(pa.ListArray.from_arrays(pa.array(lists_at, pa.int32()), words.cast(pa.string())), " ")
+def _joined(ends: np.ndarray, texts: pa.Array, by: str) -> pa.Array:
+    """One text for every list of texts; the lists begin at ``ends`` but for the last, which is where all end."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), texts.cast(pa.string())), by)
 
 
-def _stripe_rows(langs: pa.Array, prefix: pa.Array, key: np.ndarray, part: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    """Rows of stripes from entries in order of (key, part); ``langs`` and ``prefix`` are by key."""
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
-    at = np.flatnonzero(new)
-    ends = np.append(at, len(key))
-    data = [None, pa.py_buffer((ends * 8).astype(np.int32)), pa.py_buffer(n.astype("<i8"))]
-    columns = [
-        langs.take(pa.array(key[at])),
-        prefix.take(pa.array(key[at])),
-        pa.array(part[at], pa.int32()),
-        _joined_words(ends, words),
-        pa.Array.from_buffers(pa.binary(), len(at), data),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "part", "words", "counts"])
+def _packed(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    """One binary for every list of numbers."""
+    offsets = pa.py_buffer((ends * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(values)])
+
+
+def _starts(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a row differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return np.flatnonzero(new)
+
+
+class _Words:
+    """The words of a part of a batch as codes, with hashes, languages and pieces."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        langs = batch.column(0).dictionary_encode()
+        words, self.text, self.piece = cut_words(batch.column(1))
+        self.langs, self.words = langs.dictionary, words.dictionary
+        self.codes, self.lang = words.indices.to_numpy(), langs.indices.to_numpy()[self.text]
+        self.hashes = word_hashes(self.words)
+        self.of_lang = word_hashes(self.langs)
 
+    def phrases(self, m: int) -> np.ndarray:
+        """Hashes of the ``m`` words from every place that has so many behind it."""
+        n = len(self.codes) - m + 1
+        return phrase_hashes(self.of_lang[self.lang[:n]], [self.hashes[self.codes[i : n + i]] for i in range(m)])
 
-def _stripes(level: int, known: Known):
-    """Counts the stripes of prefixes of ``level - 1`` words, of what may be frequent, in every batch."""
+
+def _stripes(level: int, known: Known, blocks: int):
+    """Counts the stripes of prefixes of ``level - 1`` words, of what may be frequent, in every part of a batch."""
+    m = level - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in _slices(whole, 1):
-                langs = batch.column(0).dictionary_encode()
-                words, text, piece = cut_words(batch.column(1))
-                n = len(text) - (level - 1)
-                if n <= 0:
-                    continue
-                codes, hashes = words.indices.to_numpy(), word_hashes(words.dictionary)
-                lang = langs.indices.to_numpy()[text]
-                by_lang = word_hashes(langs.dictionary)[lang]
-                each = hashes[codes]
-                m = level - 1
-                shorter = phrase_hashes(by_lang[: n + 1], [each[i : n + 1 + i] for i in range(m)])
-                often = known.frequent(shorter)
-                at = np.flatnonzero((piece[:n] == piece[level - 1 :]) & often[:-1] & often[1:])
-                if not len(at):
-                    continue
-                parts = known.parts(shorter[at])
-                last = codes[at + m]
-                part = (_mixed(hashes[last]) % parts.astype(np.uint64)).astype(np.int64)
-                keys, counts = _counted([lang[at], *[codes[at + i] for i in range(m)], part, last])
-                new = np.ones(len(counts), bool)
-                new[1:] = np.any([k[1:] != k[:-1] for k in keys[: m + 1]], axis=0)
-                first = np.flatnonzero(new)
-                text_of = [words.dictionary.take(pa.array(k[first])) for k in keys[1 : m + 1]]
-                prefix = pc.binary_join_element_wise(*text_of, pa.scalar(" ", pa.large_string())).cast(pa.string())
-                yield _stripe_rows(
-                    langs.dictionary.take(pa.array(keys[0][first])), prefix, np.cumsum(new) - 1, keys[-2], words.dictionary.take(pa.array(keys[-1])), counts
-                )
+        for batch in (x for whole in batches for x in _slices(whole)):
+            cut = _Words(batch)
+            n = len(cut.codes) - m
+            if n <= 0:
+                continue
+            shorter = cut.phrases(m)
+            often = known.frequent(shorter)
+            at = np.flatnonzero((cut.piece[:n] == cut.piece[m:]) & often[:-1] & often[1:])
+            if not len(at):
+                continue
+            prefix, last = shorter[at], cut.codes[at + m]
+            part = _mixed(cut.hashes[last]) % known.parts(prefix).astype(np.uint64)
+            block = (_mixed(prefix + part * _MIX) % np.uint64(blocks)).astype(np.int64)
+            keys, counts = _counted([cut.lang[at], block, *[cut.codes[at + i] for i in range(m)], last])
+            stripe, row = _starts(keys[:-1]), _starts(keys[:2])
+            text_of = [cut.words.take(pa.array(k[stripe])) for k in keys[2:-1]]
+            prefixes = pc.binary_join_element_wise(*text_of, pa.scalar(" ", pa.large_string()))
+            ends, by_stripe = np.append(row, len(counts)), np.append(np.searchsorted(stripe, row), len(stripe))
+            columns = [
+                cut.langs.take(pa.array(keys[0][row])),
+                pa.array(keys[1][row]),
+                _joined(by_stripe, prefixes, "\n"),
+                _packed(by_stripe, np.diff(np.append(stripe, len(counts))).astype("<i4")),
+                _joined(ends, cut.words.take(pa.array(keys[-1])), " "),
+                _packed(ends, counts.astype("<i8")),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "block", "prefixes", "sizes", "words", "counts"])
 
     return count
 
 
-def _merge(rows: pa.Table) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Equal stripes of sorted rows added elementwise: languages and prefixes by key, then entries (key, part, word, n)."""
-    lang, prefix, part = (rows.column(i).combine_chunks() for i in range(3))
-    lang, prefix = lang.dictionary_encode(), prefix.dictionary_encode()
-    part = part.to_numpy()
-    columns = [lang.indices.to_numpy(), prefix.indices.to_numpy(), part]
-    new = np.ones(len(part), bool)
-    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-    first = np.flatnonzero(new)
-    lists = pc.split_pattern(rows.column(3).combine_chunks(), " ")
-    words = lists.flatten().dictionary_encode()
-    n = np.frombuffer(b"".join(rows.column(4).to_pylist()), "<i8")
-    key = np.repeat(np.cumsum(new) - 1, pc.list_value_length(lists).to_numpy())
-    order = np.lexsort([words.indices.to_numpy(), key])
-    key, word, n = key[order], words.indices.to_numpy()[order], n[order]
-    changed = np.ones(len(key), bool)
-    changed[1:] = (key[1:] != key[:-1]) | (word[1:] != word[:-1])
-    at = np.flatnonzero(changed)
-    key, word, n = key[at], word[at], np.add.reduceat(n, at)
-    take = pa.array(first)
-    return lang.dictionary.take(lang.indices.take(take)), prefix.dictionary.take(prefix.indices.take(take)), key, part[first][key], words.dictionary.take(pa.array(word)), n
-
-
-def _merged(least: int):
-    """Merges sorted stripes batch by batch; the last stripe of a batch waits for the next. Returns frequent entries."""
+def _merge(least: int):
+    """Adds the equal stripes of a block elementwise; returns the entries that are frequent."""
+
+    def numbers(column: pa.ChunkedArray, kind: str) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+    def run(block: pa.Table) -> pa.Table:
+        prefixes = pc.list_flatten(pc.split_pattern(block.column("prefixes"), "\n")).combine_chunks().dictionary_encode()
+        words = pc.list_flatten(pc.split_pattern(block.column("words"), " ")).combine_chunks().dictionary_encode()
+        prefix = np.repeat(prefixes.indices.to_numpy(), numbers(block.column("sizes"), "<i4")).astype(np.int64)
+        key, n = prefix * len(words.dictionary) + words.indices.to_numpy(), numbers(block.column("counts"), "<i8")
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at = _starts([key])
+        total = np.add.reduceat(n[order], at)
+        keep = total >= least
+        prefix, word = np.divmod(key[at][keep], len(words.dictionary))
+        lang = pa.array([block.column("lang")[0].as_py()] * len(word), pa.string())
+        return pa.table([lang, prefixes.dictionary.take(pa.array(prefix)), words.dictionary.take(pa.array(word)), pa.array(total[keep])], names=["lang", "prefix", "word", "f"])
+
+    return run
+
+
+def _runs(known: Known):
+    """Texts cut down to the runs of three words and more that are joined by frequent pairs, one a line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def out(merged) -> pa.RecordBatch:
-            langs, prefix, key, _, words, n = merged
-            keep = np.flatnonzero(n >= least)
-            key = pa.array(key[keep])
-            columns = [langs.take(key), prefix.take(key), words.take(pa.array(keep)), pa.array(n[keep])]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "word", "f"])
-
-        for batch in (x for whole in batches for x in _slices(whole, 4)):
-            langs, prefix, key, part, words, n = _merge(pa.Table.from_batches([*held, batch]))
-            last = key == key[-1]
-            waiting = _stripe_rows(langs, prefix, key[last], part[last], words.filter(pa.array(last)), n[last])
-            held = [waiting.cast(batch.schema)]
-            done = ~last
-            if done.any():
-                yield out((langs, prefix, key[done], part[done], words.filter(pa.array(done)), n[done]))
-        if held:
-            yield out(_merge(pa.Table.from_batches(held)))
+        for batch in (x for whole in batches for x in _slices(whole)):
+            cut = _Words(batch)
+            n = len(cut.codes)
+            if n < 3:
+                continue
+            joined = np.zeros(n + 1, bool)  # whether a word is joined with the one before, in three words at least
+            joined[1:n] = (cut.piece[:-1] == cut.piece[1:]) & known.frequent(cut.phrases(2))
+            joined[1:n] &= joined[: n - 1] | joined[2:]
+            kept = np.flatnonzero(joined[:-1] | joined[1:])
+            between = pa.array(["\n", " "], pa.large_string()).take(pa.array(joined[kept].astype(np.int8)))
+            tokens = pc.binary_join_element_wise(between, cut.words.take(pa.array(cut.codes[kept])), pa.scalar("", pa.large_string()))
+            text = cut.text[kept]
+            at = _starts([text]) if len(text) else text
+            texts = _joined(np.append(at, len(text)), tokens, "")
+            yield pa.RecordBatch.from_arrays([cut.langs.take(pa.array(cut.lang[kept[at]])), texts], names=["lang", "text"])
 
     return run
 
@@ -329,14 +350,16 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     counted = stage(counted)
     totals = stage(counted.groupBy("lang").agg(F.sum("f").alias("n")))
     levels = [counted.where("word is not null").select("lang", F.lit("").alias("prefix"), "word", "f")]
+    blocks = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // BLOCK
     for level in range(2, longest + 1):
         before = with_phrase(levels[-1])
         if not before.limit(1).count():
             break
-        stripes = texts.mapInArrow(_stripes(level, learn(before, part)), _STRIPES)
-        keys = ["lang", "prefix", "part"]
-        merged = stripes.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merged(least), "lang string, prefix string, word string, f bigint")
-        levels.append(stage(merged))
+        known = learn(before, part)
+        if level == 3:
+            texts = stage(texts.mapInArrow(_runs(known), "lang string, text string"))
+        stripes = texts.mapInArrow(_stripes(level, known, blocks), _STRIPES)
+        levels.append(stage(stripes.groupBy("lang", "block").applyInArrow(_merge(least), _FREQUENT)))
     return levels, totals
 
 
