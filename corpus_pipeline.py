@@ -7,11 +7,18 @@
 4. Mixing: sources meet their target weights, whole passes first, then a fractional one.
 5. Packing: the mix as pieces of sequences of 1024 tokens.
 
-Each stage works on all that its predecessor kept, written as Parquet and read again.
+Each stage works on all that its predecessor kept, written as Parquet and read again. What a stage stages for itself is
+read by its result until that is written; the next stage, which reads the written result, removes it when it begins.
+
+Documents may have null values in any column, texts may be empty, very long or repeated, other columns may have any
+name and are kept by all stages but the last; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +29,7 @@ from quadrille.llm.minhash import one_per_group
 from quadrille.llm.mixing import mixed_documents
 from quadrille.llm.packing import pack_documents
 from quadrille.llm.queries import tokenizer_path
-from quadrille.session import stage
+from quadrille.session import recorded, remove, stage
 
 #: A document whose best language holds a smaller share of its n-grams is no text in a learned language.
 LEAST_SCORE = 0.3
@@ -30,6 +37,32 @@ LEAST_SCORE = 0.3
 NEAR_BANDS = 24
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: The working tables of an application's last stage.
+_working: dict[str, list[str]] = {}
+
+
+def _tidy(step: Stage) -> Stage:
+    """``step``, which first removes the working tables of the stage before it, unless its input still reads one."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        session = docs.sparkSession
+        application = session.sparkContext.applicationId
+        before = _working.pop(application, [])
+        read = docs.inputFiles()
+        still = [p for p in before if any(p.rpartition("/")[2] in file for file in read)]
+        remove(session, [p for p in before if p not in still])
+        with recorded() as paths:
+            result = step(spark, docs, sf_dir)
+        _working[application] = still + paths
+        return result
+
+    return run_step
+
+
+@_tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language. Without any labelled text only those without a letter go."""
     model = fit(docs)
@@ -41,21 +74,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@_tidy
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents without lines that copy an earlier one."""
     return drop_line_copies(docs)
 
 
+@_tidy
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, a similarity of 0.8 or more)."""
     return one_per_group(docs, threshold=80, bands=NEAR_BANDS)
 
 
+@_tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixed_documents(docs)
 
 
+@_tidy
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents of the mix, with their token ids, in sequences."""
     return pack_documents(docs, tokenizer_path(), with_ids=True)
@@ -74,8 +111,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` of a folder."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over the ``documents`` of a folder. A stage's written result is removed once the next one is written."""
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), []
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        found = step(spark, docs, sf_dir)
+        with recorded() as written:
+            docs = stage(found)
+        remove(spark, before)
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)

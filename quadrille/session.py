@@ -82,18 +82,33 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of what is staged inside, for ``remove`` once nothing reads them any more."""
+    paths: list[str] = []
+    _runs.append(paths)
+    try:
+        yield paths
+    finally:
+        _runs.remove(paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = path_of(path)
+        target.getFileSystem(settings).delete(target, True)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what was staged inside. For runs that write their result before they leave; a frame that
     still reads a staged table must not outlive the context."""
     paths: list[str] = []
-    _runs.append(paths)
     try:
-        yield
+        with recorded() as paths:
+            yield
     finally:
-        _runs.remove(paths)
-        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        settings = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            target = path_of(path)
-            target.getFileSystem(settings).delete(target, True)
+        remove(spark, paths)
