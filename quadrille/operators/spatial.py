@@ -14,8 +14,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import KM_PER_DEGREE, degrees_for, distance_km, in_rings, outer_box
+from ..functions.geo import KM_PER_DEGREE, degrees_for, distance_km, outer_box
 from ..session import stage
+from .edges import edge_index, inside
 
 #: References in a leaf, and boxes in a node: the bounds of the arrays that rows carry.
 LEAF_REFS = 256
@@ -246,13 +247,15 @@ def containing_areas(
 
     Every area is laid over the cells of a grid of its own size class (the power of two above its box), so it covers
     four cells at most, whatever the others' sizes; a point looks into one cell per class that occurs. Only areas
-    whose box holds the point are tested exactly. Several hits: smallest code. The box answer considers single
-    polygons only. ``id_columns`` must identify a point.
+    whose box holds the point are tested exactly, edge by edge of the point's slab (``edges``): no ring travels with a
+    point. Several hits: smallest code. The box answer considers single polygons only. ``id_columns`` must identify a
+    point, ``code`` an area.
     """
     ids = list(id_columns)
     # Parsed once; the boxes are then taken from stored rings.
     parsed = stage(areas.select(F.col(code).alias("_code"), F.col(polygons).alias("_p")))
-    shaped = parsed.withColumn("_b", outer_box(F.col("_p"))).where("_p is not null")
+    shaped = parsed.where("_p is not null").select("_code", outer_box(F.col("_p")).alias("_b"), (F.size("_p") == 1).alias("_single"))
+    slabs, edges = edge_index(parsed.where("_p is not null"))
     # Classes of equal cell size, from 2^-40 up to the whole globe: a list of at most some fifty numbers.
     widest = F.greatest(F.expr("_b.x1 - _b.x0"), F.expr("_b.y1 - _b.y0"), F.lit(2.0**-40))
     classed = stage(shaped.withColumn("_class", F.ceil(F.log2(widest)).cast("int")))
@@ -271,10 +274,11 @@ def containing_areas(
     boxed = placed.join(tiles, ["_class", "_ix", "_iy"]).where(
         x.between(F.col("_b.x0"), F.col("_b.x1")) & y.between(F.col("_b.y0"), F.col("_b.y1"))
     )
-    answers = [F.min(F.when(in_rings(x, y, F.col("_p")), F.col("_code"))).alias(out)]
+    tested = inside(boxed, slabs, edges, [*ids, "_code", "_single"])
+    answers = [F.min(F.when(F.col("_inside"), F.col("_code"))).alias(out)]
     if out_box:
-        answers.append(F.min(F.when(F.size("_p") == 1, F.col("_code"))).alias(out_box))
-    return points.join(boxed.groupBy(*ids).agg(*answers), ids, "left")
+        answers.append(F.min(F.when(F.col("_single"), F.col("_code"))).alias(out_box))
+    return points.join(tested.groupBy(*ids).agg(*answers), ids, "left")
 
 
 def assign_area(

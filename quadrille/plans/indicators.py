@@ -24,7 +24,7 @@ from ..operators.scoring import (
     FIVE_AXES, density_rank_score, distance_to_median_score, geometric_index, impute_group_median, impute_median,
     indicator_risk, minmax, rank_score, weighted,
 )
-from ..operators.spatial import count_within, nearest, squared_degrees
+from ..operators.spatial import containing_areas, count_within, nearest, squared_degrees
 from ..session import stage
 
 YEAR, ZONE, CODE = "annee", "arrondissement", "code_insee_quartier"
@@ -220,6 +220,65 @@ def tension(sales: DataFrame, rents: DataFrame) -> DataFrame:
     )
 
 
+LEVELS = ("iris", "quartier", "arrondissement")
+#: Observations that a level must hold for its price or rent to stand for the places within.
+LEAST_OBSERVATIONS = 5
+
+
+def by_levels(rows: DataFrame, codes: Mapping[str, str], value: str) -> DataFrame:
+    """Median, mean and count of ``value`` at all levels from one pass: ``niveau``, ``cle``, ``mediane``, ``moyenne``, ``nb``.
+
+    ``codes`` names the column of each level; a row without a code at a level does not count there."""
+    spots = F.array(*[F.struct(F.lit(level).alias("niveau"), F.col(c).cast("string").alias("cle")) for level, c in codes.items()])
+    long = rows.where(F.col(value).isNotNull()).select(F.explode(spots).alias("_s"), value).select("_s.*", value)
+    return summarize(present(long, "cle"), ["niveau", "cle"], value, "mediane", "moyenne", "nb")
+
+
+def finest(places: DataFrame, levels: DataFrame, codes: Mapping[str, str], out: Mapping[str, str], at: str, least: int) -> DataFrame:
+    """``places`` with the figures (``out``: figure to column) of the finest level that has ``least`` observations, and
+    that level's name; the coarsest level counts however few it has."""
+    held, last = stage(levels), list(codes)[-1]
+    for level, c in codes.items():
+        figures = F.struct(*[F.col(f) for f in out], F.lit(level).alias("niveau")).alias(f"_{level}")
+        own = held.where((F.col("niveau") == level) & ((F.col("nb") >= least) | F.lit(level == last)))
+        places = places.join(own.select(F.col("cle").alias(c), figures), c, "left")
+    best = F.coalesce(*[F.col(f"_{level}") for level in codes])
+    places = places.withColumns({**{name: best[f] for f, name in out.items()}, at: best["niveau"]})
+    return places.drop(*[f"_{level}" for level in codes])
+
+
+def kpi_by_iris(
+    sales: DataFrame, rents: DataFrame, housing: DataFrame, iris: DataFrame, id_columns: tuple[str, ...] = ("id",), least: int = LEAST_OBSERVATIONS
+) -> DataFrame:
+    """One row per statistical zone (``code_iris``, ``polygons``, fine and coarse zone) with the target table's figures.
+
+    A sale belongs to the zone whose polygon holds its point; one that lies in none counts for the fine and coarse zone
+    that it names itself. Prices are those of the zone, or of the finest coarser level with ``least`` sales; rents carry
+    no finer place than the fine zone and start there; social housing is known by coarse zone. ``rentabilite`` is the
+    yearly gross yield in percent, ``tension_immobiliere`` the price over the rent. A zone without a sale has 0
+    transactions, one without any rent or price at any level has null figures.
+    """
+    shapes = stage(iris.select("code_iris", CODE, ZONE, "polygons"))
+    where = shapes.select("code_iris", F.col(CODE).alias("_fine"), F.col(ZONE).alias("_coarse"))
+    placed = containing_areas(sales, shapes, id_columns, code="code_iris", out="code_iris").join(where, "code_iris", "left")
+    placed = stage(placed.select("code_iris", F.coalesce("_fine", CODE).alias(CODE), F.coalesce("_coarse", ZONE).alias(ZONE), "prix_m2"))
+    codes = dict(zip(LEVELS, ("code_iris", CODE, ZONE)))
+    prices = stage(by_levels(placed, codes, "prix_m2"))
+    own = prices.where(F.col("niveau") == LEVELS[0]).select(F.col("cle").alias("code_iris"), F.col("nb").alias("nb_transactions"))
+    out = shapes.select("code_iris", CODE, ZONE).join(own, "code_iris", "left").fillna(0, ["nb_transactions"])
+    out = finest(out, prices, codes, {"moyenne": "prix_m2_moyen", "mediane": "prix_m2_median"}, "niveau_prix", least)
+    coarser = {level: codes[level] for level in LEVELS[1:]}
+    out = finest(out, by_levels(rents, coarser, "loyer_reference"), coarser, {"moyenne": "loyer_moyen"}, "niveau_loyer", least)
+    homes = housing.groupBy(ZONE).agg(F.sum("nb_logements_finances").cast("bigint").alias("nb_logements_sociaux"))
+    out = out.join(homes, ZONE, "left").fillna(0, ["nb_logements_sociaux"])
+    price, rent = F.col("prix_m2_moyen"), F.col("loyer_moyen")
+    return out.select(
+        "code_iris", "prix_m2_moyen", "prix_m2_median", "nb_transactions", "loyer_moyen",
+        F.try_divide(rent * 1200, price).alias("rentabilite"), F.try_divide(price, rent).alias("tension_immobiliere"),
+        "nb_logements_sociaux", "niveau_prix", "niveau_loyer",
+    )
+
+
 # -- social housing -----------------------------------------------------------------
 
 

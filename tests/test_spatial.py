@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quadrille.functions.geo import polygons_of
-from quadrille.operators import spatial
+from quadrille.operators import edges, spatial
+from quadrille.plans import indicators as kpi
 
 
 def km(lat1, lon1, lat2, lon2, k=111.0):
@@ -107,3 +108,70 @@ def test_one_huge_area_among_small_ones(spark):
     assert got == {**{i: "huge" for i in range(40)}, 100: "huge", 101: None}
     alone = {r.id: r.area_code for r in spatial.containing_areas(points, areas.where("code <> 'huge'")).collect()}
     assert alone == {**{i: f"s{i:02d}" for i in range(40)}, 100: None, 101: None}
+
+
+def even_odd(x, y, polygons):
+    def odd(rings):
+        hits = 0
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+                hits += (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay)
+        return hits % 2 == 1
+
+    return any(odd(rings) for rings in polygons)
+
+
+def test_rings_of_many_edges_meet_points_by_slab(spark):
+    def star(n, r0, r1, cx=0.0, cy=0.0):
+        turns = np.linspace(0, 2 * np.pi, n, endpoint=False)
+        r = np.where(np.arange(n) % 2, r0, r1)
+        ring = [[cx + float(a), cy + float(b)] for a, b in zip(r * np.cos(turns), r * np.sin(turns))]
+        return [*ring, ring[0]]
+
+    comb = [[float(i), 0.0 if i % 2 else 5.0] for i in range(400)] + [[400.0, 6.0], [0.0, 6.0], [0.0, 5.0]]
+    shapes = {
+        "star": [[star(20_000, 0.8, 1.0), star(3_000, 0.2, 0.5)]],
+        "two": [[star(501, 0.3, 0.3, 3.0, 0.0)], [star(7, 0.3, 0.4, 4.0, 0.5), star(5, 0.1, 0.1, 4.0, 0.5)]],
+        "comb": [[comb]],
+        "flat": [[[[9.0, 1.0], [9.5, 1.0], [9.0, 1.0]]]],
+        "none": None,
+    }
+    areas = spark.createDataFrame([(k, v) for k, v in shapes.items()], "code string, polygons array<array<array<array<double>>>>")
+    rng = np.random.default_rng(3)
+    places = [(i, float(y), float(x)) for i, (x, y) in enumerate(np.concatenate([rng.uniform(-1.1, 1.1, (400, 2)), rng.uniform(2.5, 4.5, (200, 2)) - [0, 3.2], rng.uniform(0, 6, (300, 2)) * [66, 1]]))]
+    places += [(10_000, 1.0, 9.2), (10_001, None, 0.0)]
+    points = spark.createDataFrame(places, "id int, lat double, lon double")
+    got = {r.id: r.area_code for r in spatial.containing_areas(points, areas).collect()}
+    for i, y, x in places:
+        want = [] if y is None else [k for k, p in shapes.items() if p and even_odd(x, y, p)]
+        assert got[i] == min(want, default=None), (x, y)
+    assert sum(v == "star" for v in got.values()) > 100 and sum(v == "two" for v in got.values()) > 5
+    slabs, laid = edges.edge_index(areas.where("polygons is not null"), "code", "polygons")
+    held = {(r["_code"], r["_slab"]): r["count"] for r in laid.groupBy("_code", "_slab").count().collect()}
+    copies = {k: sum(n for (c, _), n in held.items() if c == k) for k in shapes}
+    assert copies["star"] <= (edges.COPIES + 1) * 23_000 and copies["comb"] <= (edges.COPIES + 1) * 402
+    assert max(n for (c, _), n in held.items() if c == "star") < 23_000 / 4
+    round_ = spark.createDataFrame([("round", [[star(20_000, 1.0, 1.0)]])], areas.schema)
+    assert edges.edge_index(round_, "code", "polygons")[1].groupBy("_slab").count().agg(F.max("count")).first()[0] < 1_000
+
+
+def test_target_table_falls_back_to_coarser_levels(spark):
+    square = [[[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
+    moved = [[[[x + 2.0, y] for x, y in square[0][0]]]]
+    far = [[[[x + 4.0, y] for x, y in square[0][0]]]]
+    iris = spark.createDataFrame(
+        [("i1", "q1", "01", square), ("i2", "q1", "01", moved), ("i3", "q3", "03", far), ("i4", "q4", "04", None)],
+        "code_iris string, code_insee_quartier string, arrondissement string, polygons array<array<array<array<double>>>>",
+    )
+    sales = [(i, 0.5, 0.5, "q9", "09", 100.0 + i) for i in range(6)] + [(10, 0.5, 2.5, "q9", "09", 900.0), (11, 9.0, 9.0, "q1", "01", 300.0), (12, None, None, "q1", "01", 200.0)]
+    sales = spark.createDataFrame(sales, "id int, lat double, lon double, code_insee_quartier string, arrondissement string, prix_m2 double")
+    rents = spark.createDataFrame([("q1", "01", 10.0)] * 2 + [("q2", "01", 40.0)] * 4 + [("q3", "03", None)], "code_insee_quartier string, arrondissement string, loyer_reference double")
+    homes = spark.createDataFrame([("01", 7), ("01", 5)], "arrondissement string, nb_logements_finances int")
+    out = {r.code_iris: r for r in kpi.kpi_by_iris(sales, rents, homes, iris).collect()}
+    assert len(out) == 4
+    a, b, c, d = (out[f"i{n}"] for n in range(1, 5))
+    assert (a.prix_m2_moyen, a.prix_m2_median, a.nb_transactions, a.niveau_prix) == (102.5, 102.5, 6, "iris")
+    assert (b.nb_transactions, b.niveau_prix, b.prix_m2_median) == (1, "quartier", 104.0)
+    assert a.niveau_loyer == "arrondissement" and a.loyer_moyen == 30.0 and a.rentabilite == 30.0 * 1200 / 102.5
+    assert a.nb_logements_sociaux == 12 and c.nb_logements_sociaux == 0
+    assert c.prix_m2_moyen is None and c.nb_transactions == 0 and d.tension_immobiliere is None
