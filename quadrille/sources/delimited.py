@@ -92,17 +92,16 @@ def write_layer(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-    spread: int = 8,
 ) -> None:
     """Write a layer table. Sorting, where wanted, happens here and nowhere before.
 
-    Rows of a partitioned table are dealt by folder and a share of their own hash, so a folder is written by up to
-    ``spread`` tasks however many rows it holds, and gets no more files than that. Every file is in order by itself.
+    Rows of a partitioned table are dealt by folder and then rebalanced by their bytes: a large folder is written by as
+    many tasks, into as many files, as it holds advisory partition sizes; small ones share a task, and one that is dealt
+    to the same partition as a large one is cut along with it. Every file is in order by itself.
     """
     keys = [c for c in sort_by if c in df.columns]
     if partition_by:
-        share = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread))
-        df = df.repartition(*partition_by, share)
+        df = df.hint("rebalance", *partition_by)
     writer = (df.sortWithinPartitions(*partition_by, *[k for k in keys if k not in partition_by]) if keys else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

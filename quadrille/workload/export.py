@@ -11,7 +11,7 @@ from ..functions.numbers import half_even
 from ..session import staging_root
 from ..sources.geojson import feature_text, read_features, to_features, write_features
 from ..sources.publish import publish_manifest, with_lineage
-from .quality import fingerprint_sql
+from .quality import WHOLE, fingerprint_sql, portable
 from .registry import Tables, query
 from .standins import POINTS, QUARTERS, points, quarters, with_sql
 
@@ -25,14 +25,11 @@ def publish_fact_lineage(t: Tables) -> DataFrame:
     return with_lineage(rows, "quartiers.csv", clock=False)
 
 
-MANIFEST = {"customer": ["c_custkey", "c_name", "c_mktsegment"], "events": ["event_id", "user_id", "event_type", "props"]}
-
-
 @query("publish_manifest", " union all ".join(
-    fingerprint_sql(n, c, table_name=n, source=f"{n}.parquet") for n, c in MANIFEST.items()))
+    fingerprint_sql(n, WHOLE[n], table_name=n, source=f"{n}.parquet") for n in ("customer", "events", "orders")))
 def manifest_of_tables(t: Tables) -> DataFrame:
-    out = publish_manifest({n: (getattr(t, n).select(*c), f"{n}.parquet") for n, c in MANIFEST.items()})
-    return out.withColumn("content_sum", F.col("content_sum").cast("string"))
+    tables = {n: (portable(getattr(t, n), WHOLE[n]), f"{n}.parquet") for n in ("customer", "events", "orders")}
+    return publish_manifest(tables).withColumn("content_sum", F.col("content_sum").cast("string"))
 
 
 def placed(t: Tables) -> DataFrame:

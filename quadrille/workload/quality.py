@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,27 +103,44 @@ def regression_diff(t: Tables) -> DataFrame:
     return rounded(quality.regression_diff(before, after, ["annee", "arrondissement"], ["prix_m2"]))
 
 
-def fingerprint_sql(table: str, columns: Sequence[str], **named: str) -> str:
+#: Columns of whole tables, by how their values are written so that any engine writes them alike.
+WHOLE = {
+    "customer": {"c_custkey": "", "c_name": "", "c_nationkey": "", "c_acctbal": "number", "c_mktsegment": ""},
+    "part": {"p_partkey": "", "p_name": "", "p_brand": "", "p_type": "", "p_size": "", "p_retailprice": "number"},
+    "orders": {
+        "o_orderkey": "", "o_custkey": "", "o_orderstatus": "", "o_totalprice": "number", "o_orderdate": "time", "o_orderpriority": "",
+    },
+    "events": {"event_id": "", "ts": "time", "user_id": "", "event_type": "", "value": "number", "props": ""},
+}
+
+
+def portable(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Every column of ``df``: numbers as whole millionths, times as text to the microsecond."""
+    said = {
+        "": lambda c: F.col(c),
+        "number": lambda c: F.floor(F.col(c) * 1e6 + 0.5).cast("bigint"),
+        "time": lambda c: F.date_format(F.col(c).cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+    }
+    return df.select(*[said[kinds.get(c, "")](c).alias(c) for c in df.columns])
+
+
+def fingerprint_sql(table: str, kinds: Mapping[str, str], **named: str) -> str:
     """Row count and content hash of a table's columns, in SQL."""
-    parts = " || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in sorted(columns))
+    said = {"": "{}", "number": "floor({} * 1e6::double + 0.5)::bigint", "time": "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"}
+    texts = [f"({said[kinds[c]].format(c)})::varchar" for c in sorted(kinds)]
+    parts = " || ".join(f"coalesce(length({x}) || ':' || {x}, '-')" for x in texts)
     more = "".join(f"'{v}' as {k}, " for k, v in named.items())
     return f"""select {more}count(*) as rows, sum(n)::varchar as content_sum, bit_xor(n) as content_xor
 from (select ('0x' || substr(md5({parts}), 1, 15))::bigint as n from {table}) x"""
 
 
-FINGERPRINTED = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
-    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size"],
-}
-
-
-@query("table_fingerprint", " union all ".join(fingerprint_sql(n, c, table_name=n) for n, c in FINGERPRINTED.items()))
+@query("table_fingerprint", " union all ".join(fingerprint_sql(n, c, table_name=n) for n, c in WHOLE.items()))
 def table_fingerprint(t: Tables) -> DataFrame:
-    """Row counts and content hashes of two tables."""
+    """Row counts and content hashes of whole tables."""
     lines = [
-        quality.table_fingerprint(getattr(t, name).select(*columns)).select(
+        quality.table_fingerprint(portable(getattr(t, name), kinds)).select(
             F.lit(name).alias("table_name"), "rows", F.col("content_sum").cast("string").alias("content_sum"), "content_xor"
         )
-        for name, columns in FINGERPRINTED.items()
+        for name, kinds in WHOLE.items()
     ]
-    return lines[0].unionByName(lines[1])
+    return reduce(DataFrame.unionByName, lines)

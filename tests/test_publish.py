@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -33,19 +34,24 @@ def test_fingerprint_tells_nulls_and_columns_apart(spark):
     assert of([]) == (0, 0, 0)
 
 
-def test_one_year_is_written_by_several_tasks(spark, tmp_path):
-    df = spark.range(4000).selectExpr("2020 + id % 2 as annee", "id", "lpad(id % 20, 2, '0') as arrondissement")
-    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else so small a table is put together again
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    delimited.write_layer(df, str(tmp_path / "t"), partition_by=["annee"], sort_by=["annee", "arrondissement"])
-    spark.conf.set(key, before)
-    files = [p.parent.name for p in (tmp_path / "t").rglob("part-*.parquet")]
-    assert files.count("annee=2020") > 1 and len(files) <= 16
-    for path in (tmp_path / "t").rglob("part-*.parquet"):
+def test_a_large_folder_is_written_by_as_many_tasks_as_it_needs(spark, tmp_path):
+    year = "case when id % 100 = 0 then 2000 + id % 700 div 100 else 2020 end as annee"
+    df = spark.range(0, 40_000, 1, 32).selectExpr(year, "id", "lpad(id % 20, 2, '0') as arrondissement", "md5(cast(id as string)) as x")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "64k")
+    try:
+        delimited.write_layer(df, str(tmp_path / "t"), partition_by=["annee"], sort_by=["annee", "arrondissement"])
+    finally:
+        spark.conf.unset(key)
+    files = list((tmp_path / "t").rglob("part-*.parquet"))
+    held = Counter(p.parent.name for p in files)
+    # Small folders have a file each, but for those that were dealt to the large one's partition.
+    assert held["annee=2020"] > 8 and sum(n == 1 for n in held.values()) >= 4
+    assert max(p.stat().st_size for p in files) < 400_000
+    for path in files:
         zones = [r[0] for r in spark.read.parquet(str(path)).select("arrondissement").coalesce(1).collect()]
         assert zones == sorted(zones)
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
 
 
 def test_encoding_is_decided_per_line(spark, tmp_path):
