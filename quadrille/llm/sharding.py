@@ -18,8 +18,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
-
 #: A prime well above a hundred times the number of shards keeps their shares within about one percent.
 TABLE_SIZE = 65_537
 #: The table is a broadcast constant: four bytes a slot, so 4 MB at most.
@@ -86,8 +84,8 @@ def assign_shards(
     return placed.withColumn(shard, F.get(names, F.get(lookup, F.col(slot).cast("int"))))
 
 
-def write_shards(placed: DataFrame, path: str, shard: str = "shard", files: int = 8) -> None:
-    """One folder per shard. Rows are dealt by (shard, random part), so a shard with many rows is written by ``files`` tasks."""
-    part = fresh(placed, "__part")
-    spread = placed.withColumn(part, F.pmod(F.monotonically_increasing_id(), F.lit(files)))
-    spread.repartition(shard, part).drop(part).write.partitionBy(shard).parquet(path)
+def write_shards(placed: DataFrame, path: str, shard: str = "shard") -> None:
+    """One folder per shard. Rows are dealt by shard and rebalanced by their bytes, so a large shard is written by as many
+    tasks, into as many files, as it holds advisory partition sizes; small ones share a task. Null shard names go to
+    Spark's folder for nulls, repeated rows are written each, an empty table leaves an empty folder."""
+    placed.hint("rebalance", shard).write.partitionBy(shard).parquet(path)

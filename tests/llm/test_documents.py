@@ -1,6 +1,7 @@
 """URL filters, exact dedup, packing, sharding, secrets."""
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -209,16 +210,22 @@ def test_rows_find_their_shards(spark, make_docs, corpus):
 
 
 def test_written_shards(spark, make_docs, corpus, tmp_path):
-    placed = sharding.assign_shards(make_docs(corpus), ["source"], ["a", "b"], 101)
-    key = "spark.sql.adaptive.coalescePartitions.enabled"  # else so small a shard is put together again
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    sharding.write_shards(placed, str(tmp_path / "out"))
-    spark.conf.set(key, before)
+    rng = random.Random(2)
+    rows = corpus + [(10_000 + i, "".join(rng.choices("abcdefghijklmnop qrstuvwxyz", k=1500)), "aa", "hot") for i in range(1000)] + [(None, None, None, None)] * 3
+    placed = sharding.assign_shards(make_docs(rows, parts=32), ["source"], [f"s{i}" for i in range(9)], 101)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "32k")
+    try:
+        sharding.write_shards(placed, str(tmp_path / "out"))
+        sharding.write_shards(placed.limit(0), str(tmp_path / "none"))
+    finally:
+        spark.conf.unset(key)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert Counter(r["shard"] for r in back.collect()) == Counter(r["shard"] for r in placed.collect())
-    files = [p.parent.name for p in (tmp_path / "out").rglob("part-*")]
-    assert max(Counter(files).values()) > 1
+    hot = placed.where("source = 'hot'").first()["shard"]
+    files = Counter(p.parent.name for p in (tmp_path / "out").rglob("part-*"))
+    assert files[f"shard={hot}"] > 8 and sum(n == 1 for n in files.values()) >= 2
+    assert not list((tmp_path / "none").rglob("shard=*"))
 
 
 KINDS = {
