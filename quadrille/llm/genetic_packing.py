@@ -54,7 +54,7 @@ def lower_bound(sizes: np.ndarray, window: int = WINDOW) -> int:
     half = window // 2
     best = -(-int(total.sum()) // window)
     for k in range(1, half + 1):
-        alone = int(count_up[window - k + 1]) if k else 0
+        alone = int(count_up[window - k + 1])
         large, large_sum = int(count_up[half + 1]) - alone, int(sum_up[half + 1] - sum_up[window - k + 1])
         small = int(sum_up[k] - sum_up[half + 1])
         best = max(best, alone + large + max(0, -(-(small - (large * window - large_sum)) // window)))
