@@ -4,9 +4,10 @@ A source's target is met by complete epochs first: as many whole passes as fit.
 every document draws an exponential key scaled by its quality weight, documents are taken in the order of their
 keys, and a running sum of sizes stops at the budget.
 
-No source is sorted whole. Keys are counted in ranges, combined on the map side; the range that holds the budget's
-end is found from the ranges' sums, counted in finer ranges, and only the rows of the last, finest range (about a
-millionth of a source) are put in order.
+No source is sorted whole. Keys are counted in even ranges between a source's own ends, combined on the map side; the
+range that holds the budget's end is found from the ranges' sums and counted again between its own ends, until it holds
+few rows. Only those are put in order. Rows of one key (repeated rows) are cut by their number in the same way, so the
+last range is small however the keys are spread.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 TOTAL_SHARE = 1.5
 MOST_EPOCHS = 2.0
 RANGES = 1024
-LEVELS = 2
+IN_ORDER = 4096
 
 
 def words_in(text: Column) -> Column:
@@ -68,6 +69,43 @@ def source_targets(
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def budget_ends(rows: DataFrame, plan: DataFrame, ranges: int = RANGES, in_order: int = IN_ORDER) -> DataFrame:
+    """``plan`` with the range of each source that holds the end of its ``budget``: keys from ``low`` to ``high``, rows
+    numbered from ``first`` to ``last``, and ``before``, the size ahead of them.
+
+    Runs one pass over ``rows`` (source, size, key, __row) per level, for the sources alone whose range still holds more
+    than ``in_order`` rows. Every level parts the least key of a range from its greatest, or the first row of one key
+    from its last, so the passes end; two or three serve a thousand million rows a source.
+    """
+    held = rows.groupBy(F.col("source").alias("s")).agg(
+        F.min("key").alias("low"), F.max("key").alias("high"),
+        F.min("__row").alias("first"), F.max("__row").alias("last"), F.count(F.lit(1)).alias("held"),
+    )
+    same = F.col("s").eqNullSafe(F.col("source"))
+    end = stage(plan.join(held, same).drop("s").withColumn("before", F.lit(0).cast("bigint")))
+    found_at = ["low", "high", "first", "last", "held", "before"]
+    full = F.col("held") > in_order
+    while not end.where(full).isEmpty():
+        ends = end.where(full).select(F.col("source").alias("s"), "budget", "low", "high", "first", "last", "before")
+        inside = rows.join(ends, same).where(F.col("key").between(F.col("low"), F.col("high")) & F.col("__row").between(F.col("first"), F.col("last")))
+        by_key = (F.col("key") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+        by_row = (F.col("__row") - F.col("first")) / F.nullif((F.col("last") - F.col("first")).cast("double"), F.lit(0.0))
+        at = F.least(F.floor(F.coalesce(by_key, by_row) * F.lit(float(ranges))), F.lit(ranges - 1))
+        summed = inside.groupBy("s", at.cast("bigint").alias("at")).agg(
+            F.sum("size").alias("size"), F.max("before").alias("start"), F.max("budget").alias("budget"),
+            F.min("key").alias("low"), F.max("key").alias("high"),
+            F.min("__row").alias("first"), F.max("__row").alias("last"), F.count(F.lit(1)).alias("held"),
+        )
+        run = Window.partitionBy("s").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+        summed = summed.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(run), F.lit(0)))
+        # The last range that starts within the budget; the first one always does.
+        opened = F.when(F.col("before") <= F.col("budget"), F.struct("at", *found_at))
+        found = summed.groupBy("s").agg(F.max(opened).alias("e")).withColumn("new", F.lit(True))
+        kept = [F.when(F.col("new"), F.col(f"e.{c}")).otherwise(F.col(c)).alias(c) for c in found_at]
+        end = stage(end.join(found, same, "left").select(*plan.columns, *kept))
+    return end
+
+
 def mix_documents(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -76,7 +114,7 @@ def mix_documents(
     quality: Column | None = None,
     seed: int = 17,
     ranges: int = RANGES,
-    levels: int = LEVELS,
+    in_order: int = IN_ORDER,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``epochs`` (whole passes of
@@ -86,52 +124,29 @@ def mix_documents(
     ``quality`` is a column expression over ``docs`` (positive; null counts as 0.05). A null text has size 0 and is
     never taken; a null source is a source of its own, the last. The document at the budget's end is taken if that
     brings its source nearer to the target. Documents with equal keys (repeated rows) follow each other in the order
-    of id and row. Sources of size 0 have target 0. An empty table gives no rows.
+    of their rows. Sources of size 0 have target 0. An empty table gives no rows. ``ranges`` and ``in_order`` say how
+    the budget's end is looked for and change no result.
     """
     text = F.col("text").cast("string")
     u = uniform(F.col("doc_id"), text, seed)
     key = -F.log(u) / F.coalesce(quality if quality is not None else quality_of(text), F.lit(0.05))
     source = F.col("source").cast("string").alias("source")
     rows = docs.select("doc_id", source, words_in(text).alias("size"), key.alias("key"), *carry)
-    # Keys as numbers from 0 to 1 in the same order: a range of them is a range of keys.
-    place = F.floor((1 - F.exp(-F.col("key"))) * float(ranges**levels)).cast("bigint")
-    rows = stage(rows.withColumns({"place": F.least(place, F.lit(ranges**levels - 1)), "__row": F.monotonically_increasing_id()}))
+    rows = stage(rows.withColumn("__row", F.monotonically_increasing_id()))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(sizes, weights, total_share, most)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("bigint")
     plan = plan.withColumn("epochs", whole).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # Per source the end of the budget: a range at each level, and the size before it.
-    end = stage(plan.withColumns({"range": F.lit(0).cast("bigint"), "before": F.lit(0).cast("bigint")}))
-    same = F.col("s").eqNullSafe(F.col("source"))
-    for level in range(1, levels + 1):
-        width = ranges ** (levels - level)
-        ends = end.select(F.col("source").alias("s"), "range", "before", "budget")
-        inside = rows.join(ends, same).where(F.floor(F.col("place") / (width * ranges)) == F.col("range"))
-        summed = inside.groupBy("s", F.floor(F.col("place") / width).cast("bigint").alias("at")).agg(
-            F.sum("size").alias("size"), F.max("before").alias("before"), F.max("budget").alias("budget")
-        )
-        run = Window.partitionBy("s").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-        summed = summed.withColumn("upto", F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0)))
-        # The last range that starts below the budget, or the first one.
-        found = summed.groupBy("s").agg(
-            F.max(F.when(F.col("upto") <= F.col("budget"), F.struct("at", "upto"))).alias("e")
-        )
-        found = found.select("s", F.col("e.at").alias("at"), F.col("e.upto").alias("upto"))
-        end = stage(
-            end.drop("range", "before").join(found, same, "left").select(
-                "source", "source_size", "target", "epochs", "budget",
-                F.coalesce("at", F.lit(0)).alias("range"), F.coalesce("upto", F.lit(0)).alias("before"),
-            )
-        )
-    ends = end.withColumnRenamed("source", "s")
-    rows = rows.join(ends, same).drop("s")
-    inside = rows.where(F.col("place") == F.col("range"))
-    outside = rows.where(F.col("place") != F.col("range"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "__row").rowsBetween(Window.unboundedPreceding, 0)
+    ends = budget_ends(rows, plan, ranges, in_order).withColumnRenamed("source", "s").drop("held")
+    rows = rows.join(ends, F.col("s").eqNullSafe(F.col("source"))).drop("s")
+    # A range is of many keys, or of some rows of one key.
+    earlier = (F.col("key") < F.col("low")) | ((F.col("key") == F.col("low")) & (F.col("low") == F.col("high")) & (F.col("__row") < F.col("first")))
+    within = F.col("key").between(F.col("low"), F.col("high")) & F.col("__row").between(F.col("first"), F.col("last"))
+    inside, outside = rows.where(within), rows.where(~within)
+    order = Window.partitionBy("source").orderBy("key", "__row").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("size").over(order)
     inside = inside.withColumn("extra", upto - F.col("size") / 2 <= F.col("budget"))
-    outside = outside.withColumn("extra", F.col("place") < F.col("range"))
-    out = inside.unionByName(outside).withColumn("extra", F.col("extra") & (F.col("size") > 0))
+    out = inside.unionByName(outside.withColumn("extra", earlier)).withColumn("extra", F.col("extra") & (F.col("size") > 0))
     taken = (F.col("epochs") + F.col("extra").cast("bigint")) * F.col("size")
     return out.select("doc_id", "source", "size", "source_size", "target", "epochs", "extra", taken.alias("taken"), *carry)
 

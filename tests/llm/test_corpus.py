@@ -114,9 +114,9 @@ def mix_rows(rng):
 def test_mix_meets_targets_like_a_sorted_prefix(make_docs):
     rows = mix_rows(random.Random(2))
     docs = make_docs(rows, extra=True)
-    found = mixing.mix_documents(docs, ranges=8, levels=2).collect()
+    found = mixing.mix_documents(docs, ranges=8, in_order=3).collect()
     assert len(found) == len(rows)
-    again = mixing.mix_documents(docs.repartition(7), ranges=64, levels=1).collect()
+    again = mixing.mix_documents(docs.repartition(7), in_order=10_000).collect()
     plain = lambda rs: Counter((r["doc_id"], r["source"], r["size"], r["target"], r["taken"]) for r in rs)
     assert plain(found) == plain(again)
     sizes, taken = Counter(), Counter()
@@ -141,6 +141,22 @@ def test_quality_scales_the_draw(make_docs):
     assert took[1] > 2.5 * took[0]
 
 
+def test_no_source_leaves_many_rows_to_one_task(spark):
+    """Sources of poor documents alone, of one repeated row, of a few keys far apart, and of one row."""
+    rows = [("poor", 3, -math.log(u) / 0.001) for u in [(i + 0.5) / 3000 for i in range(3000)]]
+    rows += [("same", 2, 5.0)] * 3000 + [("apart", 1, 10.0 ** (i % 300 - 150)) for i in range(3000)] + [(None, 7, 1.0), ("empty", 0, 1.0)]
+    table = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "source string, size bigint, key double, __row bigint")
+    budgets = {"poor": 4000.0, "same": 3001.0, "apart": 1500.0, None: 3.0, "empty": 0.0}
+    plan = spark.createDataFrame(list(budgets.items()), "source string, budget double")
+    for end in mixing.budget_ends(table, plan, ranges=16, in_order=20).collect():
+        ordered = sorted((k, i, n) for i, (s, n, k) in enumerate(rows) if s == end["source"])
+        ahead = [r for r in ordered if (r[0], r[1]) < (end["low"], end["first"])] if end["low"] == end["high"] else [r for r in ordered if r[0] < end["low"]]
+        inside = [r for r in ordered if end["low"] <= r[0] <= end["high"] and end["first"] <= r[1] <= end["last"]]
+        assert len(inside) == end["held"] <= 20 and ordered[len(ahead) : len(ahead) + len(inside)] == inside
+        size = sum(r[2] for r in ahead)
+        assert size == end["before"] <= budgets[end["source"]] < size + sum(r[2] for r in inside) + (not inside[-1][2])
+
+
 def test_the_mix_repeats_whole_rows(make_docs):
     rows = mix_rows(random.Random(3))
     docs = make_docs(rows, extra=True)
