@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import non_blank, text_key
 from ..functions.zones import MISSING_TEXT, is_zone
+from ..session import stage
 from .columns import text_columns
 from .distribution import quantiles
 
@@ -62,18 +63,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def trim_quantiles(df: DataFrame, value: str, source: str | None = None, low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Keep rows between two exact quantiles, bounds included, of the table or per source.
 
-    A job knows its sources, so their bounds travel as one small map in a scalar subquery:
-    the rows are filtered where they are, without a join.
+    Bounds per source are a written table of a row each, joined by source: few sources are broadcast by their true size
+    and the rows are filtered where they are, many are shuffled. Rows without a source go.
     """
     cut = quantiles(df, [source] if source else [], value, {"_low": low, "_high": high})
-    bounds = F.struct("_low", "_high")
     if source:
-        entries = F.collect_list(F.struct(F.col(source), bounds))
-        mine = F.try_element_at(F.col("_cuts"), F.col(source))
-        wide = df.withColumn("_cuts", cut.agg(F.map_from_entries(entries)).scalar()).withColumn("_cut", mine)
-    else:
-        wide = df.withColumn("_cuts", F.lit(0)).withColumn("_cut", cut.select(bounds).scalar())
-    return wide.where(F.col(value).between(F.col("_cut._low"), F.col("_cut._high"))).drop("_cut", "_cuts")
+        wide = df.join(stage(cut), source).select(*[F.col(f"`{c}`") for c in df.columns], "_low", "_high")
+        return wide.where(F.col(value).between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
+    wide = df.withColumn("_cut", cut.select(F.struct("_low", "_high")).scalar())
+    return wide.where(F.col(value).between(F.col("_cut._low"), F.col("_cut._high"))).drop("_cut")
 
 
 def funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
