@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.quality import blocking_findings
 from ..session import stage, staging
+from ..sources.catalog import publish_table
 from ..sources.delimited import exists, first_path, read_delimited, read_layer, write_layer
 from ..sources.geojson import LAYERS, to_features, write_features
 from ..sources.publish import CONTRACT_KEYS, contract_columns, publish_fact, publish_manifest
@@ -141,22 +142,29 @@ def published_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def run_indicators(spark: SparkSession, layer: str, target: str, raw: str | None = None) -> dict[str, str]:
+def run_indicators(spark: SparkSession, layer: str, target: str, raw: str | None = None, catalog: bool = False) -> dict[str, str]:
     """Publish every indicator and a manifest; any failure stops the run. ``raw``: where to find what the layer lacks.
+    ``catalog`` publishes them as catalog tables in buckets by their code, under the same paths.
 
     Each table is computed once, audited and then written: absent contract columns, ill-formed zones or years and
     repeated keys raise before anything of it is published.
     """
-    written = {}
+    written, lines = {}, {}
     with staging(spark):
         for name, df in published_tables(_tables(spark, layer, raw)).items():
             ready = stage(df)
             found = blocking_findings(ready, contract_columns(name), CONTRACT_KEYS.get(name, []))
             if found:
                 raise ValueError(f"{name} is not published: {'; '.join(found)}")
-            written[name] = publish_fact(ready, name, f"{name}.parquet", target)
+            key = next((c for c in ("code_insee_quartier", "arrondissement") if c in ready.columns), None)
+            if catalog and key:
+                # An empty table has no file to tell its columns by; the catalog knows them.
+                written[name], back = f"{target.rstrip('/')}/{name}", publish_table(ready, name, f"{name}.parquet", target, bucket_by=key)
+            else:
+                written[name] = publish_fact(ready, name, f"{name}.parquet", target)
+                back = spark.read.parquet(written[name])
+            lines[name] = back.drop("loaded_at"), written[name]
     if written:
-        lines = {n: (spark.read.parquet(p).drop("loaded_at"), p) for n, p in written.items()}
         publish_manifest(lines).write.mode("overwrite").json(f"{target.rstrip('/')}/manifest")
     return written
 

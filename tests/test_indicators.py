@@ -221,6 +221,15 @@ def test_runs_from_layer_to_published_tables(spark, tmp_path, sales, rents, quar
     assert dict(fact.dtypes)["prix_m2_median"] == "decimal(20,6)" and {"source_file", "loaded_at"} <= set(fact.columns)
     manifest = {r.table_name: r.rows for r in spark.read.json(f"{target}/manifest").collect()}
     assert manifest["fact_kpi_prix_m2_quartier_annuel"] == 5
+    tables = run_indicators(spark, layer, str(tmp_path / "catalog"), catalog=True)
+    try:
+        assert sorted(tables) == sorted(done)
+        for name, path in done.items():
+            assert spark.table(name).drop("loaded_at").exceptAll(spark.read.schema(spark.table(name).schema).parquet(path).drop("loaded_at")).isEmpty()
+        assert [c.name for c in spark.catalog.listColumns("fact_kpi_loyers_quartier") if c.isBucket] == ["code_insee_quartier"]
+    finally:
+        for name in tables:
+            spark.sql(f"drop table if exists {name}")
     written = run_exports(spark, layer, exports)
     assert sorted(written) == ["cameras", "commissariats", "iris", "iris_to_quartier", "quartiers"]
     points = {r.properties: r.geometry for r in read_features(spark, written["cameras"]).collect()}
