@@ -2,9 +2,10 @@
 
 Nearest references are found by one search tree for every size. References, in the order of a curve that keeps
 neighbours together, are cut into leaves of some hundred; leaves and then nodes are grouped under nodes with tight
-boxes until a group of references has one small list of nodes. A place walks down that tree: in its own row it drops
-the boxes that are farther away than the nearest reference of another box can be, and only what is left is joined
-with the next level. Two levels serve some ten thousand references of a group, three a million.
+boxes until a group of references has one small list of nodes. A place walks down that tree twice. First it follows one
+box per level, where its own place on the curve falls, and takes the nearest reference of the leaf where it ends as its
+bound. Then it follows every box that is no farther away than this bound: all its rows share it, so few are left on every
+level, however many levels there are. Two levels serve some ten thousand references of a group, three a million.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from .edges import edge_index, inside
 LEAF_REFS = 256
 NODE_BOXES = 64
 CURVE_BITS = 16
+#: Places that a task searches at once. They are few bytes for much work, so tasks are counted by rows.
+TASK_PLACES = 8_192
 
 Metric = Callable[[Column, Column, Column, Column], Column]
 
@@ -65,37 +68,53 @@ def nearest(
     at = [F.col(ref_lat).cast("double").alias("_rlat"), F.col(ref_lon).cast("double").alias("_rlon")]
     # One reference per exact position, the smallest code, so equal positions never pile up.
     spots = known.select(*named, *at, F.col(code).alias("_code")).groupBy(*groups, "_rlat", "_rlon").agg(F.min("_code").alias("_code"))
-    leaves, uppers, roots = _search_tree(stage(spots), groups, leaf_refs, node_boxes)
+    spots = stage(spots)
+    leaves, uppers, roots = _search_tree(spots, groups, leaf_refs, node_boxes)
 
     q_lat, q_lon = F.col("_qlat"), F.col("_qlon")
     own = [F.col(k).alias(g) for k, g in zip(by, groups)] or [F.lit(0).alias("_g0")]
     place = [*own, F.col(lat).cast("double").alias("_qlat"), F.col(lon).cast("double").alias("_qlon")]
-    places = points.where(_located(points, lat, lon)).select(*place).distinct()
+    at = [*groups, "_qlat", "_qlon"]
+    places = stage(points.where(_located(points, lat, lon)).select(*place).distinct())
+    tasks = max(1, -(-places.count() // TASK_PLACES))
+
+    # Box corners are real coordinates, so both ends hold for the metric. Boxes and references are exploded before they are
+    # measured: arithmetic on rows is compiled, arithmetic inside arrays is not.
+    box, ref = F.col("_box"), F.col("_ref")
+    near = (F.least(F.greatest(q_lat, box["s"]), box["n"]), F.least(F.greatest(q_lon, box["w"]), box["e"]))
+    far = (
+        F.when(F.abs(box["s"] - q_lat) > F.abs(box["n"] - q_lat), box["s"]).otherwise(box["n"]),
+        F.when(F.abs(box["w"] - q_lon) > F.abs(box["e"] - q_lon), box["w"]).otherwise(box["e"]),
+    )
+
+    def boxes(met: DataFrame, *more: str) -> DataFrame:
+        return met.select(*at, *more, "_ub", F.explode("_boxes").alias("_box"))
 
-    def prune(met: DataFrame) -> DataFrame:
-        """Boxes that may still hold the nearest reference. Box corners are real coordinates, so both bounds hold for the metric."""
+    def measured(met: DataFrame) -> DataFrame:
+        return met.select(*at, "_ub", F.explode("_refs").alias("_ref")).withColumn("_d", metric(q_lat, q_lon, ref["lat"], ref["lon"]))
 
-        def ends(box: Column) -> Column:
-            near = (F.least(F.greatest(q_lat, box["s"]), box["n"]), F.least(F.greatest(q_lon, box["w"]), box["e"]))
-            far = (
-                F.when(F.abs(box["s"] - q_lat) > F.abs(box["n"] - q_lat), box["s"]).otherwise(box["n"]),
-                F.when(F.abs(box["w"] - q_lon) > F.abs(box["e"] - q_lon), box["w"]).otherwise(box["e"]),
-            )
-            return F.struct(metric(q_lat, q_lon, *near).alias("lo"), metric(q_lat, q_lon, *far).alias("hi"), box["node"].alias("node"))
+    def best_box(met: DataFrame) -> DataFrame:
+        """The last box that begins at the place's position on the curve or before it, else the first one."""
+        ends = boxes(met, "_qz").withColumn("_hi", metric(q_lat, q_lon, *far))
+        order = F.when(box["z"] <= F.col("_qz"), box["z"]).otherwise(-1 - box["z"])
+        found = ends.groupBy(*at, "_qz").agg(F.min("_ub").alias("_was"), F.min("_hi").alias("_hi"), F.max_by(box["node"], order).alias("_node"))
+        return found.select(*at, "_qz", F.least("_was", "_hi").alias("_ub"), "_node")
 
-        seen = met.withColumn("_b", F.transform("_boxes", ends))
-        seen = seen.withColumn("_ub", F.least("_ub", F.array_min(F.transform("_b", lambda b: b["hi"]))))
-        open_ = F.filter("_b", lambda b: b["lo"] <= F.col("_ub"))
-        return seen.withColumn("_b", F.explode(open_)).select(*groups, "_qlat", "_qlon", "_ub", F.col("_b.node").alias("_node"))
+    def open_boxes(met: DataFrame) -> DataFrame:
+        lo = metric(q_lat, q_lon, *near)
+        return boxes(met).where(lo <= F.col("_ub")).select(*at, "_ub", box["node"].alias("_node"))
 
-    frontier = prune(places.join(roots, groups).withColumn("_ub", F.lit(None).cast("double")))
+    start = _on_curve(places, spots, "_qlat", "_qlon", "_qz").withColumn("_ub", F.lit(None).cast("double"))
+    one = best_box(start.repartition(tasks, *at).join(roots, groups))
     for level in uppers:
-        frontier = prune(frontier.join(level, "_node"))
-    scored = F.transform(
-        "_refs", lambda r: F.struct(metric(q_lat, q_lon, r["lat"], r["lon"]).alias("d"), r["code"].alias("code"))
-    )
-    final = frontier.join(leaves, "_node").withColumn("_best", F.array_min(scored))
-    best = final.groupBy(*groups, "_qlat", "_qlon").agg(F.min("_best").alias("_best"))
+        one = best_box(one.join(level, "_node"))
+    bound = measured(one.join(leaves, "_node")).groupBy(*at).agg(F.least(F.min("_ub"), F.min("_d")).alias("_ub"))
+    bound = stage(bound).repartition(tasks, *at)
+    frontier = open_boxes(bound.join(roots, groups))
+    for level in uppers:
+        frontier = open_boxes(frontier.join(level, "_node"))
+    final = measured(frontier.join(leaves, "_node")).where(F.col("_d") <= F.col("_ub"))
+    best = final.groupBy(*at).agg(F.min(F.struct(F.col("_d").alias("d"), ref["code"].alias("code"))).alias("_best"))
     same = F.col(lat).cast("double").eqNullSafe(q_lat) & F.col(lon).cast("double").eqNullSafe(q_lon)
     for key, g in zip(by, groups):
         same = same & (F.col(f"_point.{key}") == F.col(f"_found.{g}"))
@@ -103,8 +122,8 @@ def nearest(
     return found.select("_point.*", F.col("_best.code").alias(out_code), F.col("_best.d").alias(out_distance))
 
 
-def _search_tree(spots: DataFrame, groups: list[str], leaf_refs: int, node_boxes: int):
-    """Leaves (``_node``, ``_refs``), the levels above from the top down (``_node``, ``_boxes``), and a list per group."""
+def _on_curve(rows: DataFrame, spots: DataFrame, lat: str, lon: str, out: str) -> DataFrame:
+    """Add a position's place on the curve through the frame of all references; what lies outside goes to its rim."""
     frame = spots.agg(
         F.struct(
             F.min("_rlat").alias("s"), F.min("_rlon").alias("w"),
@@ -116,10 +135,18 @@ def _search_tree(spots: DataFrame, groups: list[str], leaf_refs: int, node_boxes
     for i in range(CURVE_BITS):
         for place, name in enumerate(("_x", "_y")):
             curve = curve + F.shiftleft(F.shiftright(name, i).bitwiseAND(F.lit(1).cast("bigint")), 2 * i + place)
-    placed = spots.withColumn("_f", frame).withColumns(
-        {n: F.floor((F.col(v) - F.col(f"_f.{o}")) / F.col("_f.span") * cells).cast("bigint") for n, v, o in (("_x", "_rlon", "w"), ("_y", "_rlat", "s"))}
-    )
-    rows = placed.withColumn("_z", curve).select(
+
+    def cell(value: str, origin: str) -> Column:
+        at = F.floor((F.col(value) - F.col(f"_f.{origin}")) / F.col("_f.span") * cells).cast("bigint")
+        return F.least(F.greatest(at, F.lit(0)), F.lit(cells)).cast("bigint")
+
+    placed = rows.withColumn("_f", frame).withColumns({"_x": cell(lon, "w"), "_y": cell(lat, "s")})
+    return placed.withColumn(out, curve).drop("_f", "_x", "_y")
+
+
+def _search_tree(spots: DataFrame, groups: list[str], leaf_refs: int, node_boxes: int):
+    """Leaves (``_node``, ``_refs``), the levels above from the top down (``_node``, ``_boxes``), and a list per group."""
+    rows = _on_curve(spots, spots, "_rlat", "_rlon", "_z").select(
         *groups, "_z", F.col("_rlat").alias("s"), F.col("_rlat").alias("n"), F.col("_rlon").alias("w"), F.col("_rlon").alias("e"),
         F.struct(F.col("_rlat").alias("lat"), F.col("_rlon").alias("lon"), F.col("_code").alias("code")).alias("_item"),
     )
@@ -134,7 +161,7 @@ def _search_tree(spots: DataFrame, groups: list[str], leaf_refs: int, node_boxes
         level = runs.groupBy(*groups, "_p", "_run").agg(F.min("_z").alias("_z"), *box, F.collect_list("_item").alias(items))
         level = stage(level.drop("_p", "_run").withColumn("_node", F.monotonically_increasing_id()))
         made.append(level.select("_node", items))
-        nodes = level.select(*groups, "_z", "s", "n", "w", "e", F.struct("s", "n", "w", "e", F.col("_node").alias("node")).alias("_item"))
+        nodes = level.select(*groups, "_z", "s", "n", "w", "e", F.struct("s", "n", "w", "e", F.col("_z").alias("z"), F.col("_node").alias("node")).alias("_item"))
         most = nodes.groupBy(*groups).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
         above = nodes.count()
         if most <= node_boxes or above == count:

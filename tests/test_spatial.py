@@ -47,6 +47,37 @@ def test_nearest_matches_brute_force(clouds, tree, by):
         assert out.loc[row.id].nearest_code == best[1]
 
 
+def most_rows(df):
+    """The largest number of rows that any operator of the run plan made."""
+    df.collect()
+
+    def walk(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return walk(plan.plan())
+        made, below = plan.metrics().get("numOutputRows"), plan.children()
+        return max([made.get().value() if made.isDefined() else 0, *[walk(below.apply(i)) for i in range(below.size())]])
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+@pytest.mark.parametrize("tree", [(4, 3), (8, 8)])
+def test_rows_of_a_place_share_their_bound(spark, tree):
+    """What a place follows does not multiply from level to level."""
+    rng = np.random.default_rng(8)
+    cloud = rng.normal([48.85, 2.35], 0.01, (3_000, 2)).round(6)
+    refs = pd.DataFrame(cloud, columns=["lat", "lon"]).assign(code=range(3_000))
+    pts = pd.DataFrame(rng.normal([48.85, 2.35], 0.01, (800, 2)).round(6), columns=["lat", "lon"]).assign(id=range(800))
+    out = spatial.nearest(spark.createDataFrame(pts), spark.createDataFrame(refs), leaf_refs=tree[0], node_boxes=tree[1])
+    assert most_rows(out) <= 60 * len(pts)
+    got = {r.id: r.nearest_code for r in out.collect()}
+    for row in pts.itertuples():
+        d = km(row.lat, row.lon, refs.lat.to_numpy(), refs.lon.to_numpy())
+        assert got[row.id] == min(zip(d, refs.code))[1]
+
+
 def test_nearest_by_squared_degrees(clouds):
     pts, refs, p, r = clouds
     for leaf in (spatial.LEAF_REFS, 7):
