@@ -208,14 +208,16 @@ def line_classes(
     lines = _lines(docs, ["doc_id", "__row"])
     ids = [F.xxhash64(F.lit(1), "line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2")]
     long_ = lines.where(F.col("length") >= least_chars).select(*ids, "line", "length")
-    keyed = segment_keys(long_, threshold + 1, threshold).select("bucket", "h1", "h2", "line")
+    # Cut once and written as two numbers a key; what meets nothing is dropped before any text is looked at again.
+    keyed = stage(segment_keys(long_, threshold + 1, threshold).select("bucket", "h1"))
     shared = keyed.groupBy("bucket").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi")
+    met = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]).distinct())
     # The lines that meet others, with their texts; a node is a distinct line.
-    hits = stage(joined_small(keyed, stage(shared.select("bucket")), ["bucket"]))
+    hits = joined_small(long_.select("h1", "h2", "line"), stage(met.select("h1").distinct()), ["h1"])
     nodes = number_rows(hits.groupBy("h1", "h2").agg(F.min("line").alias("line")), "node")
-    sized = nodes.select("h1", "h2", "node", letter_counts(F.col("line")).alias("size"))
+    sized = nodes.select("h1", "node", letter_counts(F.col("line")).alias("size"))
     able = sized.join(_supported(nodes, threshold), "node", "left_semi")
-    placed = stage(hits.select("bucket", "h1", "h2").distinct().join(able, ["h1", "h2"]).select("bucket", "node", "size"))
+    placed = stage(met.join(able, "h1").select("bucket", "node", "size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         near = pairs.join(nodes.select(F.col("node").alias("a"), F.col("line").alias("xa")), "a")

@@ -99,6 +99,20 @@ def test_dropping_lines_keeps_documents_and_columns(make_docs, corpus):
     assert copies and all(text[i] == before[i] for i in copies)
 
 
+def test_lines_are_cut_into_segments_once(make_docs, corpus, monkeypatch):
+    """What looks for shared segments is a written table of numbers, without the lines."""
+    met, whole = [], line_dedup.joined_small
+
+    def spy(df, small, on, *rest):
+        if on == ["bucket"]:
+            met.append((df.columns, bool(df.inputFiles())))
+        return whole(df, small, on, *rest)
+
+    monkeypatch.setattr(line_dedup, "joined_small", spy)
+    assert line_dedup.find_line_copies(make_docs(corpus)).count() > 0
+    assert met == [(["bucket", "h1"], True)]
+
+
 def test_lines_of_an_empty_table(make_docs):
     assert line_dedup.find_line_copies(make_docs([])).count() == 0
     assert line_dedup.drop_line_copies(make_docs([])).count() == 0
