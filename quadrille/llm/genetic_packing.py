@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_of
+from .common import bounded_batches, stage, text_of
 from .packing import CapacityTree, encoder, narrowed, widened
 
 WINDOW = 1024
@@ -274,7 +274,7 @@ def cut_pieces(
                 names = ["__row", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
 
-    return rows.select("__row", "doc_id", "text").mapInArrow(cut, schema)
+    return bounded_batches(rows.select("__row", "doc_id", "text")).mapInArrow(cut, schema)
 
 
 def pack_pieces(pieces: DataFrame, window: int = WINDOW, problem: int = PROBLEM, **breeding) -> DataFrame:

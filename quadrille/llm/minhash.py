@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, joined_small, number_rows, stage, text_of
+from .common import bounded_batches, fresh, joined_small, number_rows, stage, text_of
 from .graph import linked_classes
 from .language_id import mix
 
@@ -141,7 +141,7 @@ def sign(rows: DataFrame, words: int, bands: int, per_band: int) -> DataFrame:
                 columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), listed]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "handle", "n_shingles", "set_key", "bands"])
 
-    return rows.select("doc_id", "handle", "text").mapInArrow(work, schema)
+    return bounded_batches(rows.select("doc_id", "handle", "text")).mapInArrow(work, schema)
 
 
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -171,7 +171,7 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([numbers, listed, sketches], names=["node", "shingles", "sketch"])
 
     schema = "node bigint, shingles array<bigint>, sketch array<bigint>"
-    return rows.select("node", "set_key", "text").mapInArrow(work, schema)
+    return bounded_batches(rows.select("node", "set_key", "text")).mapInArrow(work, schema)
 
 
 def size_class(size: Column) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage, text_of
+from .common import bounded_batches, fresh, stage, text_of
 
 WINDOW = 1024
 SEPARATOR = 0
@@ -193,7 +193,7 @@ def cut_pieces(
                 names = ["__row", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
 
-    return rows.select("__row", "doc_id", "text").mapInArrow(cut, schema)
+    return bounded_batches(rows.select("__row", "doc_id", "text")).mapInArrow(cut, schema)
 
 
 def pack_pieces(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES) -> DataFrame:

@@ -306,3 +306,49 @@ def test_query_agrees_with_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_runs(spark, name):
     assert QUERIES[name](spark, ROOT).count() >= 200
+
+
+def test_texts_reach_python_in_bounded_batches(spark, make_docs):
+    """60 texts of 200,000 bytes in one partition are 12 MB; no batch is larger than its bound and one row."""
+    import pyarrow as pa
+
+    from quadrille.llm import common, genetic_packing, minhash, packing
+    from quadrille.llm.queries import tokenizer_path
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = make_docs([(i, f"{i} " + "sun lo mi " * 20_000, "aa", "s") for i in range(60)], parts=1)
+    rows = docs.selectExpr("doc_id", "doc_id AS handle", "doc_id AS __row", "text")
+    model = language_id.build_model(["aa"], {})
+    calls = [
+        lambda: language_id.predict(docs, model),
+        lambda: minhash.sign(rows, 5, 16, 4),
+        lambda: minhash.shingle_sets(rows.selectExpr("doc_id AS node", "binary('') AS set_key", "text"), 5),
+        lambda: packing.cut_pieces(rows, tokenizer_path()),
+        lambda: genetic_packing.cut_pieces(rows, tokenizer_path()),
+    ]
+    for call in calls:
+        spark.conf.unset(key)
+        call()
+        assert int(spark.conf.get(key)) == common.ARROW_BYTES
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes], "n": [batch.num_rows]})
+
+    found = common.bounded_batches(docs).mapInArrow(sizes, "bytes bigint, n bigint").collect()
+    assert sum(r["n"] for r in found) == 60
+    assert max(r["bytes"] for r in found) < common.ARROW_BYTES + 300_000
+    # A text goes to Python once: the plan asks for no second column of it.
+    plan = language_id.predict(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__text" not in plan
+    spark.conf.set(key, "1000000")
+    assert common.bounded_batches(docs) is docs and spark.conf.get(key) == "1000000"
+    spark.conf.unset(key)
+
+
+def test_language_fit_is_the_same_in_any_runs(make_docs, corpus, monkeypatch):
+    docs = make_docs(corpus)
+    whole = language_id.fit(docs)
+    monkeypatch.setattr(language_id, "CHUNK_GRAMS", 50)
+    parts = language_id.fit(docs)
+    assert whole.languages == parts.languages and (whole.table == parts.table).all() and (whole.chance == parts.chance).all()
