@@ -125,6 +125,14 @@ def test_lookups_read_matching_files(spark, tmp_path):
     assert read["code"] <= 15_000 and read["year"] <= 15_000 and read["both"] <= 4_000, read
 
 
+def test_clustered_files_are_of_one_size(spark, tmp_path):
+    df = spark.range(20_000).select(F.format_string("%05d", F.col("id") * 7919 % 20_000).alias(CODE), F.lit(2020).alias(YEAR))
+    path = catalog.write_clustered(df, str(tmp_path / "even"), file_rows=1_000)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == 20 and min(sizes) >= 990 and max(sizes) <= 1_010, sizes
+    assert "spark.sql.execution.rangeExchange.sampleSizePerPartition" not in spark.conf.getAll
+
+
 def test_clustered_tables_of_odd_rows(spark, tmp_path):
     schema = f"{CODE} string, {YEAR} int, x string"
     rows = [(None, None, None), ("", 2020, ""), ("é", None, "a")] + [("75", 2020, "same")] * 500 + [("75" * 5000, 2021, "long")]
